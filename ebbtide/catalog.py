@@ -21,6 +21,9 @@ from ebbtide.plans import features, reports
 from ebbtide.sources.order_views import order_views
 from ebbtide.sources.readers import Tables, profile
 
+# trees of the catalogued fits; the training job's own default is 100
+CATALOG_TREES = 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -194,7 +197,9 @@ def _trained(spark: SparkSession, folder: str, kind: str):
         train = train.persist()
         try:
             if kind == "trees":
-                _fitted[key] = model.train_trees(train, handle_invalid="keep")
+                _fitted[key] = model.train_trees(
+                    train, handle_invalid="keep", trees=CATALOG_TREES
+                )
             elif kind == "logistic":
                 _fitted[key] = model.train_logistic(train)
             elif kind == "search":

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.names import LABEL, SCORE
+from ebbtide.ml.split import random_rows
+from ebbtide.names import CUSTOMER, LABEL, SCORE, SEED
 from ebbtide.operators.running import running_totals
 
 PREDICTION = "prediction"
@@ -106,27 +107,17 @@ def roc_curve(scored: DataFrame, drop_intermediate: bool = True) -> DataFrame:
         corner = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
         first = (F.col("above_pos") == 0) & (F.col("above_neg") == 0)
         points = points.where(corner | first | F.col("next_pos").isNull())
-    totals = outcome_totals(scored)
-    positives, negatives = totals.select("positives"), totals.select("negatives")
     curve = points.select(
         "threshold",
-        F.try_divide(F.col("above_neg") + F.col("neg"), negatives.scalar()).alias("fpr"),
-        F.try_divide(F.col("above_pos") + F.col("pos"), positives.scalar()).alias("tpr"),
+        F.try_divide(F.col("above_neg") + F.col("neg"), F.col("total_neg")).alias("fpr"),
+        F.try_divide(F.col("above_pos") + F.col("pos"), F.col("total_pos")).alias("tpr"),
     )
-    start = totals.select(
+    start = scored.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
     return start.unionByName(curve)
 
 
-def outcome_totals(scored: DataFrame) -> DataFrame:
-    """One row: positives and negatives."""
-    positive = F.col(LABEL) == 1
-    return scored.agg(
-        F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
-    )
-
-
 def roc_auc(scored: DataFrame) -> DataFrame:
     """One row: the exact area under the ROC curve, equal scores counting half."""
     pairs_won = F.sum(F.col("neg") * (F.col("above_pos") + F.col("pos") / 2))
@@ -134,15 +125,12 @@ def roc_auc(scored: DataFrame) -> DataFrame:
     return _score_counts(scored).agg(F.try_divide(pairs_won, all_pairs).alias("roc_auc"))
 
 
-def spot_check(scored: DataFrame, n: int = 10, seed: int | None = None) -> DataFrame:
+def spot_check(scored: DataFrame, n: int = 10, seed: int = SEED) -> DataFrame:
     """n pseudo-random scored rows with the outcome Correct or Incorrect."""
-    from ebbtide.ml.split import random_rows
-    from ebbtide.names import CUSTOMER, SEED
-
     rows = with_outcome(scored).select(
         CUSTOMER, SCORE, "predicted_churn", "actual_churn", "prediction_status"
     )
-    return random_rows(rows, n, SEED if seed is None else seed)
+    return random_rows(rows, n, seed)
 
 
 def with_outcome(scored: DataFrame) -> DataFrame:

@@ -146,7 +146,6 @@ def gradient_boosted_trees(
         minInstancesPerNode=min_child_rows,
         minInfoGain=min_gain,
         seed=seed,
-        cacheNodeIds=True,
         checkpointInterval=10 if has_checkpoint_dir(spark) else -1,
     )
 

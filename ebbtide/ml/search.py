@@ -13,9 +13,9 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.ml.model import gradient_boosted_trees, preparation_stages
+from ebbtide.ml.model import VECTOR, gradient_boosted_trees, preparation_stages
 from ebbtide.ml.split import add_folds, add_positive_weight
-from ebbtide.names import LABEL, SEARCH_GRID, SEED
+from ebbtide.names import CUSTOMER, LABEL, SEARCH_GRID, SEED
 
 
 class SearchResult(NamedTuple):
@@ -90,7 +90,7 @@ def randomised_search(
         parallelism=parallelism,
         seed=seed,
     )
-    fitted = search.fit(vectors.select("unique_customer_identifier", LABEL, "weight", "fold", "features"))
+    fitted = search.fit(vectors.select(CUSTOMER, LABEL, "weight", "fold", VECTOR))
     rows = [
         (i, *[float(c[k]) for k in by_name if k in c], float(auc))
         for i, (c, auc) in enumerate(zip(candidates, fitted.avgMetrics, strict=True))

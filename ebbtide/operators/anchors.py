@@ -107,3 +107,20 @@ def churn_target(cease: DataFrame) -> DataFrame:
 def group_sizes(anchors: DataFrame) -> DataFrame:
     """Customers per churn_group (two rows); anchors hold one row per customer."""
     return anchors.groupBy("churn_group").agg(F.count(F.lit(1)).alias("customers"))
+
+
+def size_of_own_group(anchors: DataFrame) -> Column:
+    """For a report with a churn_group column: the customers of that row's group.
+
+    Both sizes come from one scalar subquery. It also reads ref_date, so that its plan
+    needs the same columns as a look-back join and shares the anchors' exchange.
+    """
+    group = F.col("churn_group")
+    sizes = anchors.agg(
+        F.struct(
+            F.count_if(group == CHURNER).alias("churners"),
+            F.count_if(group == NON_CHURNER).alias("others"),
+            F.max("ref_date").alias("last_date"),
+        )
+    ).scalar()
+    return F.when(group == CHURNER, sizes["churners"]).otherwise(sizes["others"])

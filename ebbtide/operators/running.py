@@ -21,7 +21,7 @@ def running_totals(
     """For each row, in descending ``order``: totals above it and the next row's values.
 
     ``order`` must be unique in ``df``. Adds ``above_<v>`` (sum of v over all rows that
-    come first) and ``next_<v>`` (v of the following row, NULL on the last one).
+    come first), ``next_<v>`` (v of the following row, NULL on the last one) and ``total_<v>``.
 
     An unpartitioned window would sort everything in one task. Instead the rows are
     cut into buckets at approximate quantiles; the cut points only balance the work,
@@ -30,9 +30,18 @@ def running_totals(
     bound on what is broadcast.
     """
     fractions = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(order, fractions)).scalar()
-    rows = df.withColumn("_cuts", cuts).select(
-        *df.columns, bucket_of(F.col(order), F.col("_cuts")).alias("_bucket")
+    # one struct over all columns: its plan then equals the main one's, so Spark
+    # computes the rows once and reuses their exchange
+    whole = df.agg(
+        F.struct(
+            F.percentile_approx(order, fractions).alias("cuts"),
+            *[F.sum(v).alias(v) for v in values],
+        )
+    ).scalar()
+    rows = df.withColumn("_whole", whole).select(
+        *df.columns,
+        bucket_of(F.col(order), F.col("_whole.cuts")).alias("_bucket"),
+        *[F.col(f"_whole.{v}").alias(f"total_{v}") for v in values],
     )
     by_bucket = Window.orderBy(F.col("_bucket").desc())
     earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
@@ -52,6 +61,7 @@ def running_totals(
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     return rows.join(F.broadcast(links), "_bucket").select(
         *df.columns,
+        *[f"total_{v}" for v in values],
         *[
             (F.col(f"offset_{v}") + F.coalesce(F.sum(v).over(before), F.lit(0))).alias(f"above_{v}")
             for v in values

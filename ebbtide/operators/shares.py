@@ -15,16 +15,27 @@ from ebbtide.functions import percent
 from ebbtide.names import CUSTOMER
 
 
-def customer_total(df: DataFrame) -> DataFrame:
-    """One row: the number of different customers in ``df``."""
-    return df.agg(F.countDistinct(CUSTOMER).alias("customers"))
+def customer_total(df: DataFrame) -> Column:
+    """The number of different customers in ``df``, as a scalar subquery."""
+    return df.agg(F.countDistinct(CUSTOMER)).scalar()
 
 
 def share_of_total(
-    counts: DataFrame, count: str, total: DataFrame, share: str, order: Sequence[Column]
+    counts: DataFrame, count: str, total: Column, share: str, order: Sequence[Column]
 ) -> DataFrame:
-    """Add ``count`` as a percentage of a one-value frame, and order the report."""
-    return counts.withColumn(share, percent(count, total.scalar())).orderBy(*order)
+    """Add ``count`` as a percentage of ``total`` (a scalar), and order the report."""
+    return counts.withColumn(share, percent(count, total)).orderBy(*order)
+
+
+def column_total(counts: DataFrame, count: str) -> Column:
+    """The sum of a report column, for use in the same report.
+
+    The scalar sums every number of the report and picks one. Summing one alone would
+    prune the other columns from the subquery's plan, and Spark could then not reuse
+    the report's exchange but would compute everything below it again.
+    """
+    numbers = [name for name, kind in counts.dtypes if kind in ("bigint", "int", "double")]
+    return counts.agg(F.struct(*[F.sum(n).alias(n) for n in numbers])).scalar()[count]
 
 
 def customers_per(df: DataFrame, column: str, count: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions import as_double, band, percent, total_within
@@ -13,6 +13,7 @@ from ebbtide.names import (
     LABEL,
     NON_CHURNER,
     NUMERIC_FEATURES,
+    SCORE,
     TENURE_REPORT_BANDS,
     UNKNOWN,
 )
@@ -20,7 +21,7 @@ from ebbtide.operators.anchors import (
     churned,
     churned_customers,
     first_placed,
-    group_sizes,
+    size_of_own_group,
 )
 from ebbtide.operators.lookback import (
     DISTANCE,
@@ -31,6 +32,7 @@ from ebbtide.operators.lookback import (
 )
 from ebbtide.operators.shares import (
     approx_median,
+    column_total,
     customer_total,
     customers_per,
     percent_with_any,
@@ -60,7 +62,7 @@ def overall_churn_rate(
     left = customer_total(cease.where(churned(definition)))
     return (
         customer_info.agg(F.countDistinct(CUSTOMER).alias("total_customers"))
-        .withColumn("churned_customers", left.scalar())
+        .withColumn("churned_customers", left)
         .withColumn("churn_rate_pct", percent("churned_customers", "total_customers"))
     )
 
@@ -154,7 +156,7 @@ def package_transitions(
     return share_of_total(
         counts,
         "transition_events",
-        counts.agg(F.sum("transition_events")),
+        column_total(counts, "transition_events"),
         "event_share_pct",
         [F.col("transition_events").desc(), F.col("from_package"), F.col("to_package")],
     )
@@ -253,18 +255,13 @@ def usage_trend_before_cease(cease: DataFrame, usage: DataFrame, weeks: int = 8)
     )
 
 
-def _with_group_size(report: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Add the size of the whole churn group; the broadcast side has two rows."""
-    return report.join(F.broadcast(group_sizes(anchors)), "churn_group", "left")
-
-
 def call_type_penetration(calls: DataFrame, anchors: DataFrame) -> DataFrame:
     """Share of each churn group that made a call of a type, per window."""
     typed = calls_by_type(anchors, calls, how="inner")
     callers = typed.groupBy("churn_group", "call_type").agg(
         *[F.count_if(F.col(f"calls_{d}d") > 0).alias(f"cust_any_{d}d") for d in CALL_DAYS]
     )
-    return _with_group_size(callers, anchors).withColumns(
+    return callers.withColumn("customers", size_of_own_group(anchors)).withColumns(
         {f"pct_cust_any_{d}d": percent(f"cust_any_{d}d", "customers") for d in CALL_DAYS}
     )
 
@@ -275,7 +272,7 @@ def call_type_intensity(calls: DataFrame, anchors: DataFrame) -> DataFrame:
     totals = typed.groupBy("churn_group", "call_type").agg(
         *[F.sum(f"calls_{d}d").alias(f"total_calls_{d}d") for d in CALL_DAYS]
     )
-    return _with_group_size(totals, anchors).withColumns(
+    return totals.withColumn("customers", size_of_own_group(anchors)).withColumns(
         {
             f"avg_calls_per_customer_{d}d": F.round(
                 F.try_divide(f"total_calls_{d}d", "customers"), 3
@@ -334,10 +331,6 @@ def high_risk_customers(
 
     ``orderBy().limit(n)`` is a distributed top-n; only its n rows are then ranked.
     """
-    from pyspark.sql import Window
-
-    from ebbtide.names import SCORE
-
     order = [F.col(SCORE).desc(), F.col(CUSTOMER)]
     top = scores.where(F.col(SCORE) >= threshold).orderBy(*order).limit(n)
     return top.select(CUSTOMER, SCORE, F.row_number().over(Window.orderBy(*order)).alias("risk_rank"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions import as_date, as_double, as_int
-from ebbtide.names import CUSTOMER
+from ebbtide.names import CATEGORICAL_FEATURES, CUSTOMER
 
 CASTS = {"date": as_date, "int": as_int, "double": as_double}
 
@@ -100,8 +100,6 @@ def load_scoring_tables(spark: SparkSession, paths: Mapping[str, str]) -> Tables
 
 def read_feature_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """A labelled feature table kept as many CSV files, read as one table and typed."""
-    from ebbtide.names import CATEGORICAL_FEATURES
-
     text = read_csv_text(spark, path)
     keep = {CUSTOMER, *CATEGORICAL_FEATURES}
     return text.withColumns({c: as_double(c) for c in text.columns if c not in keep})
