@@ -99,10 +99,16 @@ def talk_hold_features(calls: DataFrame, anchors: DataFrame) -> DataFrame:
     return call_and_talk_features(calls, anchors).select(CUSTOMER, *TALK_FEATURES)
 
 
-def usage_features(usage: DataFrame, anchors: DataFrame, keep_totals: bool = False) -> DataFrame:
+def usage_features(
+    usage: DataFrame,
+    anchors: DataFrame,
+    keep_totals: bool = False,
+    already_daily: bool = False,
+) -> DataFrame:
     """Change in download volume, days 0-27 against days 28-55, in percent.
 
-    ``keep_totals`` also returns the totals and the recency behind it.
+    ``keep_totals`` also returns the totals and the recency behind it;
+    ``already_daily`` saves a shuffle where usage has one row per customer and day.
     """
     kinds = ("download", "upload")
     totals = {
@@ -114,7 +120,11 @@ def usage_features(usage: DataFrame, anchors: DataFrame, keep_totals: bool = Fal
     totals["download_last_28d"] = total_within("download_mbs", DISTANCE, 27)
     totals["download_prev_28d"] = total_within("download_mbs", DISTANCE, 55, first=28)
     per_customer = (
-        look_back(anchors.select(CUSTOMER, "ref_date"), daily_usage(usage), max(USAGE_DAYS))
+        look_back(
+            anchors.select(CUSTOMER, "ref_date"),
+            daily_usage(usage, already_daily),
+            max(USAGE_DAYS),
+        )
         .groupBy(CUSTOMER)
         .agg(*[total.alias(name) for name, total in totals.items()])
         .withColumn("usage_drop_pct_28d", percent_change("download_last_28d", "download_prev_28d"))
@@ -182,6 +192,7 @@ def _wide(
     calls: DataFrame,
     usage: DataFrame,
     tie_break: Sequence[str] | None,
+    already_daily: bool,
 ) -> DataFrame:
     """One row per anchor customer; every side is already partitioned by customer.
 
@@ -191,7 +202,7 @@ def _wide(
     return (
         call_and_talk_features(calls, anchors)
         .join(snapshot_features(customer_info, tie_break), CUSTOMER, "left")
-        .join(usage_features(usage, anchors), CUSTOMER, "left")
+        .join(usage_features(usage, anchors, already_daily=already_daily), CUSTOMER, "left")
         .select(CUSTOMER, *FEATURES)
     )
 
@@ -203,6 +214,7 @@ def training_features(
     usage: DataFrame,
     anchors: DataFrame | None = None,
     tie_break: Sequence[str] | None = None,
+    already_daily: bool = False,
 ) -> DataFrame:
     """38 columns: customer, 36 features and the label is_churned.
 
@@ -212,7 +224,7 @@ def training_features(
     """
     if anchors is None:
         anchors = reference_dates(cease, customer_info)
-    features = _wide(anchors, customer_info, calls, usage, tie_break)
+    features = _wide(anchors, customer_info, calls, usage, tie_break, already_daily)
     target = churn_target(cease).select(CUSTOMER, LABEL)
     return features.join(target, CUSTOMER, "left").fillna({LABEL: 0})
 
@@ -223,8 +235,9 @@ def inference_features(
     usage: DataFrame,
     anchors: DataFrame | None = None,
     tie_break: Sequence[str] | None = None,
+    already_daily: bool = False,
 ) -> DataFrame:
     """37 columns: customer and 36 features, anchored on the last snapshot date."""
     if anchors is None:
         anchors = scoring_dates(customer_info)
-    return _wide(anchors, customer_info, calls, usage, tie_break)
+    return _wide(anchors, customer_info, calls, usage, tie_break, already_daily)
