@@ -32,8 +32,19 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in doubles})
 
 
+_opened: dict[tuple, Tables] = {}
+
+
+def tables_of(spark: SparkSession, folder: str) -> Tables:
+    """The folder's tables; their footers are read once per session, not per query."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _opened:
+        _opened[key] = order_views(spark, folder)
+    return _opened[key]
+
+
 def on_tables(build: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, folder: build(order_views(spark, folder))
+    return lambda spark, folder: build(tables_of(spark, folder))
 
 
 def on_anchors(build: Callable[[Tables, DataFrame], DataFrame]) -> Query:
@@ -192,7 +203,7 @@ def _trained(spark: SparkSession, folder: str, kind: str):
     """A model fitted on the training part of the folder's features, once per session."""
     key = (spark.sparkContext.applicationId, folder, kind)
     if key not in _fitted:
-        frame = features.training_features(*order_views(spark, folder))
+        frame = features.training_features(*tables_of(spark, folder))
         train, _ = split.train_test_split(frame)
         train = train.persist()
         try:
@@ -214,7 +225,7 @@ def fitted_queries() -> dict[str, Query]:
     """Queries behind a fitted model; the learner has no SQL equivalent."""
 
     def test_part(spark: SparkSession, folder: str) -> DataFrame:
-        frame = features.training_features(*order_views(spark, folder))
+        frame = features.training_features(*tables_of(spark, folder))
         return split.train_test_split(frame)[1]
 
     def scored_by(kind: str, then: Callable[[DataFrame], DataFrame]) -> Query:
@@ -228,7 +239,7 @@ def fitted_queries() -> dict[str, Query]:
         return metrics.classification_report(model.score(best, test_part(spark, folder)))
 
     def batch_scores(spark: SparkSession, folder: str) -> DataFrame:
-        tables = order_views(spark, folder)
+        tables = tables_of(spark, folder)
         frame = features.inference_features(tables.customer_info, tables.calls, tables.usage)
         return model.predict_churn(_trained(spark, folder, "trees"), frame)
 
