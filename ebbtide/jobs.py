@@ -34,6 +34,7 @@ from ebbtide.sources.writers import log_run, write_csv, write_features
 class TrainingResult(NamedTuple):
     model: PipelineModel
     metrics: dict[str, float]
+    rows: int
     features: DataFrame
     scored_test: DataFrame
 
@@ -74,7 +75,7 @@ def train_job(
         outputs["anchors"]
     )
     anchors = spark.read.parquet(outputs["anchors"])
-    write_features(training_features(*tables, anchors=anchors), outputs["features"])
+    rows = write_features(training_features(*tables, anchors=anchors), outputs["features"])
     features = spark.read.parquet(outputs["features"])
 
     train, test = train_test_split(features, test_fraction, seed)
@@ -92,11 +93,17 @@ def train_job(
         outputs["runs"],
         run_id=uuid.uuid4().hex,
         experiment=experiment,
-        params={"seed": seed, "test_fraction": test_fraction, "missing": missing, **settings},
+        params={
+            "seed": seed,
+            "test_fraction": test_fraction,
+            "missing": missing,
+            "rows": rows,
+            **settings,
+        },
         metrics=metrics,
         artifacts={k: outputs[k] for k in ("model", "feature_importance", "features")},
     )
-    return TrainingResult(model, metrics, features, scored)
+    return TrainingResult(model, metrics, rows, features, scored)
 
 
 def scoring_job(

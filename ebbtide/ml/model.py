@@ -199,7 +199,9 @@ def predict_churn(model: PipelineModel, features: DataFrame) -> DataFrame:
     )
 
 
-def feature_importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def feature_importances(
+    spark: SparkSession, model: PipelineModel, top: int | None = None
+) -> DataFrame:
     """(feature, importance), largest first; one row per input of the vector."""
     names = model.stages[-2].getInputCols()
     values = model.stages[-1].featureImportances.toArray()
@@ -210,7 +212,8 @@ def feature_importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
             name = name.removesuffix(suffix)
         rows.append((name, float(value)))
     frame = spark.createDataFrame(rows, "feature string, importance double")
-    return frame.orderBy(F.col("importance").desc(), "feature")
+    ranked = frame.orderBy(F.col("importance").desc(), "feature")
+    return ranked if top is None else ranked.limit(top)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -59,8 +59,12 @@ def randomised_search(
 
     Features are prepared once, outside the folds' loop; every candidate then trains on
     the same vectors. The frame of candidates is small: one row per candidate.
+
+    ``min_gain`` in the grid is a loss reduction summed over rows; Spark's threshold is
+    one per row, so it is divided by the rows of ``train``.
     """
     spark = train.sparkSession
+    rows = max(train.count(), 1)
     learner = gradient_boosted_trees(spark, seed=seed)
     by_name = {
         "trees": learner.maxIter,
@@ -73,9 +77,9 @@ def randomised_search(
     }
 
     def setting(name, value):
-        if name != "column_fraction":
-            return value
-        return "all" if value >= 1.0 else str(value)
+        if name == "column_fraction":
+            return "all" if value >= 1.0 else str(value)
+        return value / rows if name == "min_gain" else value
 
     candidates = sample_candidates(grid, n, seed)
     maps = [{by_name[k]: setting(k, v) for k, v in c.items()} for c in candidates]
@@ -91,12 +95,12 @@ def randomised_search(
         seed=seed,
     )
     fitted = search.fit(vectors.select(CUSTOMER, LABEL, "weight", "fold", VECTOR))
-    rows = [
+    results = [
         (i, *[float(c[k]) for k in by_name if k in c], float(auc))
         for i, (c, auc) in enumerate(zip(candidates, fitted.avgMetrics, strict=True))
     ]
     names = [k for k in by_name if k in candidates[0]]
     schema = ", ".join(["candidate int", *[f"{k} double" for k in names], "mean_auc double"])
-    table = spark.createDataFrame(rows, schema).orderBy(F.col("mean_auc").desc(), "candidate")
+    table = spark.createDataFrame(results, schema).orderBy(F.col("mean_auc").desc(), "candidate")
     best = PipelineModel(stages=[*preparation.stages, fitted.bestModel])
     return SearchResult(best, table)

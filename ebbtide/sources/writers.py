@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def write_features(features: DataFrame, path: str, fill_missing: bool = False) -> None:
+def write_features(features: DataFrame, path: str, fill_missing: bool = False) -> int:
     """Feature table as parquet; ``fill_missing`` sets missing numbers to 0.
 
-    The table keeps as many files as it has partitions: a single output file would
-    send every row through one task.
+    Returns the rows written, observed by the write itself: no second run to count.
+    The table keeps as many files as it has partitions, since a single output file
+    would send every row through one task.
     """
     frame = features.fillna(0) if fill_missing else features
-    frame.write.mode("overwrite").parquet(path)
+    written = Observation()
+    counted = frame.observe(written, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").parquet(path)
+    return written.get["rows"]
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -228,6 +228,7 @@ def test_importances_rank_the_planted_features_first(spark, trees):
     assert [r.importance for r in got] == sorted((r.importance for r in got), reverse=True)
     assert sum(r.importance for r in got) == pytest.approx(1.0)
     assert {r.feature for r in got} >= set(FEATURES)
+    assert model.feature_importances(spark, trees, top=10).collect() == got[:10]
 
 
 def test_saved_model_gives_the_same_scores(spark, trees, parts, tmp_path):
@@ -286,6 +287,7 @@ def test_search_returns_a_usable_best_model(parts):
         "column_fraction": (0.7, 1.0),
         "row_fraction": (0.8,),
         "min_child_rows": (3,),
+        "min_gain": (0.2,),
     }
     found = search.randomised_search(parts[0], grid, n=2, folds=2, parallelism=2)
     table = found.candidates.collect()

@@ -87,8 +87,8 @@ def test_profile_counts_all_tables(spark, files):
 
 def test_feature_table_sinks(spark, tmp_path):
     frame = spark.createDataFrame([("a", None, None), ("b", 1.5, "x")], f"{ID} string, speed double, technology string")
-    write_features(frame, str(tmp_path / "kept"))
-    write_features(frame, str(tmp_path / "kept"))  # overwrites
+    write_features(frame.limit(1), str(tmp_path / "kept"))
+    assert write_features(frame, str(tmp_path / "kept")) == 2  # overwrites
     write_features(frame, str(tmp_path / "filled"), fill_missing=True)
     kept = {r[ID]: r for r in spark.read.parquet(str(tmp_path / "kept")).collect()}
     filled = {r[ID]: r for r in spark.read.parquet(str(tmp_path / "filled")).collect()}
@@ -131,7 +131,7 @@ def test_train_then_score(spark, files, tmp_path):
     assert set(result.metrics) == {"accuracy", "precision", "recall", "f1_score", "roc_auc"}
     tables = load_tables(spark, files)
     anchors = reference_dates(tables.cease, tables.customer_info)
-    assert result.features.count() == anchors.count()
+    assert result.features.count() == result.rows == anchors.count()
     assert result.scored_test.count() < result.features.count()
 
     run = spark.read.parquet(outputs["runs"]).first()
