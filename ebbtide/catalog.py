@@ -204,18 +204,19 @@ def _trained(spark: SparkSession, folder: str, kind: str):
     key = (spark.sparkContext.applicationId, folder, kind)
     if key not in _fitted:
         frame = features.training_features(*tables_of(spark, folder))
+        encoders = model.fit_encoders(frame)
         train, _ = split.train_test_split(frame)
         train = train.persist()
         try:
             if kind == "trees":
-                _fitted[key] = model.train_trees(
-                    train, handle_invalid="keep", trees=CATALOG_TREES
-                )
+                _fitted[key] = model.train_trees(train, encoders=encoders, trees=CATALOG_TREES)
             elif kind == "logistic":
-                _fitted[key] = model.train_logistic(train)
+                _fitted[key] = model.train_logistic(train, encoders=encoders)
             elif kind == "search":
                 grid = {"trees": (5, 10), "depth": (2, 3), "rate": (0.1, 0.3)}
-                _fitted[key] = search.randomised_search(train, grid, n=3, folds=2)
+                _fitted[key] = search.randomised_search(
+                    train, grid, n=3, folds=2, encoders=encoders
+                )
         finally:
             train.unpersist()
     return _fitted[key]

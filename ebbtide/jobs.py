@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ebbtide.ml.metrics import classification_metrics, roc_auc
 from ebbtide.ml.model import (
     feature_importances,
+    fit_encoders,
     load_model,
     predict_churn,
     save_model,
@@ -62,12 +63,14 @@ def train_job(
     seed: int = SEED,
     missing: str = "median",
     experiment: str = EXPERIMENT,
+    unseen: str = "error",
     **settings,
 ) -> TrainingResult:
     """Features, split, boosted trees, test metrics, model, importances and run log.
 
     ``inputs`` are paths keyed cease, customer_info, calls and usage, or loaded tables;
-    ``settings`` go to the learner (trees, depth, rate, ...).
+    ``settings`` go to the learner (trees, depth, rate, ...). A category unseen in
+    training stops a scoring job; ``unseen='keep'`` gives all such one further code.
     """
     tables = inputs if isinstance(inputs, Tables) else load_tables(spark, inputs)
 
@@ -79,8 +82,8 @@ def train_job(
     features = spark.read.parquet(outputs["features"])
 
     train, test = train_test_split(features, test_fraction, seed)
-    # a category that only the test part has is no reason to fail the run
-    model = train_trees(train, missing, handle_invalid="keep", seed=seed, **settings)
+    encoders = fit_encoders(features, handle_invalid=unseen)
+    model = train_trees(train, missing, encoders, seed=seed, **settings)
     save_model(model, outputs["model"])
 
     score(model, test).write.mode("overwrite").parquet(outputs["scored_test"])
@@ -97,6 +100,7 @@ def train_job(
             "seed": seed,
             "test_fraction": test_fraction,
             "missing": missing,
+            "unseen": unseen,
             "rows": rows,
             **settings,
         },

@@ -61,23 +61,32 @@ def encoder_stages(
     ]
 
 
+def fit_encoders(
+    features: DataFrame,
+    columns: Sequence[str] = CATEGORICAL_FEATURES,
+    handle_invalid: str = "error",
+) -> PipelineModel:
+    """Learn the category codes, from all labelled customers before they are split."""
+    return Pipeline(stages=encoder_stages(columns, handle_invalid)).fit(features)
+
+
 def label_encode(
     df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES
 ) -> DataFrame:
     """Replace each category by its integer code."""
-    encoded = Pipeline(stages=encoder_stages(columns)).fit(df).transform(df)
+    encoded = fit_encoders(df, columns).transform(df)
     codes = {c: F.col(f"{c}_code") for c in columns}
     return encoded.withColumns(codes).select(df.columns)
 
 
-def preparation_stages(missing: str = "median", handle_invalid: str = "error") -> list:
+def preparation_stages(missing: str = "median", encoders: PipelineModel | None = None) -> list:
     """Stages from the wide frame to one feature vector.
 
-    Spark's learners refuse missing numbers. ``missing='median'`` fills them with the
+    Without fitted ``encoders`` the category codes are learned with the rest. Spark's learners refuse missing numbers. ``missing='median'`` fills them with the
     column's median and adds a 0/1 column per nullable feature; ``'zero'`` fills with 0.
     """
     codes = [f"{c}_code" for c in CATEGORICAL_FEATURES]
-    stages = encoder_stages(handle_invalid=handle_invalid)
+    stages = encoder_stages() if encoders is None else [encoders]
     if missing == "zero":
         numbers = [f"{c}_number" for c in NUMERIC_FEATURES]
         filled = ", ".join(
@@ -151,16 +160,23 @@ def gradient_boosted_trees(
 
 
 def train_trees(
-    train: DataFrame, missing: str = "median", handle_invalid: str = "error", **settings
+    train: DataFrame,
+    missing: str = "median",
+    encoders: PipelineModel | None = None,
+    **settings,
 ) -> PipelineModel:
     """Fit boosted trees, class 1 weighted by negatives / positives."""
     learner = gradient_boosted_trees(train.sparkSession, **settings)
-    stages = preparation_stages(missing, handle_invalid) + [learner]
+    stages = preparation_stages(missing, encoders) + [learner]
     return Pipeline(stages=stages).fit(add_positive_weight(train))
 
 
 def train_logistic(
-    train: DataFrame, missing: str = "median", max_iter: int = 1000, rows: int | None = None
+    train: DataFrame,
+    missing: str = "median",
+    encoders: PipelineModel | None = None,
+    max_iter: int = 1000,
+    rows: int | None = None,
 ) -> PipelineModel:
     """Fit a logistic regression with balanced class weights.
 
@@ -175,7 +191,7 @@ def train_logistic(
         regParam=1.0 / max(rows, 1),
         standardization=False,
     )
-    stages = preparation_stages(missing) + [learner]
+    stages = preparation_stages(missing, encoders) + [learner]
     return Pipeline(stages=stages).fit(add_balanced_weight(train))
 
 

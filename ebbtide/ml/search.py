@@ -54,6 +54,7 @@ def randomised_search(
     seed: int = SEED,
     parallelism: int = 4,
     missing: str = "median",
+    encoders: PipelineModel | None = None,
 ) -> SearchResult:
     """Boosted trees over sampled candidates, each scored by its mean AUC over the folds.
 
@@ -83,7 +84,7 @@ def randomised_search(
 
     candidates = sample_candidates(grid, n, seed)
     maps = [{by_name[k]: setting(k, v) for k, v in c.items()} for c in candidates]
-    preparation = Pipeline(stages=preparation_stages(missing)).fit(train)
+    preparation = Pipeline(stages=preparation_stages(missing, encoders)).fit(train)
     vectors = add_folds(add_positive_weight(preparation.transform(train)), folds)
     search = CrossValidator(
         estimator=learner,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,15 +12,15 @@ from pyspark.sql import types as T
 def write_features(features: DataFrame, path: str, fill_missing: bool = False) -> int:
     """Feature table as parquet; ``fill_missing`` sets missing numbers to 0.
 
-    Returns the rows written, observed by the write itself: no second run to count.
-    The table keeps as many files as it has partitions, since a single output file
+    Returns the rows written. They are counted in the written table, where a count
+    reads no column, so the features are computed once. (An ``Observation`` on the write
+    would put an unserialisable member into the session, and in Spark 4.1 logistic models
+    held in memory could then score nothing.) The table keeps as many files as it has partitions, since a single output file
     would send every row through one task.
     """
     frame = features.fillna(0) if fill_missing else features
-    written = Observation()
-    counted = frame.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(path)
-    return written.get["rows"]
+    frame.write.mode("overwrite").parquet(path)
+    return frame.sparkSession.read.parquet(path).count()
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -253,6 +253,16 @@ def test_predictions_are_sorted_and_need_no_label(trees, parts):
     assert without[0].asDict().keys() == {ID, "churn_probability"}
 
 
+def test_encoders_know_categories_of_the_test_part(spark, parts):
+    train, test = parts
+    rare = test.withColumn("technology", F.lit("z"))
+    encoders = model.fit_encoders(train.unionByName(rare))
+    fitted = model.train_trees(train, encoders=encoders, trees=1, depth=2)
+    assert model.score(fitted, rare).count() == test.count()
+    with pytest.raises(Exception, match="(?i)unseen label"):
+        model.score(fitted, test.withColumn("technology", F.lit("y"))).collect()
+
+
 def test_missing_values_as_zero(parts):
     fitted = model.train_trees(parts[0], missing="zero", trees=3, depth=3)
     assert auc_of(fitted, parts[1]) > 0.8

@@ -155,3 +155,15 @@ def test_train_then_score(spark, files, tmp_path):
 def test_scoring_without_a_model_is_an_error(spark, files, tmp_path):
     with pytest.raises(FileNotFoundError):
         scoring_job(spark, files, outputs_under(str(tmp_path)))
+
+
+def test_command_line(spark, files, tmp_path, capsys):
+    from ebbtide.__main__ import main
+
+    paths = [f"--{k.replace('_', '-')}={v}" for k, v in files.items()]
+    main(["train", *paths, f"--output={tmp_path}", "--trees=2"])
+    main(["inference", *[p for p in paths if "cease" not in p], f"--output={tmp_path}"])
+    shown = capsys.readouterr().out
+    assert "roc_auc" in shown and "predictions saved" in shown
+    with pytest.raises(SystemExit):
+        main(["train", f"--output={tmp_path}"])
