@@ -6,7 +6,9 @@ partition or position, so recomputing a lost partition cannot move it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.names import CUSTOMER, LABEL, SEED, TEST_FRACTION
@@ -18,16 +20,62 @@ def hash_position(seed: int = SEED) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
-def _with_cuts(features: DataFrame, fractions: list[float], seed: int) -> DataFrame:
+def class_quantiles(placed: DataFrame, fractions: Sequence[float]) -> DataFrame:
+    """Per class, the exact quantiles of ``_position``: (_class, _cuts).
+
+    Training and test part are read by different jobs, so the cuts must come out the
+    same every time; a merged sketch may not. Positions have 32 bits. They are counted
+    by their upper half first, which finds the half that holds each quantile, and only
+    there by their full value. Every counted frame and every window partition has at
+    most 65,536 rows per class, whatever the size of the data.
+    """
+    upper = F.shiftright("_position", 16).alias("_upper")
+    halves = placed.groupBy(F.col(LABEL).alias("_class"), upper).agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    in_class = Window.partitionBy("_class")
+    ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(f).alias("f")) for i, f in enumerate(fractions)])
+    wanted = (
+        halves.withColumn("_upto", F.sum("_rows").over(in_class.orderBy("_upper")))
+        .withColumn("_total", F.sum("_rows").over(in_class))
+        .select("*", F.explode(ranks).alias("_rank"))
+        .withColumn("_target", F.greatest(F.lit(1), F.ceil(F.col("_rank.f") * F.col("_total"))))
+        .where(
+            (F.col("_target") <= F.col("_upto"))
+            & (F.col("_target") > F.col("_upto") - F.col("_rows"))
+        )
+        .select(
+            "_class",
+            "_upper",
+            F.col("_rank.i").alias("_i"),
+            (F.col("_target") - F.col("_upto") + F.col("_rows")).alias("_within"),
+        )
+    )
+    values = (
+        placed.select(F.col(LABEL).alias("_class"), upper, "_position")
+        .join(F.broadcast(wanted), ["_class", "_upper"])
+        .groupBy("_class", "_i", "_within", "_position")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    by_value = Window.partitionBy("_class", "_i").orderBy("_position")
+    return (
+        values.withColumn("_upto", F.sum("_rows").over(by_value))
+        .where(F.col("_upto") >= F.col("_within"))
+        .groupBy("_class", "_i")
+        .agg(F.min("_position").alias("_cut"))
+        .groupBy("_class")
+        .agg(F.array_sort(F.collect_list("_cut")).alias("_cuts"))
+    )
+
+
+def _with_cuts(features: DataFrame, fractions: Sequence[float], seed: int) -> DataFrame:
     """Add each row's hash and its class's hash quantiles at ``fractions``.
 
     The joined frame has one row per class (a 0/1 label), so broadcasting it is
     bounded whatever the size of the data.
     """
     placed = features.withColumn("_position", hash_position(seed))
-    cuts = placed.groupBy(F.col(LABEL).alias("_class")).agg(
-        F.percentile_approx("_position", fractions).alias("_cuts")
-    )
+    cuts = class_quantiles(placed.select(LABEL, "_position"), fractions)
     same_class = F.col(LABEL) == F.col("_class")
     return placed.join(F.broadcast(cuts), same_class, "left").drop("_class")
 

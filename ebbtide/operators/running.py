@@ -11,8 +11,12 @@ BUCKETS = 256
 
 
 def bucket_of(value: Column, cuts: Column) -> Column:
-    """How many of the cut points lie at or below ``value``."""
-    return F.size(F.filter(cuts, lambda cut: cut <= value))
+    """How many of the cut points lie at or below ``value``; 0 without cut points.
+
+    Never NULL: a join on a nullable bucket would push a not-null filter below the rows
+    of one side only, whose exchange the other side could then not reuse.
+    """
+    return F.coalesce(F.size(F.filter(cuts, lambda cut: cut <= value)), F.lit(0))
 
 
 def running_totals(
@@ -25,7 +29,9 @@ def running_totals(
 
     An unpartitioned window would sort everything in one task. Instead the rows are
     cut into buckets at approximate quantiles; the cut points only balance the work,
-    results are exact for any cuts. Each bucket is ordered by itself, and the frame
+    results are exact for any cuts. Rows and totals share them through one subquery,
+    evaluated once per query (``spark.sql.execution.reuseSubquery``, on by default).
+    Each bucket is ordered by itself, and the frame
     of bucket totals that links them has at most ``buckets`` rows, which is also the
     bound on what is broadcast.
     """

@@ -78,6 +78,29 @@ def test_split_is_stratified_and_repeatable(frame):
     assert {r[ID] for r in other.where("is_test").collect()} != chosen
 
 
+@pytest.mark.parametrize("spread", [1, 1 << 10, 1 << 32])
+def test_class_quantiles_are_exact(spark, spread):
+    """Also where many rows share a position or all lie in one upper half."""
+    import random
+
+    rng = random.Random(spread)
+    rows = [(int(rng.random() < 0.2), rng.randrange(spread)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "is_churned int, _position bigint")
+    fractions = [0.0, 0.2, 0.5, 0.8, 1.0]
+    got = {r._class: r._cuts for r in split.class_quantiles(df, fractions).collect()}
+    for label in (0, 1):
+        values = sorted(v for c, v in rows if c == label)
+        n = len(values)
+        ranks = [max(1, -int(-f * n // 1)) for f in fractions]
+        assert got[label] == [values[k - 1] for k in ranks]
+
+
+def test_parts_of_a_split_never_overlap(frame):
+    train, test = split.train_test_split(frame.select(ID, "is_churned"))
+    ids = [r[ID] for r in train.collect()] + [r[ID] for r in test.collect()]
+    assert len(ids) == len(set(ids)) == frame.count()
+
+
 def test_folds_hold_equal_shares_of_each_class(frame):
     folds = split.add_folds(frame.select(ID, "is_churned"), 4)
     counts = folds.groupBy("is_churned", "fold").count().collect()
