@@ -9,23 +9,25 @@ toxic; a logistic model of their largest and their sum scores the document.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.shared import crc_of_id, in_arrow, text_of
+from ebbtide.llm.shared import crc_of_id, in_arrow, ship_package, text_of
 from ebbtide.llm.words import U64, Texts, chunks_of, runs, span_hashes, words
 
 FEATURE_BITS = 20
 #: A word's features: its whole form and its first 4, 5 and 6 bytes.
 PREFIXES = (4, 5, 6)
 #: The bound of the training sample, documents of each label.
-SAMPLE_TOXIC = 3000
-SAMPLE_CLEAN = 6000
+SAMPLE_TOXIC = 2000
+SAMPLE_CLEAN = 4000
 #: A feature marks toxic words from this log ratio and from so many toxic documents.
 MARK_LOG_RATIO = 3.5
 MARK_DOCUMENTS = 3
@@ -194,7 +196,12 @@ def fit(texts: list[str], toxic: np.ndarray, share: float) -> Field:
     owner = np.repeat(np.arange(len(texts)), np.diff(first))
     tags = (mark[numbers].any(axis=1) & toxic[owner]).astype(np.float64)
     field = _train(numbers, first, tags)
-    x = field.document_inputs(field.marginals(numbers, first), first)
+    x = []
+    for low in range(0, len(texts), 500):
+        part = first[low : low + 501]
+        own = field.marginals(numbers[part[0] : part[-1]], part - part[0])
+        x.append(field.document_inputs(own, part - part[0]))
+    x = np.concatenate(x)
     weight = np.where(toxic, prior / toxic.mean(), (1 - prior) / (1 - toxic.mean()))
     field.document = _logistic(x, toxic.astype(float), weight)
     field.prior = prior
@@ -255,7 +262,7 @@ def fit_on(
     the same in every run. Labels other than 0 and 1 and missing ones are left out; of a
     doc_id with several labels the largest counts, and of several texts one is taken. Only
     doc_ids are sorted; the texts of the chosen ones come by a join with a table of at most
-    ``sample_toxic + sample_clean`` rows, the bound of what is broadcast and collected.
+    ``sample_toxic + sample_clean`` rows. One task learns from that bounded sample.
     """
     training = (
         labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -273,11 +280,17 @@ def fit_on(
         .join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", "toxic")
         .agg(F.min("text").alias("text"))
-        .collect()
     )
-    rows.sort(key=lambda r: r["doc_id"])
     share = (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 1)
-    return fit([r["text"] for r in rows], np.array([r["toxic"] for r in rows], dtype=int), share)
+
+    def learn(sample: pd.DataFrame) -> pd.DataFrame:
+        sample = sample.sort_values("doc_id")
+        field = fit(sample["text"].tolist(), sample["toxic"].to_numpy(), share)
+        return pd.DataFrame({"field": [pickle.dumps(field)]})
+
+    ship_package(docs.sparkSession)
+    found = rows.groupBy(F.lit(0).alias("all")).applyInPandas(learn, "field binary").first()
+    return fit([], np.zeros(0), share) if found is None else pickle.loads(found["field"])
 
 
 def _code_points(data: np.ndarray, positions: np.ndarray) -> np.ndarray:
