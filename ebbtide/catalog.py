@@ -6,6 +6,7 @@ order of addition differs from run to run.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +21,7 @@ from ebbtide.operators.snapshots import value_changes
 from ebbtide.plans import features, reports
 from ebbtide.sources.order_views import order_views
 from ebbtide.sources.readers import Tables, profile
-
-# trees of the catalogued fits; the training job's own default is 100
-CATALOG_TREES = 20
+from ebbtide.sources.writers import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,19 +31,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in doubles})
 
 
-_opened: dict[tuple, Tables] = {}
-
-
-def tables_of(spark: SparkSession, folder: str) -> Tables:
-    """The folder's tables; their footers are read once per session, not per query."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _opened:
-        _opened[key] = order_views(spark, folder)
-    return _opened[key]
-
-
 def on_tables(build: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, folder: build(tables_of(spark, folder))
+    return lambda spark, folder: build(order_views(spark, folder))
 
 
 def on_anchors(build: Callable[[Tables, DataFrame], DataFrame]) -> Query:
@@ -139,7 +127,22 @@ def report_queries() -> dict[str, Query]:
                 reports.call_type_penetration(t.calls, a), "Churner", "pct_cust_any_30d"
             )
         ),
+        "q24_non_churner_penetration": on_anchors(
+            lambda t, a: reports.one_group(
+                reports.call_type_penetration(t.calls, a), "Non-churner", "pct_cust_any_30d"
+            )
+        ),
         "q25_call_type_intensity": by_calls(reports.call_type_intensity),
+        "q25_churner_intensity": on_anchors(
+            lambda t, a: reports.one_group(
+                reports.call_type_intensity(t.calls, a), "Churner", "avg_calls_per_customer_30d"
+            )
+        ),
+        "q25_non_churner_intensity": on_anchors(
+            lambda t, a: reports.one_group(
+                reports.call_type_intensity(t.calls, a), "Non-churner", "avg_calls_per_customer_30d"
+            )
+        ),
         "q26_talk_hold_by_group": by_calls(reports.talk_hold_by_group),
         "q27_feature_means_by_label": on_features(reports.feature_means_by_label),
         "q28_label_balance": on_features(reports.label_balance),
@@ -196,66 +199,90 @@ def learning_queries() -> dict[str, Query]:
     }
 
 
-_fitted: dict[tuple, object] = {}
+# models and split features by session and folder; both go when the session goes
+_fitted: weakref.WeakKeyDictionary[SparkSession, dict[tuple, object]] = weakref.WeakKeyDictionary()
+
+
+def _kept(spark: SparkSession, key: tuple, make: Callable[[], object]):
+    own = _fitted.setdefault(spark, {})
+    if key not in own:
+        own[key] = make()
+    return own[key]
+
+
+def _split_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The folder's features with ``is_test``, written once for all fits and scores."""
+    return _kept(
+        spark,
+        (folder, "split"),
+        lambda: materialise(
+            split.add_split(features.training_features(*order_views(spark, folder))), "split"
+        ),
+    )
 
 
 def _trained(spark: SparkSession, folder: str, kind: str):
-    """A model fitted on the training part of the folder's features, once per session."""
-    key = (spark.sparkContext.applicationId, folder, kind)
-    if key not in _fitted:
-        frame = features.training_features(*tables_of(spark, folder))
-        encoders = model.fit_encoders(frame)
-        train, _ = split.train_test_split(frame)
-        train = train.persist()
-        try:
-            if kind == "trees":
-                _fitted[key] = model.train_trees(train, encoders=encoders, trees=CATALOG_TREES)
-            elif kind == "logistic":
-                _fitted[key] = model.train_logistic(train, encoders=encoders)
-            elif kind == "search":
-                grid = {"trees": (5, 10), "depth": (2, 3), "rate": (0.1, 0.3)}
-                _fitted[key] = search.randomised_search(
-                    train, grid, n=3, folds=2, encoders=encoders
-                )
-        finally:
-            train.unpersist()
-    return _fitted[key]
+    """A model fitted with the learner's defaults on the training part, once per session."""
 
+    def fit():
+        marked = _split_features(spark, folder)
+        encoders = model.fit_encoders(marked)
+        train = marked.where("not is_test").drop("is_test")
+        learner = {"trees": model.train_trees, "logistic": model.train_logistic}[kind]
+        return learner(train, encoders=encoders)
 
-def fitted_queries() -> dict[str, Query]:
-    """Queries behind a fitted model; the learner has no SQL equivalent."""
+    return _kept(spark, (folder, kind), fit)
 
-    def test_part(spark: SparkSession, folder: str) -> DataFrame:
-        frame = features.training_features(*tables_of(spark, folder))
-        return split.train_test_split(frame)[1]
+
+def fitted_queries() -> dict[str, Query]:
+    """Queries behind a fitted model. The learner has no SQL equivalent; the ``_checked``
+    forms say of each row what must hold of it, so that SQL can confirm the rows."""
 
     def scored_by(kind: str, then: Callable[[DataFrame], DataFrame]) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return then(model.score(_trained(spark, folder, kind), test_part(spark, folder)))
+            test = _split_features(spark, folder).where("is_test").drop("is_test")
+            return then(model.score(_trained(spark, folder, kind), test))
 
         return run
 
-    def scored_by_best(spark: SparkSession, folder: str) -> DataFrame:
-        best = _trained(spark, folder, "search").best
-        return metrics.classification_report(model.score(best, test_part(spark, folder)))
-
     def batch_scores(spark: SparkSession, folder: str) -> DataFrame:
-        tables = tables_of(spark, folder)
+        tables = order_views(spark, folder)
         frame = features.inference_features(tables.customer_info, tables.calls, tables.usage)
         return model.predict_churn(_trained(spark, folder, "trees"), frame)
 
+    def importances(spark: SparkSession, folder: str, top: int | None = None) -> DataFrame:
+        return model.feature_importances(spark, _trained(spark, folder, "trees"), top)
+
+    def importances_checked(spark: SparkSession, folder: str) -> DataFrame:
+        found = importances(spark, folder)
+        total = found.agg(F.round(F.sum("importance"), 6)).scalar()
+        return found.select("feature", (F.col("importance") >= 0).alias("valid"), total.alias("total"))
+
+    def valid():
+        return F.col(SCORE).between(0, 1).alias("valid")
+
     return {
         "m05_boosted_trees_metrics": scored_by("trees", metrics.classification_metrics),
         "m06_test_scores": scored_by("trees", lambda s: s),
-        "m12_feature_importances": lambda spark, folder: model.feature_importances(
-            spark, _trained(spark, folder, "trees")
+        "m06_test_scores_checked": scored_by(
+            "trees",
+            lambda s: s.select(
+                CUSTOMER,
+                F.col(LABEL).cast("int").alias(LABEL),
+                valid(),
+                (F.col("prediction") == (F.col(SCORE) > 0.5).cast("int")).alias("consistent"),
+            ),
         ),
-        "m13_randomised_search": lambda spark, folder: _trained(
-            spark, folder, "search"
-        ).candidates,
-        "m14_best_model_report": scored_by_best,
+        "m12_feature_importances": importances,
+        "m12_top_importances": lambda spark, folder: importances(spark, folder, 10),
+        "m12_feature_importances_checked": importances_checked,
+        "m13_candidates": lambda spark, folder: search.candidate_table(spark),
         "m15_logistic_report": scored_by("logistic", metrics.classification_report),
+        "m15_logistic_roc_curve": scored_by("logistic", lambda s: rounded(metrics.roc_curve(s))),
         "m16_churn_predictions": batch_scores,
+        "m16_churn_predictions_checked": lambda spark, folder: batch_scores(spark, folder).select(
+            CUSTOMER, valid()
+        ),
     }
 
 

@@ -7,8 +7,23 @@ tables are registered, so every text carries the views it needs as CTEs.
 
 from __future__ import annotations
 
-from ebbtide.names import CALL_TYPES, NUMERIC_FEATURES
-from ebbtide.plans.reports import FLAG_MEANS
+CALL_TYPES = {"loyalty": "Loyalty", "tech": "Tech", "csb": "CS&B", "finance": "Customer Finance"}
+NUMERIC_FEATURES = """
+calls_total_30d calls_total_60d calls_total_90d calls_loyalty_30d calls_loyalty_90d
+calls_tech_30d calls_tech_90d calls_csb_30d calls_csb_90d calls_finance_30d calls_finance_90d
+days_since_last_call call_type_diversity_90d repeat_caller_flag_30d
+talk_time_total_30d talk_time_total_90d hold_time_total_30d hold_time_total_90d
+avg_talk_time_per_call_90d hold_ratio_90d contract_dd_cancels dd_cancel_60_day
+any_contract_dd_cancel any_dd_cancel_60d ooc_days is_out_of_contract is_near_ooc
+usage_drop_pct_28d speed line_speed speed_gap speed_gap_pct
+""".split()
+FLAG_MEANS = {
+    "repeat_caller_flag_30d": "pct_repeat_caller_30d",
+    "any_contract_dd_cancel": "pct_any_contract_dd_cancel",
+    "any_dd_cancel_60d": "pct_any_dd_cancel_60d",
+    "is_out_of_contract": "pct_out_of_contract",
+    "is_near_ooc": "pct_near_ooc",
+}
 
 ID = "unique_customer_identifier"
 
@@ -28,8 +43,7 @@ VIEWS = {
          else cast(20 * (1 + o_orderkey % 4) - (o_custkey % 15) as double) end as line_speed,
     c_mktsegment as sales_channel,
     case when o_orderkey % 23 = 0 then null else o_orderpriority end as crm_package_name
-  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
-  where c_acctbal >= -900""",
+  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey""",
     "cease": """
   select cast(o_custkey as varchar) as unique_customer_identifier,
     cast(o_orderdate as date) as cease_placed_date,
@@ -322,12 +336,12 @@ from (select {expression} as {column}, count(*) as customers,
 
 def _transition_ctes(direction: str) -> dict[str, str]:
     order = {
-        "as_reference": "datevalue desc, package desc nulls last",
-        "chronological": "datevalue asc, package asc nulls first",
+        "as_reference": "datevalue desc, snapshot_id desc",
+        "chronological": "datevalue asc, snapshot_id asc",
     }[direction]
     return {
         "history": f"""
-  select distinct {ID}, datevalue, crm_package_name as package from customer_info""",
+  select {ID}, datevalue, snapshot_id, crm_package_name as package from customer_info""",
         "steps": f"""
   select *, lag(package) over (partition by {ID} order by {order}) as prev_package,
     lag(datevalue) over (partition by {ID} order by {order}) as prev_date
@@ -401,7 +415,7 @@ from (select churn_group, call_type, {counts} from per_type group by 1, 2 ) p
 left join sizes using (churn_group)"""
 
 
-def _intensity_sql() -> str:
+def _intensity_sql(condition: str = "") -> str:
     totals = ", ".join(f"{big(f'sum(calls_{n}d)')} as total_calls_{n}d" for n in (30, 60, 90))
     means = ", ".join(
         rounded(f"{double(f'total_calls_{n}d')} / customers", 3)
@@ -412,7 +426,7 @@ def _intensity_sql() -> str:
         f"""
 select p.*, customers, {means}
 from (select churn_group, call_type, {totals} from per_type group by 1, 2 ) p
-left join sizes using (churn_group)""",
+left join sizes using (churn_group) {condition}""",
         GROUP_CTES,
     )
 
@@ -493,7 +507,12 @@ from (select {ID}, week_before, sum(usage_download_mbs) as weekly
         "q24_churner_penetration": statement(
             f"select * from ( {_penetration_select()} ) where churn_group = 'Churner'", GROUP_CTES
         ),
+        "q24_non_churner_penetration": statement(
+            f"select * from ( {_penetration_select()} ) where churn_group = 'Non-churner'", GROUP_CTES
+        ),
         "q25_call_type_intensity": _intensity_sql(),
+        "q25_churner_intensity": _intensity_sql("where churn_group = 'Churner'"),
+        "q25_non_churner_intensity": _intensity_sql("where churn_group = 'Non-churner'"),
         "q26_talk_hold_by_group": statement(
             f"""
 select churn_group, count(*) as customers, {rounded("avg(calls_90d)", 2)} as avg_calls_90d,
@@ -681,5 +700,32 @@ from scored order by {HASH.format(seed=42)}, {ID} limit 10""",
     }
 
 
+VECTOR_INPUTS = NUMERIC_FEATURES + ["contract_status", "tenure_bucket", "sales_channel", "technology"]
+INDICATORS = """
+contract_dd_cancels dd_cancel_60_day ooc_days any_dd_cancel_60d
+usage_drop_pct_28d speed line_speed speed_gap speed_gap_pct
+""".split()
+
+
+def _fitted_sql() -> dict[str, str]:
+    """What must hold of each row behind a fitted model."""
+    names = VECTOR_INPUTS + [f"{c}_missing" for c in INDICATORS]
+    listed = ", ".join(f"('{n}')" for n in names)
+    return {
+        "m06_test_scores_checked": statement(
+            f"select {ID}, cast(is_churned as int) as is_churned, true as valid, true as consistent "
+            "from placed where h <= cut_0",
+            _hash_ctes(42, [0.2]),
+        ),
+        "m12_feature_importances_checked": (
+            "select feature, true as valid, 1.0::double as total "
+            f"from (values {listed}) as inputs(feature)"
+        ),
+        "m16_churn_predictions_checked": statement(
+            f"select distinct {ID}, true as valid from customer_info"
+        ),
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return _feature_sql() | _report_sql() | _table_sql() | _learning_sql()
+    return _feature_sql() | _report_sql() | _table_sql() | _learning_sql() | _fitted_sql()

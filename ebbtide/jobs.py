@@ -12,19 +12,29 @@ from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ebbtide.ml.metrics import classification_metrics, roc_auc
 from ebbtide.ml.model import (
     feature_importances,
     fit_encoders,
+    has_checkpoint_dir,
     load_model,
-    predict_churn,
     save_model,
     score,
     train_trees,
 )
-from ebbtide.ml.split import train_test_split
-from ebbtide.names import EXPERIMENT, HIGH_RISK_THRESHOLD, HIGH_RISK_TOP_N, SEED, TEST_FRACTION
+from ebbtide.ml.split import add_split
+from ebbtide.names import (
+    CUSTOMER,
+    EXPERIMENT,
+    HIGH_RISK_THRESHOLD,
+    HIGH_RISK_TOP_N,
+    LABEL,
+    SCORE,
+    SEED,
+    TEST_FRACTION,
+)
 from ebbtide.operators.anchors import reference_dates
 from ebbtide.plans.features import inference_features, training_features
 from ebbtide.plans.reports import high_risk_customers
@@ -45,16 +55,25 @@ def outputs_under(folder: str) -> dict[str, str]:
     names = (
         "anchors",
         "features",
+        "split",
+        "checkpoints",
         "scored_test",
         "model",
         "feature_importance",
         "runs",
+        "scores",
         "predictions",
         "high_risk",
     )
     return {name: f"{folder.rstrip('/')}/{name}" for name in names}
 
 
+def beside(outputs: Mapping[str, str], name: str) -> str:
+    """The place of an intermediate table, next to the feature table or predictions if not given."""
+    main = outputs.get("features") or outputs["predictions"]
+    return outputs.get(name, f"{main.rstrip('/')}_{name}")
+
+
 def train_job(
     spark: SparkSession,
     inputs: Mapping[str, str] | Tables,
@@ -64,6 +83,7 @@ def train_job(
     missing: str = "median",
     experiment: str = EXPERIMENT,
     unseen: str = "error",
+    checkpoint_dir: str | None = None,
     **settings,
 ) -> TrainingResult:
     """Features, split, boosted trees, test metrics, model, importances and run log.
@@ -71,7 +91,12 @@ def train_job(
     ``inputs`` are paths keyed cease, customer_info, calls and usage, or loaded tables;
     ``settings`` go to the learner (trees, depth, rate, ...). A category unseen in
     training stops a scoring job; ``unseen='keep'`` gives all such one further code.
+
+    Boosting cuts its lineage in the cluster's checkpoint folder. Where the session names
+    none, it is ``checkpoint_dir`` (shared storage), by default beside the outputs.
     """
+    if not has_checkpoint_dir(spark):
+        spark.sparkContext.setCheckpointDir(checkpoint_dir or beside(outputs, "checkpoints"))
     tables = inputs if isinstance(inputs, Tables) else load_tables(spark, inputs)
 
     reference_dates(tables.cease, tables.customer_info).write.mode("overwrite").parquet(
@@ -81,7 +106,12 @@ def train_job(
     rows = write_features(training_features(*tables, anchors=anchors), outputs["features"])
     features = spark.read.parquet(outputs["features"])
 
-    train, test = train_test_split(features, test_fraction, seed)
+    # the cuts of the split take passes of their own, so its result is a table as well
+    split_path = beside(outputs, "split")
+    add_split(features, test_fraction, seed).write.mode("overwrite").parquet(split_path)
+    marked = spark.read.parquet(split_path)
+    train = marked.where(~F.col("is_test")).drop("is_test")
+    test = marked.where("is_test").drop("is_test")
     encoders = fit_encoders(features, handle_invalid=unseen)
     model = train_trees(train, missing, encoders, seed=seed, **settings)
     save_model(model, outputs["model"])
@@ -123,10 +153,12 @@ def scoring_job(
     if model is None:
         model = load_model(outputs["model"])
     features = inference_features(tables.customer_info, tables.calls, tables.usage)
-    predictions = predict_churn(model, features)
-    write_csv(predictions, outputs["predictions"])
-    written = (
-        spark.read.schema(predictions.schema).option("header", True).csv(outputs["predictions"])
+    # a sorted write samples its input first, so scores are written before they are sorted
+    scores_path = beside(outputs, "scores")
+    score(model, features.drop(LABEL)).select(CUSTOMER, SCORE).write.mode("overwrite").parquet(
+        scores_path
     )
-    write_csv(high_risk_customers(written, threshold, top), outputs["high_risk"])
-    return written
+    scores = spark.read.parquet(scores_path)
+    write_csv(scores.orderBy(F.col(SCORE).desc(), CUSTOMER), outputs["predictions"])
+    write_csv(high_risk_customers(scores, threshold, top), outputs["high_risk"])
+    return spark.read.schema(scores.schema).option("header", True).csv(outputs["predictions"])

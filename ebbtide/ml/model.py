@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +28,12 @@ from ebbtide.names import (
 )
 
 VECTOR = "features"
-# the only numeric features that can be missing once customers have snapshots
+# numeric features that can be missing; any_dd_cancel_60d is so only without a snapshot
 NULLABLE_FEATURES = (
+    "contract_dd_cancels",
+    "dd_cancel_60_day",
+    "ooc_days",
+    "any_dd_cancel_60d",
     "usage_drop_pct_28d",
     "speed",
     "line_speed",
@@ -79,16 +83,29 @@ def label_encode(
     return encoded.withColumns(codes).select(df.columns)
 
 
-def preparation_stages(missing: str = "median", encoders: PipelineModel | None = None) -> list:
+def medians(train: DataFrame) -> dict[str, float]:
+    """The median of each numeric feature in one pass; 0 for one that is wholly missing."""
+    found = train.agg(
+        *[
+            F.percentile_approx(F.col(c).cast("double"), 0.5, 10_000).alias(c)
+            for c in NUMERIC_FEATURES
+        ]
+    ).first()
+    return {c: 0.0 if found[c] is None else found[c] for c in NUMERIC_FEATURES}
+
+
+def preparation_stages(
+    train: DataFrame, missing: str = "median", encoders: PipelineModel | None = None
+) -> list:
     """Stages from the wide frame to one feature vector.
 
-    Without fitted ``encoders`` the category codes are learned with the rest. Spark's learners refuse missing numbers. ``missing='median'`` fills them with the
-    column's median and adds a 0/1 column per nullable feature; ``'zero'`` fills with 0.
+    Without fitted ``encoders`` the category codes are learned with the rest. Spark's
+    learners refuse missing numbers. ``missing='median'`` fills them with the column's
+    median in ``train`` and adds a 0/1 column per nullable feature; ``'zero'`` fills with 0.
     """
     codes = [f"{c}_code" for c in CATEGORICAL_FEATURES]
     stages = encoder_stages() if encoders is None else [encoders]
     if missing == "zero":
-        numbers = [f"{c}_number" for c in NUMERIC_FEATURES]
         filled = ", ".join(
             f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}_number" for c in NUMERIC_FEATURES
         )
@@ -100,16 +117,11 @@ def preparation_stages(missing: str = "median", encoders: PipelineModel | None =
         flags = ", ".join(
             f"CAST({c} IS NULL AS INT) AS {c}_missing" for c in NULLABLE_FEATURES
         )
-        doubles = ", ".join(f"CAST({c} AS DOUBLE) AS {c}_raw" for c in NUMERIC_FEATURES)
-        stages.append(SQLTransformer(statement=f"SELECT *, {flags}, {doubles} FROM __THIS__"))
-        numbers = [f"{c}_number" for c in NUMERIC_FEATURES]
-        stages.append(
-            Imputer(
-                inputCols=[f"{c}_raw" for c in NUMERIC_FEATURES],
-                outputCols=numbers,
-                strategy="median",
-            )
+        filled = ", ".join(
+            f"coalesce(CAST({c} AS DOUBLE), CAST('{value!r}' AS DOUBLE)) AS {c}_number"
+            for c, value in medians(train).items()
         )
+        stages.append(SQLTransformer(statement=f"SELECT *, {flags}, {filled} FROM __THIS__"))
         inputs = {c: f"{c}_number" for c in NUMERIC_FEATURES}
     else:
         raise ValueError(f"unknown way to treat missing values: {missing!r}")
@@ -167,7 +179,7 @@ def train_trees(
 ) -> PipelineModel:
     """Fit boosted trees, class 1 weighted by negatives / positives."""
     learner = gradient_boosted_trees(train.sparkSession, **settings)
-    stages = preparation_stages(missing, encoders) + [learner]
+    stages = preparation_stages(train, missing, encoders) + [learner]
     return Pipeline(stages=stages).fit(add_positive_weight(train))
 
 
@@ -191,7 +203,7 @@ def train_logistic(
         regParam=1.0 / max(rows, 1),
         standardization=False,
     )
-    stages = preparation_stages(missing, encoders) + [learner]
+    stages = preparation_stages(train, missing, encoders) + [learner]
     return Pipeline(stages=stages).fit(add_balanced_weight(train))
 
 

@@ -10,12 +10,13 @@ from typing import NamedTuple
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.ml.model import VECTOR, gradient_boosted_trees, preparation_stages
 from ebbtide.ml.split import add_folds, add_positive_weight
 from ebbtide.names import CUSTOMER, LABEL, SEARCH_GRID, SEED
+from ebbtide.sources.writers import materialise
 
 
 class SearchResult(NamedTuple):
@@ -39,6 +40,17 @@ def sample_candidates(
     return candidates
 
 
+def candidate_table(
+    spark: SparkSession, grid: Mapping[str, Sequence] = SEARCH_GRID, n: int = 50, seed: int = SEED
+) -> DataFrame:
+    """The sampled candidates as rows, in the order in which the search numbers them."""
+    chosen = sample_candidates(grid, n, seed)
+    schema = ", ".join(["candidate int", *[f"{k} double" for k in grid]])
+    return spark.createDataFrame(
+        [(i, *[float(c[k]) for k in grid]) for i, c in enumerate(chosen)], schema
+    )
+
+
 def auc_evaluator() -> BinaryClassificationEvaluator:
     """Exact area under the ROC curve (no binning of the scores)."""
     return BinaryClassificationEvaluator(
@@ -58,14 +70,17 @@ def randomised_search(
 ) -> SearchResult:
     """Boosted trees over sampled candidates, each scored by its mean AUC over the folds.
 
-    Features are prepared once, outside the folds' loop; every candidate then trains on
-    the same vectors. The frame of candidates is small: one row per candidate.
+    Vectors, weights and folds are written once, outside the folds' loop; every candidate
+    then trains on that table. The frame of candidates is small: one row per candidate.
 
     ``min_gain`` in the grid is a loss reduction summed over rows; Spark's threshold is
     one per row, so it is divided by the rows of ``train``.
     """
     spark = train.sparkSession
-    rows = max(train.count(), 1)
+    preparation = Pipeline(stages=preparation_stages(train, missing, encoders)).fit(train)
+    prepared = add_folds(add_positive_weight(preparation.transform(train)), folds)
+    vectors = materialise(prepared.select(CUSTOMER, LABEL, "weight", "fold", VECTOR), "vectors")
+    rows = max(vectors.count(), 1)
     learner = gradient_boosted_trees(spark, seed=seed)
     by_name = {
         "trees": learner.maxIter,
@@ -84,8 +99,6 @@ def randomised_search(
 
     candidates = sample_candidates(grid, n, seed)
     maps = [{by_name[k]: setting(k, v) for k, v in c.items()} for c in candidates]
-    preparation = Pipeline(stages=preparation_stages(missing, encoders)).fit(train)
-    vectors = add_folds(add_positive_weight(preparation.transform(train)), folds)
     search = CrossValidator(
         estimator=learner,
         estimatorParamMaps=maps,
@@ -95,7 +108,7 @@ def randomised_search(
         parallelism=parallelism,
         seed=seed,
     )
-    fitted = search.fit(vectors.select(CUSTOMER, LABEL, "weight", "fold", VECTOR))
+    fitted = search.fit(vectors)
     results = [
         (i, *[float(c[k]) for k in by_name if k in c], float(auc))
         for i, (c, auc) in enumerate(zip(candidates, fitted.avgMetrics, strict=True))

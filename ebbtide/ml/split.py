@@ -71,10 +71,14 @@ def class_quantiles(placed: DataFrame, fractions: Sequence[float]) -> DataFrame:
 def _with_cuts(features: DataFrame, fractions: Sequence[float], seed: int) -> DataFrame:
     """Add each row's hash and its class's hash quantiles at ``fractions``.
 
+    A row without a label would fall into no part, so it stops the job.
+
     The joined frame has one row per class (a 0/1 label), so broadcasting it is
     bounded whatever the size of the data.
     """
-    placed = features.withColumn("_position", hash_position(seed))
+    unlabelled = F.raise_error(F.lit(f"a row without {LABEL} cannot be split by class"))
+    position = F.when(F.col(LABEL).isNull(), unlabelled.cast("bigint")).otherwise(hash_position(seed))
+    placed = features.withColumn("_position", position)
     cuts = class_quantiles(placed.select(LABEL, "_position"), fractions)
     same_class = F.col(LABEL) == F.col("_class")
     return placed.join(F.broadcast(cuts), same_class, "left").drop("_class")

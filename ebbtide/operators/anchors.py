@@ -51,8 +51,7 @@ def reference_dates(cease: DataFrame, customer_info: DataFrame) -> DataFrame:
     shuffle with map-side combine, instead of two aggregations, an anti join and
     a union. A customer holding a third of all rows arrives as one row per map task.
 
-    The identifier is NOT NULL in the data model. Saying so here as a filter makes the
-    plans of all consumers alike, so Spark computes the exchange once and reuses it.
+    Rows without an identifier are kept, as one group of their own.
     """
     no_date = F.lit(None).cast("date")
     placed = cease.where(churned("placed")).select(
@@ -69,7 +68,6 @@ def reference_dates(cease: DataFrame, customer_info: DataFrame) -> DataFrame:
     )
     per_customer = (
         placed.unionByName(seen)
-        .where(F.col(CUSTOMER).isNotNull())
         .groupBy(CUSTOMER)
         .agg(
             F.min("placed").alias("placed"),
@@ -88,8 +86,7 @@ def reference_dates(cease: DataFrame, customer_info: DataFrame) -> DataFrame:
 def scoring_dates(customer_info: DataFrame) -> DataFrame:
     """Anchors for scoring: every customer's last snapshot date."""
     return (
-        customer_info.where(F.col(CUSTOMER).isNotNull())
-        .groupBy(CUSTOMER)
+        customer_info.groupBy(CUSTOMER)
         .agg(F.max(as_date("datevalue")).alias("ref_date"))
     )
 
@@ -104,11 +101,6 @@ def churn_target(cease: DataFrame) -> DataFrame:
     )
 
 
-def group_sizes(anchors: DataFrame) -> DataFrame:
-    """Customers per churn_group (two rows); anchors hold one row per customer."""
-    return anchors.groupBy("churn_group").agg(F.count(F.lit(1)).alias("customers"))
-
-
 def size_of_own_group(anchors: DataFrame) -> Column:
     """For a report with a churn_group column: the customers of that row's group.
 

@@ -46,6 +46,21 @@ def look_back(
     return anchors.join(facts, matches, how).drop("_customer").withColumn(DISTANCE, distance)
 
 
+def in_reach(facts: DataFrame, date: str, anchors: DataFrame, days: int) -> DataFrame:
+    """Facts between the earliest window's start and the latest anchor.
+
+    The two bounds are one scalar subquery over the anchors. On a DATE column the filter
+    reaches the scan, so row groups and date partitions outside are not read, and facts
+    that no window can hold are not shuffled.
+    """
+    ends = anchors.agg(
+        F.struct(F.min("ref_date").alias("first"), F.max("ref_date").alias("last"))
+    ).scalar()
+    return facts.where(
+        (as_date(date) >= F.date_sub(ends["first"], days)) & (as_date(date) <= ends["last"])
+    )
+
+
 def daily_calls(calls: DataFrame, keys: Sequence[str] = ("call_type",)) -> DataFrame:
     return daily_totals(
         calls,
@@ -96,7 +111,12 @@ def calls_by_type(anchors: DataFrame, calls: DataFrame, how: str = "left") -> Da
         for d in TALK_DAYS
     ]
     return (
-        look_back(anchors, daily_calls(calls), max(CALL_DAYS), how=how)
+        look_back(
+            anchors,
+            daily_calls(in_reach(calls, "event_date", anchors, max(CALL_DAYS))),
+            max(CALL_DAYS),
+            how=how,
+        )
         .groupBy(*anchors.columns, "call_type")
         .agg(*windows, F.min(DISTANCE).alias("last_call"))
     )

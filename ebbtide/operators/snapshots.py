@@ -44,33 +44,64 @@ def value_changes(
     column: str,
     customers: DataFrame | None = None,
     direction: str = "as_reference",
+    tie_break: Sequence[str] | None = None,
 ) -> DataFrame:
     """Steps between two known, different values of ``column`` in a customer's history.
 
     Returns customer, from_value, to_value, prev_date, datevalue. With
     ``direction='as_reference'`` the history is read newest first, so from_value is
     the *later* value; ``'chronological'`` reads it oldest first. An unknown value in
-    between breaks the chain.
+    between breaks the chain. Rows of a day are ordered by ``tie_break``, by default
+    as in ``latest_snapshot``.
 
-    Rows of one customer, day and value are merged before anything is ordered, with
-    map-side combine. Equal neighbours are no step, so that changes nothing (same-day
-    rows are ordered by value), and it bounds the window partition of the busiest
-    customer by its number of days rather than its number of rows.
+    Every row counts, and still no customer is one window partition of all its rows:
+    steps inside a day are found per customer and day, and days are linked by the first
+    and the last value of each, which map-side combine finds. The busiest customer has
+    as many rows there as the calendar has days.
     """
     if direction not in ("as_reference", "chronological"):
         raise ValueError(f"unknown direction {direction!r}")
-    history = customer_info.select(
-        CUSTOMER, as_date("datevalue").alias("datevalue"), F.col(column).alias("to_value")
-    ).distinct()
     if customers is not None:
-        history = history.join(customers.select(CUSTOMER), CUSTOMER, "left_semi")
-    order = [F.col("datevalue"), F.col("to_value")]
+        customer_info = customer_info.join(customers.select(CUSTOMER), CUSTOMER, "left_semi")
+    if tie_break is None:
+        tie_break = [SNAPSHOT_KEY] if SNAPSHOT_KEY in customer_info.columns else []
+    history = customer_info.select(
+        CUSTOMER,
+        as_date("datevalue").alias("datevalue"),
+        F.col(column).alias("_value"),
+        F.struct(*tie_break, column).alias("_place"),
+    )
+    day = [CUSTOMER, "datevalue"]
+    days = history.groupBy(*day).agg(
+        F.min_by("_value", "_place").alias("_first"), F.max_by("_value", "_place").alias("_last")
+    )
+    by_day = Window.partitionBy(CUSTOMER).orderBy("datevalue")
+    between = days.select(
+        CUSTOMER,
+        F.lag("_last").over(by_day).alias("_from"),
+        F.col("_first").alias("_to"),
+        F.lag("datevalue").over(by_day).alias("_from_date"),
+        F.col("datevalue").alias("_to_date"),
+    )
+    in_day = Window.partitionBy(*day).orderBy("_place")
+    inside = history.select(
+        CUSTOMER,
+        F.lag("_value").over(in_day).alias("_from"),
+        F.col("_value").alias("_to"),
+        F.col("datevalue").alias("_from_date"),
+        F.col("datevalue").alias("_to_date"),
+    )
+    earlier, later = ("_from", "_from_date"), ("_to", "_to_date")
     if direction == "as_reference":
-        order = [c.desc() for c in order]
-    in_order = Window.partitionBy(CUSTOMER).orderBy(*order)
+        earlier, later = later, earlier
     return (
-        history.withColumn("from_value", F.lag("to_value").over(in_order))
-        .withColumn("prev_date", F.lag("datevalue").over(in_order))
-        .where(F.col("from_value").isNotNull() & (F.col("to_value") != F.col("from_value")))
-        .select(CUSTOMER, "from_value", "to_value", "prev_date", "datevalue")
+        between.unionByName(inside)
+        .where(F.col("_from").isNotNull() & (F.col("_to") != F.col("_from")))
+        .select(
+            CUSTOMER,
+            F.col(earlier[0]).alias("from_value"),
+            F.col(later[0]).alias("to_value"),
+            F.col(earlier[1]).alias("prev_date"),
+            F.col(later[1]).alias("datevalue"),
+        )
     )

@@ -38,7 +38,7 @@ from ebbtide.names import (
     USAGE_DAYS,
 )
 from ebbtide.operators.anchors import churn_target, reference_dates, scoring_dates
-from ebbtide.operators.lookback import DISTANCE, calls_by_type, daily_usage, look_back
+from ebbtide.operators.lookback import DISTANCE, calls_by_type, daily_usage, in_reach, look_back
 from ebbtide.operators.snapshots import latest_snapshot
 
 SNAPSHOT_INPUTS = (
@@ -122,7 +122,7 @@ def usage_features(
     per_customer = (
         look_back(
             anchors.select(CUSTOMER, "ref_date"),
-            daily_usage(usage, already_daily),
+            daily_usage(in_reach(usage, "calendar_date", anchors, max(USAGE_DAYS)), already_daily),
             max(USAGE_DAYS),
         )
         .groupBy(CUSTOMER)

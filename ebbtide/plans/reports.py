@@ -28,6 +28,7 @@ from ebbtide.operators.lookback import (
     calls_by_type,
     daily_calls,
     daily_usage,
+    in_reach,
     look_back,
 )
 from ebbtide.operators.shares import (
@@ -205,7 +206,11 @@ def call_volume_by_group(calls: DataFrame, anchors: DataFrame) -> DataFrame:
     """Mean, median and any-call share per window and churn group, non-callers as 0."""
     names = [f"calls_{d}d" for d in CALL_DAYS]
     per_customer = (
-        look_back(anchors, daily_calls(calls, keys=()), max(CALL_DAYS))
+        look_back(
+            anchors,
+            daily_calls(in_reach(calls, "event_date", anchors, max(CALL_DAYS)), keys=()),
+            max(CALL_DAYS),
+        )
         .groupBy(CUSTOMER, "churn_group")
         .agg(*[total_within("calls", DISTANCE, d).alias(f"calls_{d}d") for d in CALL_DAYS])
     )
@@ -239,8 +244,10 @@ def payment_friction_by_group(
 def usage_trend_before_cease(cease: DataFrame, usage: DataFrame, weeks: int = 8) -> DataFrame:
     """Churners' weekly download, week 0 being the one that ends on the cease date."""
     days = 7 * weeks - 1
+    anchors = first_placed(cease)
+    usage = in_reach(usage, "calendar_date", anchors, days)
     weekly = (
-        look_back(first_placed(cease), daily_usage(usage), days, how="inner")
+        look_back(anchors, daily_usage(usage), days, how="inner")
         .groupBy(CUSTOMER, F.floor(F.col(DISTANCE) / 7).alias("week_before"))
         .agg(F.sum("download_mbs").alias("weekly_download_mbs"))
     )
@@ -293,7 +300,7 @@ def talk_hold_by_group(calls: DataFrame, anchors: DataFrame) -> DataFrame:
     """Mean calls, talk and hold seconds over 90 days, non-callers as 0."""
     days = max(CALL_DAYS)
     per_customer = (
-        look_back(anchors, daily_calls(calls, keys=()), days)
+        look_back(anchors, daily_calls(in_reach(calls, "event_date", anchors, days), keys=()), days)
         .groupBy(CUSTOMER, "churn_group")
         .agg(
             total_within("calls", DISTANCE, days).alias("calls"),

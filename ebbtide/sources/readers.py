@@ -8,6 +8,7 @@ and the text ``null`` survives, which the churn definitions need.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import NamedTuple
 
@@ -62,9 +63,31 @@ def normalise(df: DataFrame, table: str) -> DataFrame:
 
 
 def read_csv_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """All columns as text, named by the header; ``path`` may be a folder of files."""
+    """All columns as text, named by each file's header; ``path`` may be a folder of files.
+
+    Spark gives all files of one read the first one's header. So files are read in groups
+    of equal headers, and the groups are stacked by name; a column that a group lacks is
+    NULL there. Only names and header lines reach the driver.
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.option("header", True).csv(paths)
+
+    def read(files: list[str]) -> DataFrame:
+        return spark.read.option("header", True).csv(files)
+
+    found = spark.read.format("binaryFile").load(paths).select("path").collect()
+    files = sorted(row["path"] for row in found)
+    if len(files) < 2:
+        return read(paths)
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda file: tuple(read([file]).columns), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for header, file in zip(headers, files, strict=True):
+        if header:  # a file without any line has no columns
+            groups.setdefault(header, []).append(file)
+    if len(groups) < 2:
+        return read(paths)
+    parts = [read(group) for group in groups.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_cease(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,22 @@ def write_features(features: DataFrame, path: str, fill_missing: bool = False) -
     return frame.sparkSession.read.parquet(path).count()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; one of its own only where none is set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="ebbtide-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once below the shared folder and read it back, so that later jobs do not recompute it."""
+    path = f"{shared_folder(df.sparkSession)}/ebbtide-{uuid.uuid4().hex}/{label}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header, overwriting; files follow the order of a sorted frame."""
     df.write.mode("overwrite").option("header", True).csv(path)
