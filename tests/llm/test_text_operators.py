@@ -1,0 +1,640 @@
+"""The text operators against brute force, on odd rows, on empty tables and on a small table."""
+
+import collections
+import hashlib
+import itertools
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ebbtide.llm import (
+    context_tree,
+    decontamination,
+    jaccard_join,
+    mixing,
+    pii,
+    sharding,
+    token_counts,
+    token_files,
+    toxicity,
+    vantage_trees,
+)
+from ebbtide.llm.shared import vocabulary
+from ebbtide.llm.words import chunks_of, span_hashes, word_hashes, words
+
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words_of(text):
+    return WORD.findall((text or "").translate(FOLD))
+
+
+@pytest.fixture(scope="module")
+def documents(spark, sf01):
+    return spark.read.parquet(f"{sf01}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(documents):
+    return {r.doc_id: r.text for r in documents.select("doc_id", "text").collect()}
+
+
+# --- words ---
+
+
+def test_words_and_hashes_follow_the_pattern():
+    import pyarrow as pa
+
+    samples = ["A b\tc", None, "", "é É x", " \n ", "one", "b A"]
+    for limit in (3, 1 << 20):
+        found = []
+        for chunk in chunks_of(pa.array(samples), limit):
+            data, starts, ends, first = words(chunk)
+            hashes, _ = word_hashes(chunk)
+            for k in range(len(chunk)):
+                part = range(first[k], first[k + 1])
+                found.append([(bytes(data[starts[j] : ends[j]]).decode(), hashes[j]) for j in part])
+        assert [[w for w, _ in row] for row in found] == [words_of(s) for s in samples]
+        by_word = collections.defaultdict(set)
+        for w, h in itertools.chain(*found):
+            by_word[w].add(h)
+        assert all(len(h) == 1 for h in by_word.values())
+        assert len({next(iter(h)) for h in by_word.values()}) == len(by_word)
+
+
+def test_hash_of_a_span_does_not_depend_on_its_place():
+    data = np.frombuffer(b"abc xx abc" * 3, np.uint8)
+    starts = np.array([0, 7, 10, 17])
+    a, b = span_hashes(data, starts, starts + 3, starts + 2)
+    assert len(set(a.tolist())) == 1 and len(set(b.tolist())) == 1 and a[0] != b[0]
+
+
+# --- 1: n-gram Jaccard join ---
+
+
+def brute_components(texts, how):
+    sets = {}
+    for key, text in texts:
+        ws, k = words_of(text), how.words
+        if len(ws) >= k:
+            sets[key] = frozenset(tuple(ws[i : i + k]) for i in range(len(ws) - k + 1))
+        else:
+            sets[key] = frozenset([tuple(ws)] if ws else [])
+    root = {k: k for k in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(sets, 2):
+        x, y = sets[a], sets[b]
+        if x and y and len(x & y) * how.bottom >= len(x | y) * how.top:
+            p, q = sorted((find(a), find(b)))
+            root[q] = p
+    return {k: (len(sets[k]), find(k)) for k in sets}
+
+
+@pytest.mark.parametrize("top, size, common", [(90, 3, 48), (80, 5, 48), (80, 3, 2), (60, 2, 1)])
+def test_classes_equal_brute_force(spark, top, size, common):
+    """Chains of edited copies, shared passages, short texts; also with most shingles common."""
+    rng = random.Random(top + size + common)
+    passage = [f"p{i}" for i in range(30)]
+    rows = []
+    for base in range(12):
+        own = [f"w{rng.randrange(60)}" for _ in range(rng.choice([1, 2, 5, 40, 80]))]
+        if base % 3 == 0:
+            own += passage
+        for copy in range(rng.choice([1, 2, 6])):
+            rows.append((len(rows), " ".join(own)))
+            own = list(own)
+            for _ in range(copy % 3):
+                own[rng.randrange(len(own))] = f"e{rng.randrange(99)}"
+    rows += [(len(rows), ""), (len(rows) + 1, None), (len(rows) + 2, "  ")]
+    how = jaccard_join.Similarity(top, 100, size)
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), how, common)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows, how)
+
+
+def test_one_of_each_class_stays(spark, odd):
+    kept = jaccard_join.keep_first(odd)
+    assert kept.columns == odd.columns
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7, 8, 9]
+
+
+# --- 2: personal data ---
+
+
+def brute_base(text):
+    spans = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        spans.append((m.start(), 0, m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            spans.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in m[0] if c.isdigit()]
+        total = sum(d if k % 2 == 0 else (2 * d if d < 5 else 2 * d - 9) for k, d in enumerate(digits[::-1]))
+        if 14 <= len(digits) <= 19 and total % 10 == 0:
+            spans.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
+            spans.append((m.start(), 3, m.end()))
+    return sorted(spans)
+
+
+PIECES = ["a@b.c", "@d.e", "x.y+z@q-w.org", "1.2.3.4", "256.1.1.1", "1.2.3.4.5", "0010.2.3.4", "+1 (555) 010-9999",
+          "4111 1111 1111 1111", "4111-1111-1111-1112", "é", " ", ".", "@", "+", "DE89 3704 0044 0532 0130 00", "\n"]
+
+
+def test_base_spans_equal_the_patterns(texts):
+    rng = random.Random(5)
+    made = ["".join(rng.choices(PIECES, k=12)) for _ in range(400)]
+    for text in made + list(texts.values())[:300]:
+        assert pii.base_spans(text) == brute_base(text)
+
+
+def test_added_spans_need_their_check_and_context():
+    text = "my account DE89 3704 0044 0532 0130 00 AND MORE, but DE88 3704 0044 0532 0130 00"
+    assert [text[s:e] for s, _, e in pii.added_spans(text)] == ["DE89 3704 0044 0532 0130 00"]
+    assert pii.added_spans("number 123-45-6789") == []
+    assert len(pii.added_spans("my ssn: 123-45-6789")) == 1
+    assert pii.score("call +1 555 0100 999", 5, 20, "phone") > pii.score("x +1 555 0100 999", 2, 17, "phone")
+
+
+def test_pii_rows(spark, odd):
+    rows = pii.find_pii(odd).collect()
+    assert len(rows) == 11
+    none = hashlib.sha256(b"").hexdigest()
+    assert {(r.n_email, r.base_sha256, r.spans) for r in rows} == {(0, none, "")}
+    mail = spark.createDataFrame([(1, "write to a.b@c.de or 10.0.0.1")], "doc_id long, text string")
+    assert pii.find_pii(mail).first().spans == "email:9:17,ip:21:29"
+
+
+# --- 3: token files ---
+
+
+@pytest.mark.parametrize("case", range(6))
+def test_coder_round_trip(case):
+    rng = np.random.default_rng(case)
+    n = [0, 1, 4096, 9001, 20_000, 4097][case]
+    ids = [rng.integers(0, 65536, n), np.minimum(rng.zipf(1.4, n), 49407), np.full(n, 65535)][case % 3]
+    assert np.array_equal(token_files.decode(token_files.encode(ids.astype("<u2"))), ids)
+
+
+def test_repeated_ids_take_little_room_and_damage_is_found():
+    ids = np.tile(np.arange(100, 160), 300)
+    payload = token_files.encode(ids.astype("<u2"))
+    assert len(payload) < len(ids) // 4
+    broken = bytearray(payload)
+    broken[len(payload) // 2] ^= 1
+    with pytest.raises(ValueError, match="damaged"):
+        token_files.decode(bytes(broken))
+    with pytest.raises(ValueError):
+        token_files.decode(payload[:-2])
+    with pytest.raises(ValueError):
+        token_files.decode(b"nothing")
+
+
+def brute_tokens(texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary(token_files.VOCABULARY))
+    return [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for t in texts]
+
+
+def check_files(rows, got):
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0]))
+    got = sorted((tuple(r) for r in got), key=lambda r: r[1])
+    start = 0
+    for (doc, _), ids, row in zip(rows, brute_tokens([t for _, t in rows]), got, strict=True):
+        assert row == (doc, start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+def test_files_of_odd_rows(odd):
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    check_files(rows, token_files.write_and_read(odd).collect())
+
+
+def test_files_of_a_table(documents, texts):
+    check_files(list(texts.items()), token_files.write_and_read(documents).collect())
+
+
+def test_a_chunk_of_its_own_for_each_few_documents(documents, monkeypatch):
+    chunks = token_files.write_tokens(documents)
+    assert chunks.agg(F.sum(F.size("doc_ids"))).first()[0] == documents.count()
+    one = chunks.first()
+    assert sum(one.lengths) == one.n_ids == len(token_files.decode(bytes(one.payload)))
+
+
+# --- 4: token counts ---
+
+
+def test_counts_equal_the_library(odd, texts, spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary(token_counts.VOCABULARY))
+    tricky = ["a  b", "a \n b", " lead", "trail ", "x  y", "a  b", "it's <|endoftext|> and <|endoftext|>s", "  "]
+    rows = list(enumerate([*tricky, *list(texts.values())[:200]]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").unionByName(odd.select("doc_id", "text"))
+    want = collections.Counter()
+    for r in df.collect():
+        n = len(tokenizer.encode(r.text or "", add_special_tokens=False))
+        want[(r.doc_id, len((r.text or "").encode()), n, n > 512)] += 1
+    assert collections.Counter(tuple(r) for r in token_counts.count_tokens(df).collect()) == want
+
+
+def test_remembered_pieces_are_bounded(texts):
+    counter = token_counts.Counter(vocabulary(token_counts.VOCABULARY), memo=500)
+    sample = list(texts.values())[:60]
+    small = [counter.counts([t])[0] for t in sample]
+    assert small == token_counts.Counter(vocabulary(token_counts.VOCABULARY)).counts(sample)
+
+
+# --- 5: nearest neighbours ---
+
+
+def brute_nearest(rows, queries, k):
+    out = []
+    for q, v in queries:
+        found = [(-float((np.array(v) * np.array(w)).sum()), i) for i, w in rows if i != q]
+        out += [(q, place + 1, i, -s) for place, (s, i) in enumerate(sorted(found)[:k])]
+    return out
+
+
+@pytest.mark.parametrize("shard_rows, block", [(100, 7), (10_000, 8192)])
+def test_trees_are_exact_at_factor_one(spark, shard_rows, block):
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(1500, 6)).round(2)
+    points[:400] = points[0]  # many equal vectors
+    points[400:800] += np.array([9, 0, 0, 0, 0, 0])
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    odd = [(2000, None), (2001, [0.0] * 6), (2002, [1.0, None, 1.0, 1.0, 1.0, 1.0]),
+           (2003, [float("nan")] * 6), (2004, [float("inf")] * 6), (None, [1.0] * 6)]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>")
+    asked = df.where("vec_id % 50 = 0 or vec_id > 1999")
+    got = vantage_trees.nearest(df, asked, 5, 1.0, shard_rows, block).collect()
+    want = brute_nearest(rows, [r for r in rows if r[0] % 50 == 0], 5)
+    assert sorted(tuple(r)[:3] for r in got) == sorted(r[:3] for r in want)
+    assert max(abs(a.score - b[3]) for a, b in zip(sorted(got), sorted(want), strict=True)) < 1e-12
+
+
+def test_relaxed_pruning_keeps_most(spark, sf01):
+    df = spark.read.parquet(f"{sf01}/embeddings.parquet")
+    asked = df.where("vec_id % 20 = 0")
+    exact = {tuple(r)[:3] for r in vantage_trees.nearest(df, asked, 20, 1.0, 200).collect()}
+    loose = {tuple(r)[:3] for r in vantage_trees.nearest(df, asked, 20, 1.2, 200).collect()}
+    found = {(q, v) for q, _, v in exact} & {(q, v) for q, _, v in loose}
+    assert len(found) >= 0.9 * len(exact)
+
+
+def test_few_candidates_and_none(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    got = vantage_trees.nearest(df, df, 20).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 2, 0.0), (2, 1, 1, 0.0)]
+    assert vantage_trees.nearest(df.limit(0), df.limit(0), 20).count() == 0
+
+
+# --- 6: sharding ---
+
+
+def test_shards_are_gapless_and_growth_moves_rows_to_the_new_one_only(spark):
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    rows = sharding.assign_shards(df, 40).collect()
+    slots = collections.defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+        assert r.grown_shard in (r.shard, 40)
+    assert sorted(slots) == list(range(40))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) < 1.25 * min(map(len, slots.values()))
+    assert 20_000 / 41 * 0.8 < sum(r.grown_shard == 40 for r in rows) < 20_000 / 41 * 1.2
+
+
+def test_changed_weight_moves_rows_only_by_its_subtree(spark):
+    light = sharding.uniform_tree(8, 2, 2)
+    heavy = sharding.Node("root", (light.children[0], sharding.Node(
+        "region-1", (light.children[1].children[0], sharding.Node(
+            "region-1/rack-1", tuple(sharding.Node(c.name, (), c.shard, 3.0) for c in light.children[1].children[1].children))))))
+    key = F.col("id").cast("string")
+    moved = spark.range(5_000).select(
+        sharding.reached_shard(key, light).alias("a"), sharding.reached_shard(key, heavy).alias("b")
+    ).where("a <> b").collect()
+    target = {c.shard for c in light.children[1].children[1].children}
+    inside = {c.shard for rack in light.children[1].children for c in rack.children}
+    assert moved and all(r.b in inside for r in moved)
+    assert all(r.b in target for r in moved if r.a in inside)
+
+
+def test_sharding_odd_rows(odd):
+    rows = sharding.assign_shards(odd).collect()
+    sizes = {(r.doc_id, r["size"], r.text_crc32) for r in rows}
+    for r in odd.collect():
+        body = (r.text or "").encode()
+        assert (r.doc_id, len(body) + 16, zlib.crc32(body)) in sizes
+    assert len(rows) == 11 and len({(r.shard, r.slot) for r in rows}) == 11
+    assert set(sharding.shard_documents(odd.drop("shard")).columns) == set(odd.columns)
+
+
+# --- 7: decontamination ---
+
+
+ITEM = "Alice paid 30 dollars for 5 red apples at the Berlin market while Bob waited outside for 30 minutes"
+
+
+def leaks_of(spark, texts, items=(ITEM,), **options):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return [tuple(r) for r in decontamination.find_leaks(docs, table, **options).collect()]
+
+
+def test_questions_with_other_numbers_and_names_are_found(spark):
+    other = ITEM.replace("30", "47").replace("5 ", "9 ").replace("Berlin", "Paris").replace("Bob", "Tom")
+    inconsistent = other.replace("47 minutes", "48 minutes")
+    texts = [f"Before. {ITEM} after.", f"Before. {other}. After.", inconsistent, "nothing of it here at all", None, ""]
+    got = leaks_of(spark, texts)
+    assert [(d, i, c) for d, i, c, _ in got] == [(0, 0, 1.0), (1, 0, 1.0)]
+    assert [s for *_, s in got] == [0, 5]
+
+
+def test_items_in_blocks_short_items_and_odd_tables(spark, odd, empty):
+    items = [ITEM, "short item of five words", "a b", None, ""]
+    texts = [ITEM, "has a short item of five words inside", "a b"]
+    assert [r[:2] for r in sorted(leaks_of(spark, texts, items, block=1))] == [(0, 0), (1, 1)]
+    table = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert decontamination.find_leaks(odd, table).count() == 0
+    assert decontamination.find_leaks(odd, table.limit(0)).count() == 0
+    assert decontamination.find_leaks(empty, table).count() == 0
+    assert decontamination.without_leaks(odd, table).count() == 11
+
+
+def test_planted_passages(spark, sf01, documents, texts):
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{sf01}/benchmark.parquet").collect()}
+    want = {(d, i) for d, t in texts.items() for i, x in items.items() if x in t}
+    got = decontamination.find_leaks(documents, spark.read.parquet(f"{sf01}/benchmark.parquet"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} >= want
+
+
+# --- 8: LM scoring ---
+
+
+def brute_tree(training, text, depth):
+    """Context-tree weighting node by node, by the recursion over children."""
+    classes = context_tree.CLASS_OF
+    counts = collections.defaultdict(lambda: [0, 0])
+
+    def steps(body):
+        data = [*body, 0]
+        past = [context_tree.START] * depth
+        for byte in data:
+            for bit in range(8):
+                yield tuple(past), (bit, byte >> (8 - bit)), (byte >> (7 - bit)) & 1
+            past = [int(classes[byte]), *past][:depth]
+
+    for body in training:
+        for past, node, bit in steps(body):
+            for d in range(depth + 1):
+                counts[past[:d], node][bit] += 1
+    kt = {}
+
+    def estimate(key):
+        if key not in kt:
+            z, o = counts[key] if key in counts else (0, 0)
+            kt[key] = math.lgamma(z + 0.5) + math.lgamma(o + 0.5) - math.lgamma(z + o + 1) - math.log(math.pi)
+        return kt[key]
+
+    children = collections.defaultdict(set)
+    for past, node in list(counts):
+        if past:
+            children[past[:-1], node].add((past, node))
+    weighted = {}
+
+    def weigh(key):
+        if key not in weighted:
+            if len(key[0]) == depth:
+                weighted[key] = estimate(key)
+            else:
+                below = sum(weigh(c) for c in children[key])
+                weighted[key] = np.logaddexp(estimate(key), below) - math.log(2)
+        return weighted[key]
+
+    total = 0.0
+    for past, node, bit in steps(text):
+        left, p = 1.0, 0.0
+        for d in range(depth + 1):
+            key = (past[:d], node)
+            z, o = counts[key] if key in counts else (0, 0)
+            share = left if d == depth else left * math.exp(estimate(key) - math.log(2) - weigh(key))
+            p += share * ((o if bit else z) + 0.5) / (z + o + 1)
+            left -= share
+        total += math.log10(p)
+    return total
+
+
+def test_tree_and_words_equal_brute_force(spark):
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choice(["Abc", "de", "abc", "é", "x1"]) for _ in range(rng.randrange(9)))) for i in range(40)]
+    rows += [(40, None), (41, ""), (None, "abc")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2
+    training = [t for i, t in rows if not held(i)]
+    counts = collections.Counter(w for t in training for w in [*words_of(t), None])
+    total = sum(counts.values())
+    for head in (2, 1 << 10):
+        got = context_tree.score_documents(df, head).collect()
+        by_row = {(r.doc_id, r.n_tokens, round(r.score, 3)): r for r in got}
+        assert len(got) == len(rows)
+        for i, t in rows[-12:]:
+            tokens = [*words_of(t), None]
+            score = brute_tree([(x or "").encode() for x in training], (t or "").encode(), 3)
+            r = by_row[(i, len(tokens), round(score, 3))]
+            base = sum(math.log10((counts[w] + 1) / (total + len(counts) + 1)) for w in tokens)
+            assert (r.held_out, r.n_known, r.train_tokens) == (held(i), sum(counts[w] > 0 for w in tokens), total)
+            assert r.base_score == pytest.approx(base)
+
+
+def test_log_gamma():
+    x = np.array([0.5, 1.0, 3.5, 8.0, 1234.5])
+    assert context_tree.log_gamma(x) == pytest.approx([math.lgamma(v) for v in x])
+
+
+def test_training_lowers_the_code_length(documents):
+    got = context_tree.score_documents(documents).groupBy("held_out").agg(F.avg("bits_per_byte").alias("b"))
+    assert all(r.b < 3.2 for r in got.collect())
+
+
+# --- 9: toxicity ---
+
+
+def brute_marginals(u, moves, start):
+    """Marginals by summing over all taggings of a short text."""
+    n, total, on = len(u), 0.0, np.zeros(len(u))
+    for tags in itertools.product((0, 1), repeat=n):
+        s = sum(x for x, t in zip(u, tags, strict=True) if t) + (start if tags[0] else 0.0)
+        s += sum(moves[a, b] for a, b in zip(tags, tags[1:], strict=False))
+        total += math.exp(s)
+        on += math.exp(s) * np.array(tags)
+    return on / total
+
+
+def test_marginals_equal_sums_over_all_taggings():
+    rng = np.random.default_rng(0)
+    lengths = [3, 0, 1, 8, 5]
+    first = np.concatenate([[0], np.cumsum(lengths)])
+    u = rng.normal(size=first[-1]) * 2
+    field = toxicity.Field(np.zeros(2), rng.normal(size=(2, 2)), 0.7, np.zeros(3), 0.5)
+    ahead, back = field.forward_backward(u, first)
+    got = ahead * back / (1 + ahead * back)
+    for k, n in enumerate(lengths):
+        if n:
+            part = slice(first[k], first[k + 1])
+            assert got[part] == pytest.approx(brute_marginals(u[part], field.moves, field.start))
+
+
+@pytest.mark.parametrize("n, lane", [(1, 64), (63, 64), (500, 64), (500, 7)])
+def test_scan_is_the_recursion(n, lane):
+    rng = np.random.default_rng(n)
+    a, b, c, d = rng.random((4, n)) + 0.01
+    x, want = 1.0, []
+    for k in range(n):
+        x = (a[k] * x + b[k]) / (c[k] * x + d[k])
+        want.append(x)
+    assert toxicity.scan(a, b, c, d, lane) == pytest.approx(want)
+
+
+def test_held_out_documents(spark, sf01, documents):
+    labels = spark.read.parquet(f"{sf01}/labels.parquet")
+    field = toxicity.fit_on(documents, labels)
+    scored = toxicity.score_documents(documents, field).join(labels, "doc_id").where("held_out")
+    hit, miss, wrong, right = scored.agg(
+        F.count_if("toxic = 1 and predicted = 1"),
+        F.count_if("toxic = 1 and predicted = 0"),
+        F.count_if("toxic = 0 and predicted = 1"),
+        F.count_if("toxic = 0 and predicted = 0"),
+    ).first()
+    assert hit > miss and wrong <= 0.1 * (wrong + right)
+    again = toxicity.fit_on(documents.repartition(5), labels)
+    assert np.array_equal(again.weights, field.weights)
+
+
+def test_toxicity_of_odd_rows(spark, odd, empty):
+    labels = spark.createDataFrame(
+        [(1, 0), (2, 1), (3, None), (None, 1), (6, 7)], "doc_id long, toxic int"
+    )
+    for table in (labels, labels.limit(0)):
+        field = toxicity.fit_on(odd, table)
+        rows = toxicity.score_documents(odd, field).collect()
+        assert len(rows) == 11 and all(0 <= r.score <= 1 for r in rows)
+        assert toxicity.score_documents(empty, field).count() == 0
+        assert toxicity.without_toxic(odd, field).columns == odd.columns
+
+
+def test_offsets_are_code_points(spark):
+    words_ = ["fine", "good", "ok", "calm"]
+    rng = random.Random(2)
+    rows = [(i, "é " * (i % 3) + " ".join(rng.choices(words_, k=8)) + (" awfulword" if i % 2 else "")) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    got = toxicity.score_documents(docs, toxicity.fit_on(docs, labels)).collect()
+    for r in got:
+        assert r.predicted == r.doc_id % 2
+        text = rows[r.doc_id][1]
+        spans = [text[int(a) : int(b)] for a, b in (s.split(":") for s in r.offsets.split(",") if s)]
+        assert spans == (["awfulword"] if r.predicted else [])
+
+
+# --- 10: mixing ---
+
+
+def brute_targets(sizes, weights=(5.0, 2.0, 1.0), most=3.0):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    target, free, left = {}, set(names), float(sum(sizes.values()))
+    while free:
+        share = left / sum(weight[s] for s in free)
+        over = {s for s in free if share * weight[s] > most * sizes[s]}
+        if not over:
+            return target | {s: share * weight[s] for s in free}
+        for s in over:
+            target[s] = most * sizes[s]
+            left -= target[s]
+        free -= over
+    return target
+
+
+def test_mix_meets_its_targets(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(["w"] * rng.randrange(1, 40)), rng.choice(["a", "b", "b", "b", "c", None, "tiny"] if i > 20 else ["tiny"])) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    sizes = collections.Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    target = brute_targets(sizes)
+    taken = collections.Counter()
+    for r in got:
+        assert r.target == pytest.approx(target[r.source]) and r.source_size == sizes[r.source]
+        assert r.taken == r.passes * r["size"] <= 3 * r["size"] and len(r.positions) == r.passes
+        assert all(0 <= p <= 1 for p in r.positions)
+        taken[r.source] += r.taken
+    assert all(abs(taken[s] - target[s]) <= 20 for s in sizes)
+    again = mixing.mix(docs.repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
+def test_early_and_late_sources_follow_their_schedules(spark):
+    """The words a source has given by any time are its demand up to then."""
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.lit("w w w w").alias("text"),
+        F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("id") % 3 + 1).cast("int")).alias("source"))
+    rows = mixing.mix(docs).select("source", "target", "size", F.explode("positions").alias("p")).collect()
+    for k, source in enumerate("abc"):
+        own = [r for r in rows if r.source == source]
+        for t in (0.2, 0.5, 0.9):
+            demand = 0.0
+            for t0, w0, slope, so_far, length in mixing.pieces(mixing.SCHEDULES[k]):
+                if t >= t0:
+                    x = min(t - t0, length)
+                    demand = so_far + w0 * x + slope * x * x / 2
+            given = sum(r["size"] for r in own if r.p <= t)
+            assert given == pytest.approx(demand * own[0].target, abs=8)
+
+
+def test_training_order_repeats_documents(odd):
+    mixed = {(r.doc_id, r.source): r.passes for r in mixing.mix(odd).collect()}
+    order = mixing.training_order(odd)
+    assert order.columns == odd.columns
+    assert order.count() == sum(r.passes for r in mixing.mix(odd).collect())
+    assert all(mixed[r.doc_id, r.source] > 0 for r in order.collect())
+
+
+# --- every operator on an empty table ---
+
+
+def test_empty_tables(spark, empty):
+    for operator in (
+        jaccard_join.near_duplicates,
+        pii.find_pii,
+        token_files.write_and_read,
+        token_counts.count_tokens,
+        sharding.assign_shards,
+        context_tree.score_documents,
+        mixing.mix,
+        mixing.training_order,
+        jaccard_join.keep_first,
+    ):
+        assert operator(empty).count() == 0
+
+
+def test_other_operators_on_odd_rows(odd):
+    assert context_tree.score_documents(odd).count() == 11
+    assert jaccard_join.near_duplicates(odd).count() == 11
+    got = {(r.doc_id, r.component_id, r.n_shingles) for r in jaccard_join.near_duplicates(odd).collect()}
+    assert {(1, 1, 11), (2, 1, 11), (3, 3, 0), (4, 4, 0), (5, 5, 0), (6, 6, 1), (7, 7, 1), (None, None, 3)} <= got
