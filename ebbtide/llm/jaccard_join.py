@@ -22,6 +22,7 @@ from ebbtide.llm.words import U64, chunks_of, mixed, shingle_hashes, word_hashes
 #: A shingle in more sets' windows than this goes to the end of the global order.
 COMMON = 48
 BITS = ("b0", "b1", "b2", "b3")
+SLOT_BITS = 24
 
 
 @dataclass(frozen=True)
@@ -89,15 +90,36 @@ def sketches(docs: DataFrame, how: Similarity) -> DataFrame:
     return in_arrow(rows, run, SKETCH)
 
 
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Which hash slots the keys fall on: at most 2**24 bits, the bound of what is broadcast."""
+    slot = F.pmod("_slot", F.lit(1 << SLOT_BITS))
+    words = (
+        keys.select((slot / 32).cast("int").alias("word"), (slot % 32).cast("int").alias("bit"))
+        .groupBy("word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+        .toArrow()
+    )
+    out = np.zeros(1 << (SLOT_BITS - 5), np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out
+
+
 def whole_sets(docs: DataFrame, wanted: DataFrame, how: Similarity) -> DataFrame:
     """gid and the whole shingle set, in hash order, of the sets in ``wanted`` (gid, doc_id).
 
-    The texts are read again, so that no table of all shingles has to be kept.
+    The texts are read again, so that no table of all shingles has to be kept. Texts are
+    not shuffled: a bitmap of fixed size lets the scan pass over most others, and the join
+    on gid removes the rest, whatever share that is.
     """
+    # a missing doc_id falls on a slot too, so that its texts are found again
+    slot = F.xxhash64(F.col("doc_id").cast("long"))
+    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted.select(slot.alias("_slot"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in chunks_of(batch.column(0)):
+            at = batch.column(0).to_numpy() & ((1 << SLOT_BITS) - 1)
+            texts_wanted = batch.column(1).filter(pa.array((bitmap.value[at >> 5] >> (at & 31)) & 1 == 1))
+            for texts in chunks_of(texts_wanted):
                 sets = shingle_hashes(*word_hashes(texts), how.words)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -107,11 +129,8 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, how: Similarity) -> DataFrame
                     names=["gid", "shingles"],
                 )
 
-    # a missing doc_id is a key too, so that its texts are found again
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)))
-    keys = wanted.select(key.alias("_key")).distinct()
-    texts = docs.select(key.alias("_key"), text_of().alias("text")).join(keys, "_key", "left_semi")
-    found = in_arrow(texts.select("text"), run, "gid long, shingles array<long>")
+    rows = docs.select(slot.alias("_slot"), text_of().alias("text"))
+    found = in_arrow(rows, run, "gid long, shingles array<long>")
     return found.join(wanted.select("gid").distinct(), "gid", "left_semi")
 
 
@@ -220,22 +239,30 @@ def join_sets(docs: DataFrame, sets: DataFrame, how: Similarity, common: int = C
         F.min(F.struct("gid", "n", *BITS, "prefix")).alias("_f"), F.count(F.lit(1)).alias("members")
     )
     groups = stored(first.select("grp", "members", "_f.*"), "groups")
-    entries = groups.select("grp", *carried, F.explode("prefix").alias("key"))
-    centres = (
-        entries.groupBy("key")
-        .agg(F.min(F.struct(*carried)).alias("_c"), F.count(F.lit(1)).alias("_many"))
+    spread = groups.select("grp", "gid", F.explode("prefix").alias("key"))
+    shared = (
+        spread.groupBy("key")
+        .agg(F.min("gid").alias("c_gid"), F.count(F.lit(1)).alias("_many"))
         .where("_many > 1")
+        .drop("_many")
     )
-    centres = centres.select("key", *[F.col(f"_c.{c}").alias(f"c_{c}") for c in carried])
-    entries = stored(entries.join(centres, "key"), "entries")
+    # most shingles are in one group only and end here; sizes and bits join what is left
+    entries = stored(spread.drop("gid").join(shared, "key"), "entries")
+    facts = groups.select(*carried)
 
     def fit(x: str, y: str) -> Column:
         n_x, n_y = F.col(f"{x}n"), F.col(f"{y}n")
         bits = [[F.col(f"{s}{b}") for b in BITS] for s in (x, y)]
         return how.sizes_fit(n_x, n_y) & how.bits_fit(n_x, n_y, *bits)
 
-    to_centre = entries.where((F.col("gid") != F.col("c_gid")) & fit("", "c_")).select(
-        F.col("gid").alias("b"), F.col("c_gid").alias("a")
+    to_centre = (
+        entries.select("grp", "c_gid")
+        .distinct()
+        .join(groups.select("grp", *carried), "grp")
+        .where(F.col("gid") != F.col("c_gid"))
+        .join(facts.select(*_columns("c_", carried)), "c_gid")
+        .where(fit("", "c_"))
+        .select(F.col("gid").alias("b"), F.col("c_gid").alias("a"))
     )
     heads = groups.where("members > 1").select("grp", *_columns("c_", carried))
     inside = (
@@ -254,7 +281,7 @@ def join_sets(docs: DataFrame, sets: DataFrame, how: Similarity, common: int = C
         "labelled",
     )
     span = labelled.groupBy("grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    sides = entries.select("grp", "key", "n").join(span, "grp")
+    sides = entries.select("grp", "key").join(groups.select("grp", "n"), "grp").join(span, "grp")
     left = sides.select("key", *_columns("x_", ("grp", "n", "low", "high")))
     right = sides.select("key", *_columns("y_", ("grp", "n", "low", "high")))
     open_pair = ~(
