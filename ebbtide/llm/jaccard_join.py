@@ -49,6 +49,26 @@ class Similarity:
         differing = sum(F.bit_count(x.bitwiseXOR(y)) for x, y in zip(bits_a, bits_b, strict=True))
         return differing * (self.top + self.bottom) <= (n_a + n_b) * (self.bottom - self.top)
 
+    def maps_fit(self, n_a: Column, n_b: Column, a: Column, b: Column) -> Column:
+        """The same for maps that grow with the sets; the longer one is folded to the shorter.
+
+        Sets whose sizes fit differ by one doubling at most; others are not told apart.
+        """
+
+        def folded(x: Column) -> Column:
+            half = (F.size(x) / 2).cast("int")
+            return F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+
+        a, b = (
+            F.when(F.size(x) == 2 * F.size(y), folded(x)).otherwise(x) for x, y in ((a, b), (b, a))
+        )
+        differing = F.aggregate(
+            F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))),
+            F.lit(0),
+            lambda total, x: total + F.coalesce(x, F.lit(0)),
+        )
+        return differing * (self.top + self.bottom) <= (n_a + n_b) * (self.bottom - self.top)
+
     def similar(self, n_a: Column, n_b: Column, shared: Column) -> Column:
         return shared * self.bottom >= (n_a + n_b - shared) * self.top
 
@@ -65,7 +85,16 @@ def _parity(hashes: np.ndarray) -> list[int]:
     return np.packbits(counts.astype(np.uint8)).view(">i8").tolist()
 
 
-SKETCH = "doc_id long, n long, gid long, window array<long>, " + ", ".join(f"{b} long" for b in BITS)
+def _map(hashes: np.ndarray) -> np.ndarray:
+    """A parity map that grows with the set: a bit for each two shingles, 256 at least."""
+    bits = 256
+    while bits * 2 < len(hashes):
+        bits *= 2
+    counts = np.bincount((mixed(hashes) & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(counts.astype(np.uint8)).view(">i8").astype(np.int64)
+
+
+SKETCH = "doc_id long, n long, gid long, window array<long>, map array<long>, " + ", ".join(f"{b} long" for b in BITS)
 
 
 def sketches(docs: DataFrame, how: Similarity) -> DataFrame:
@@ -82,9 +111,10 @@ def sketches(docs: DataFrame, how: Similarity) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_set_id(s) for s in sets], pa.int64()),
                     pa.array(windows, pa.list_(pa.int64())),
+                    pa.array([_map(s) for s in sets], pa.list_(pa.int64())),
                     *[pa.array(b, pa.int64()) for b in bits],
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "gid", "window", *BITS])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "gid", "window", "map", *BITS])
 
     rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
     return in_arrow(rows, run, SKETCH)
@@ -148,7 +178,7 @@ def with_prefixes(docs: DataFrame, sets: DataFrame, how: Similarity, common: int
     heavy = stored(heavy, "common")
     own = spread.join(heavy, "key", "left_semi").groupBy("gid").agg(F.collect_list("key").alias("_own"))
     length = how.prefix_of(F.col("n"))
-    parts = sets.join(own, "gid", "left").withColumn("_own", F.coalesce("_own", F.array().cast("array<long>")))
+    parts = sets.drop("map").join(own, "gid", "left").withColumn("_own", F.coalesce("_own", F.array().cast("array<long>")))
     light = F.array_except("window", "_own")
     enough = (F.size(light) >= length) | (F.size("window") >= F.col("n"))
     ordered = F.concat(light, F.array_intersect("window", "_own"))
@@ -173,8 +203,15 @@ def with_prefixes(docs: DataFrame, sets: DataFrame, how: Similarity, common: int
 
 
 def verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, how: Similarity, label: str) -> DataFrame:
-    """The pairs (a, b) of set ids that are similar, found on the whole sets."""
-    pairs = stored(pairs, f"{label}_pairs")
+    """The pairs (a, b) of set ids that are similar, found on the whole sets.
+
+    Maps of a bit for each two shingles first rule out nearly all other pairs, so that few
+    whole sets have to be brought together.
+    """
+    of_a = sets.select(F.col("gid").alias("a"), F.col("n").alias("_n"), F.col("map").alias("_map"))
+    of_b = sets.select(F.col("gid").alias("b"), F.col("n").alias("_k"), F.col("map").alias("_pam"))
+    close = how.maps_fit(F.col("_n"), F.col("_k"), F.col("_map"), F.col("_pam"))
+    pairs = stored(pairs.join(of_a, "a").join(of_b, "b").where(close).select("a", "b"), f"{label}_pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("gid")).distinct()
     wanted = sets.select("gid", "doc_id").join(ends, "gid", "left_semi")
     elements = stored(whole_sets(docs, wanted, how), f"{label}_sets")
@@ -332,7 +369,7 @@ def near_duplicates(
     how = how or Similarity()
     rows = stored(sketches(docs, how), "sketches")
     filled = rows.where("n > 0")
-    one = [F.first(c).alias(c) for c in ("n", "window", *BITS)]
+    one = [F.first(c).alias(c) for c in ("n", "window", "map", *BITS)]
     sets = stored(filled.groupBy("gid").agg(F.min("doc_id").alias("doc_id"), *one), "sets")
     labels = join_sets(docs, sets, how, common)
     placed = sets.select("gid", "doc_id").join(labels, "gid", "left").select(
