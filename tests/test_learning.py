@@ -290,7 +290,16 @@ def test_missing_values_as_zero(parts):
     fitted = model.train_trees(parts[0], missing="zero", trees=3, depth=3)
     assert auc_of(fitted, parts[1]) > 0.8
     with pytest.raises(ValueError, match="unknown way"):
-        model.preparation_stages("mean")
+        model.preparation_stages(parts[0], "mean")
+
+
+def test_a_wholly_missing_number_and_a_missing_label(frame):
+    empty = frame.withColumn("speed", F.lit(None).cast("double"))
+    assert model.medians(empty)["speed"] == 0.0
+    assert model.score(model.train_trees(empty, trees=1, depth=2), empty).count() == frame.count()
+    unlabelled = frame.select(ID, F.when(F.col(ID) != "c7", F.col("is_churned")).alias("is_churned"))
+    with pytest.raises(Exception, match="without is_churned"):
+        split.add_split(unlabelled).collect()
 
 
 def test_logistic_regression(parts):

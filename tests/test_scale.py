@@ -127,6 +127,21 @@ def test_package_steps_against_brute_force(spark):
     assert got == expected
 
 
+def test_every_step_of_a_day_counts(spark):
+    """A | B A B A, the last four on one day: four steps, whichever way they are read."""
+    rows = [info_row("c", ANCHOR, snapshot=1, crm_package_name="A")]
+    rows += [
+        info_row("c", ANCHOR + timedelta(days=1), snapshot=2 + i, crm_package_name=p)
+        for i, p in enumerate("BABA")
+    ]
+    info = spark.createDataFrame(rows, INFO)
+    forward = value_changes(info, "crm_package_name", direction="chronological").collect()
+    back = value_changes(info, "crm_package_name").collect()
+    steps = sorted((r.from_value, r.to_value) for r in forward)
+    assert steps == [("A", "B"), ("A", "B"), ("B", "A"), ("B", "A")]
+    assert sorted((r.to_value, r.from_value) for r in back) == steps
+
+
 # --- one customer with a third of all rows ---
 
 
@@ -171,8 +186,8 @@ def test_hot_history_is_small_before_it_is_ordered(spark):
     steps = value_changes(info, "crm_package_name").where(F.col(ID) == "hot").collect()
     assert [(r.from_value, r.to_value) for r in steps] == [("P", "Q")]
     plan = plan_of(value_changes(info, "crm_package_name"))
-    # rows are merged, partly before their shuffle, and only then ordered by customer
-    assert plan.index("Window [") < plan.index("HashAggregate")
+    # days are summed up before their shuffle, and only days are ordered by customer
+    assert "partial_min_by" in plan and "partial_max_by" in plan
     latest = latest_snapshot(info, ["crm_package_name"]).where(F.col(ID) == "hot").collect()
     assert len(latest) == 1
 
@@ -247,13 +262,14 @@ def exchanges(plan):
 
 def test_training_frame_shuffles(stored, as_if_large):
     plan = plan_of(training_features(*stored))
-    # anchors, calls (by day, by customer), usage (twice too), snapshots, label
-    assert exchanges(plan) == 7
+    # anchors (once more for their range of dates), calls (by day, by customer), usage
+    # (twice too), snapshots, label
+    assert exchanges(plan) == 8
     assert plan.count("ReusedExchange") == 1
     assert plan.count("SortMergeJoin") == 5
     assert plan.count("WindowGroupLimit") == 2
     daily = plan_of(training_features(*stored, already_daily=True))
-    assert exchanges(daily) == 6
+    assert exchanges(daily) == 7
 
 
 def test_scans_are_pruned_and_filtered(stored, as_if_large):

@@ -106,6 +106,15 @@ def test_a_folder_of_csv_files_is_one_table(spark, tmp_path):
     assert sorted((r[ID], r.speed) for r in table.collect()) == [("c0", 0.5), ("c1", 1.5), ("c2", 2.5)]
 
 
+def test_csv_parts_are_aligned_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(f"{ID},speed,line_speed\na,50,40\n")
+    (tmp_path / "b.csv").write_text(f"{ID},line_speed,speed\nb,40,50\n")
+    (tmp_path / "c.csv").write_text(f"extra,{ID},line_speed,speed\nx,c,40,50\n")
+    rows = read_feature_csv(spark, str(tmp_path)).collect()
+    assert sorted((r[ID], r.speed, r.line_speed) for r in rows) == [(c, 50.0, 40.0) for c in "abc"]
+    assert sorted(r.extra for r in rows if r.extra is not None) in ([], ["x"])
+
+
 def test_run_log_appends(spark, tmp_path):
     path = str(tmp_path / "runs")
     for i in range(2):
