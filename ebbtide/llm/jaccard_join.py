@@ -258,14 +258,102 @@ def _columns(prefix: str, names: tuple[str, ...]) -> list[Column]:
     return [F.col(n).alias(f"{prefix}{n}") for n in names]
 
 
+def _labelled(grouped: DataFrame, links: DataFrame, label: str) -> DataFrame:
+    """The sets with ``comp``, the smallest set they are connected with so far."""
+    return stored(
+        grouped.drop("prefix")
+        .join(components(links), "gid", "left")
+        .withColumn("comp", F.coalesce("comp", "gid")),
+        label,
+    )
+
+
+def _spans(labelled: DataFrame) -> DataFrame:
+    """Per group: its number of sets and the smallest and largest class they are in."""
+    return labelled.groupBy("grp").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members")
+    )
+
+
+def _key_spans(entries: DataFrame, span: DataFrame) -> DataFrame:
+    return (
+        entries.join(span, "grp")
+        .groupBy("key")
+        .agg(F.min("low").alias("_low"), F.max("high").alias("_high"), F.sum("members").alias("_sets"))
+        .where("_low <> _high")
+    )
+
+
+def _open_entries(entries: DataFrame, span: DataFrame) -> DataFrame:
+    """grp and key of the shingles whose groups are not all in one class yet."""
+    return entries.select("grp", "key").join(_key_spans(entries, span).select("key"), "key", "left_semi")
+
+
+def _crowds(entries: DataFrame, span: DataFrame, common: int) -> DataFrame:
+    """grp and key of open shingles of more than ``common`` sets, and of such groups.
+
+    A group stands for itself by its own number, since its sets need not share a shingle
+    with another group.
+    """
+    inside = span.where("low <> high").select("grp", F.col("grp").alias("key"))
+    all_entries = entries.select("grp", "key").unionByName(inside)
+    keys = _key_spans(all_entries, span).where(F.col("_sets") > common).select("key")
+    return all_entries.join(keys, "key", "left_semi")
+
+
+def to_centres(
+    docs: DataFrame, crowd: DataFrame, sets: DataFrame, how: Similarity, common: int, fit
+) -> DataFrame:
+    """Pairs (a, b) of each set of a crowded shingle and the most typical ones of its size.
+
+    Copies that were each changed in their own place are often similar to what they were
+    copied from and not to each other. The source holds most shingles that many of the
+    crowd hold and fewest others, so the set with the most of the former less the latter
+    is the centre, for each shingle and band of sizes; a set meets the centres of its band
+    and of the two beside it. That costs three pairs an entry and joins such classes
+    before any pairs of a crowd are compared. What is similar to no centre is compared later.
+    """
+    wanted = sets.select("gid", "doc_id").join(crowd.select("gid").distinct(), "gid", "left_semi")
+    spread = stored(whole_sets(docs, wanted, how), "crowd_sets").select(
+        "gid", F.explode("shingles").alias("shingle")
+    )
+    popular = spread.groupBy("shingle").count().where(F.col("count") > common).select("shingle")
+    held = (
+        spread.join(popular, "shingle", "left_semi").groupBy("gid").agg(F.count(F.lit(1)).alias("_held"))
+    )
+    band = F.floor(F.log("n") / F.log(F.lit(how.bottom / how.top))).cast("int")
+    rows = stored(
+        crowd.join(held, "gid", "left")
+        .withColumn("_rank", 2 * F.coalesce("_held", F.lit(0)) - F.col("n"))
+        .withColumn("band", band)
+        .drop("_held"),
+        "ranked",
+    )
+    carried = ("gid", "n", "comp", *BITS)
+    centres = (
+        rows.groupBy("key", "band")
+        .agg(F.max(F.struct("_rank", *carried)).alias("_c"))
+        .select("key", "band", *[F.col(f"_c.{x}").alias(f"c_{x}") for x in carried])
+    )
+    near = rows.withColumn("band", F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])))
+    return (
+        near.join(centres, ["key", "band"])
+        .where((F.col("comp") != F.col("c_comp")) & fit("", "c_"))
+        .select(F.least("gid", "c_gid").alias("a"), F.greatest("gid", "c_gid").alias("b"))
+        .distinct()
+    )
+
+
 def join_sets(docs: DataFrame, sets: DataFrame, how: Similarity, common: int = COMMON) -> DataFrame:
     """gid and comp for every set that is linked with another.
 
     First every set of a group is compared with the group's first set, and every group's
     first set with the first group of each of its prefix shingles: as many pairs as there
-    are entries. Then all remaining pairs of groups and of sets in a group follow, except
-    pairs already connected, which could not change a class. So a group of copies costs as
-    many comparisons as it has members, and no link between classes is lost.
+    are entries. Sets of shingles whose many sets are not one class then meet the most
+    typical sets among them. Last come all remaining pairs of groups and of sets in a group,
+    except pairs already connected, which could not change a class: shingles of one class
+    are left out, and so are pairs inside a shingle's largest class. So a group of copies
+    costs about as many comparisons as it has members, and no link between classes is lost.
     """
     carried = ("gid", "n", *BITS)
     grouped = with_prefixes(docs, sets, how, common).withColumn(
@@ -309,31 +397,47 @@ def join_sets(docs: DataFrame, sets: DataFrame, how: Similarity, common: int = C
     )
     pairs = to_centre.unionByName(inside).distinct()
     links = verified(docs, pairs, sets, how, "first")
-    labels = components(links)
-
-    labelled = stored(
-        grouped.drop("prefix")
-        .join(labels, "gid", "left")
-        .withColumn("comp", F.coalesce("comp", "gid")),
-        "labelled",
+    labelled = _labelled(grouped, links, "labelled")
+    span = _spans(labelled)
+    crowd = _crowds(entries, span, common).join(labelled, "grp").select("key", "comp", *carried)
+    pairs = to_centres(docs, stored(crowd, "crowd"), sets, how, common, fit)
+    links = links.unionByName(verified(docs, pairs, sets, how, "second"))
+    labelled = _labelled(grouped, links, "labelled_again")
+    span = _spans(labelled)
+
+    facts = groups.select("grp", "n", "members", *BITS).join(span.drop("members"), "grp")
+    sides = stored(_open_entries(entries, span).join(facts, "grp"), "sides")
+    # a key's largest class is a single class already: its groups need not meet each other
+    closed = F.col("low") == F.col("high")
+    largest = (
+        sides.where(closed)
+        .groupBy("key", "low")
+        .agg(F.count(F.lit(1)).alias("_many"))
+        .groupBy("key")
+        .agg(F.max(F.struct("_many", "low"))["low"].alias("_largest"))
+    )
+    sides = sides.join(largest, "key", "left").withColumn(
+        "inner", closed & F.col("low").eqNullSafe(F.col("_largest"))
     )
-    span = labelled.groupBy("grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    sides = entries.select("grp", "key").join(groups.select("grp", "n"), "grp").join(span, "grp")
-    left = sides.select("key", *_columns("x_", ("grp", "n", "low", "high")))
-    right = sides.select("key", *_columns("y_", ("grp", "n", "low", "high")))
+    names = ("grp", "n", "members", "low", "high", "inner", *BITS)
+    left = sides.where(~F.col("inner")).select("key", *_columns("x_", names))
+    right = sides.select("key", *_columns("y_", names))
     open_pair = ~(
         (F.col("x_low") == F.col("x_high"))
         & (F.col("y_low") == F.col("y_high"))
         & (F.col("x_low") == F.col("y_low"))
     )
+    # the bits of a group of one are those of its set
+    alone = (F.col("x_members") == 1) & (F.col("y_members") == 1)
     group_pairs = (
         left.join(right, "key")
         .where(
-            (F.col("x_grp") < F.col("y_grp"))
+            (F.col("y_inner") | (F.col("x_grp") < F.col("y_grp")))
             & open_pair
             & how.sizes_fit(F.col("x_n"), F.col("y_n"))
+            & (~alone | fit("x_", "y_"))
         )
-        .select("x_grp", "y_grp")
+        .select(F.least("x_grp", "y_grp").alias("x_grp"), F.greatest("x_grp", "y_grp").alias("y_grp"))
         .distinct()
     )
     own = span.where("low <> high").select(F.col("grp").alias("x_grp"), F.col("grp").alias("y_grp"))

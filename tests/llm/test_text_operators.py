@@ -122,6 +122,27 @@ def test_classes_equal_brute_force(spark, top, size, common):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows, how)
 
 
+@pytest.mark.parametrize("common", [4, 48])
+def test_crowds_of_copies_equal_brute_force(spark, common):
+    """Copies like their source and not each other, with the source there and not there."""
+    rng = random.Random(common)
+    rows = []
+    for crowd, (copies, changes, source_at) in enumerate([(60, 2, 30), (60, 2, None), (20, 1, None)]):
+        source = [f"c{crowd}x{i}" for i in range(150)]
+        for k in range(copies):
+            own = list(source)
+            if k != source_at:
+                for at in rng.sample(range(150), changes):
+                    own[at] = f"new{len(rows)}y{at}"
+            rows.append((len(rows), " ".join(own)))
+        rows += [(len(rows) + k, " ".join(source[: 60 + k])) for k in range(12)]
+    how = jaccard_join.Similarity()
+    expected = brute_components(rows, how)
+    assert len({c for _, c in expected.values()}) > 3
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), how, common)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == expected
+
+
 def test_one_of_each_class_stays(spark, odd):
     kept = jaccard_join.keep_first(odd)
     assert kept.columns == odd.columns
