@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -231,6 +232,13 @@ def decode(payload: bytes) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
+def _spaced(text: str) -> str:
+    """The text with a space for every ASCII white space."""
+    for white in "\t\n\v\f\r":
+        text = text.replace(white, " ")
+    return text
+
+
 class Encoder:
     """Ids of whole texts by the library, which gets each word once while it is remembered.
 
@@ -247,11 +255,10 @@ class Encoder:
         self.tokenizer.no_padding()
         self.memo = memo
         self.known: dict[str, bytes] = {"": b""}
-        self.white = str.maketrans("\t\n\v\f\r", "     ")
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """16-bit ids of each text, the end id last."""
-        words = [t.translate(self.white).split(" ") if t else [] for t in texts]
+        words = [_spaced(t).split(" ") if t else [] for t in texts]
         new = set().union(*words).difference(self.known)
         if len(self.known) + len(new) > self.memo:
             self.known = {"": b""}
@@ -261,9 +268,9 @@ class Encoder:
             part = fresh[low : low + 20_000]
             encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
             for word, e in zip(part, encoded, strict=True):
-                self.known[word] = np.array(e.ids, "<u2").tobytes()
-        of, end = self.known.__getitem__, np.array([END_ID], "<u2").tobytes()
-        return [np.frombuffer(b"".join(map(of, w)) + end, "<u2") for w in words]
+                self.known[word] = array("H", e.ids).tobytes()
+        of, end = self.known.__getitem__, array("H", [END_ID]).tobytes()
+        return [np.frombuffer(b"".join(map(of, w)) + end, np.uint16) for w in words]
 
 
 _encoders: dict[str, Encoder] = {}
