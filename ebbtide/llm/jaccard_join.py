@@ -352,8 +352,10 @@ def join_sets(docs: DataFrame, sets: DataFrame, how: Similarity, common: int = C
     are entries. Sets of shingles whose many sets are not one class then meet the most
     typical sets among them. Last come all remaining pairs of groups and of sets in a group,
     except pairs already connected, which could not change a class: shingles of one class
-    are left out, and so are pairs inside a shingle's largest class. So a group of copies
-    costs about as many comparisons as it has members, and no link between classes is lost.
+    are left out, and so are pairs inside a shingle's largest class. So copies that
+    are similar to a centre cost about as many comparisons as there are copies. A crowd of
+    sets that are similar to no centre is still compared in pairs, by size and bits, within
+    a shingle. No link between classes is lost.
     """
     carried = ("gid", "n", *BITS)
     grouped = with_prefixes(docs, sets, how, common).withColumn(
