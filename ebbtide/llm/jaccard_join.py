@@ -94,7 +94,7 @@ def _map(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(counts.astype(np.uint8)).view(">i8").astype(np.int64)
 
 
-SKETCH = "doc_id long, n long, gid long, window array<long>, map array<long>, " + ", ".join(f"{b} long" for b in BITS)
+SKETCH = "doc_id long, text_hash long, n long, gid long, window array<long>, map array<long>, " + ", ".join(f"{b} long" for b in BITS)
 
 
 def sketches(docs: DataFrame, how: Similarity) -> DataFrame:
@@ -102,21 +102,24 @@ def sketches(docs: DataFrame, how: Similarity) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in chunks_of(batch.column(1)):
+            for texts in chunks_of(batch.column(2)):
                 sets = shingle_hashes(*word_hashes(texts), how.words)
                 windows = [s[: 2 * how.prefix(len(s)) + 8].view(np.int64) for s in sets]
                 bits = list(zip(*map(_parity, sets), strict=True))
                 columns = [
                     batch.column(0).slice(texts.first, len(texts)),
+                    batch.column(1).slice(texts.first, len(texts)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_set_id(s) for s in sets], pa.int64()),
                     pa.array(windows, pa.list_(pa.int64())),
                     pa.array([_map(s) for s in sets], pa.list_(pa.int64())),
                     *[pa.array(b, pa.int64()) for b in bits],
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "gid", "window", "map", *BITS])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n", "gid", "window", "map", *BITS])
 
-    rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
+    rows = docs.select(
+        F.col("doc_id").cast("long"), F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text")
+    )
     return in_arrow(rows, run, SKETCH)
 
 
@@ -460,6 +463,32 @@ def join_sets(docs: DataFrame, sets: DataFrame, how: Similarity, common: int = C
     return components(links.unionByName(found))
 
 
+def _classed(docs: DataFrame, how: Similarity, common: int) -> DataFrame:
+    """Per row: doc_id, text_hash, n, gid, component_id and the class's first row.
+
+    ``first_gid`` is the smallest set among those of the class with its smallest doc_id.
+    """
+    rows = stored(sketches(docs, how), "sketches")
+    filled = rows.where("n > 0")
+    one = [F.first(c).alias(c) for c in ("n", "window", "map", *BITS)]
+    sets = stored(filled.groupBy("gid").agg(F.min("doc_id").alias("doc_id"), *one), "sets")
+    labels = join_sets(docs, sets, how, common)
+    placed = sets.select("gid", "doc_id").join(labels, "gid", "left").select(
+        "gid", F.coalesce("comp", "gid").alias("comp"), "doc_id"
+    )
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "gid")))
+    least = placed.groupBy("comp").agg(first.alias("_first"))
+    of_set = placed.join(least, "comp").select(
+        "gid", F.col("_first.doc_id").alias("component_id"), F.col("_first.gid").alias("first_gid")
+    )
+    facts = ("doc_id", "text_hash", "n", "gid")
+    linked = filled.select(*facts).join(of_set, "gid")
+    alone = rows.where("n = 0").select(
+        *facts, F.col("doc_id").alias("component_id"), F.col("gid").alias("first_gid")
+    )
+    return linked.unionByName(alone)
+
+
 def near_duplicates(
     docs: DataFrame, how: Similarity | None = None, common: int = COMMON
 ) -> DataFrame:
@@ -472,20 +501,7 @@ def near_duplicates(
     rows has a missing component_id. An empty table gives an empty result; other columns
     are ignored. Shingles are compared as 64-bit hashes.
     """
-    how = how or Similarity()
-    rows = stored(sketches(docs, how), "sketches")
-    filled = rows.where("n > 0")
-    one = [F.first(c).alias(c) for c in ("n", "window", "map", *BITS)]
-    sets = stored(filled.groupBy("gid").agg(F.min("doc_id").alias("doc_id"), *one), "sets")
-    labels = join_sets(docs, sets, how, common)
-    placed = sets.select("gid", "doc_id").join(labels, "gid", "left").select(
-        "gid", F.coalesce("comp", "gid").alias("comp"), "doc_id"
-    )
-    least = placed.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    of_set = placed.join(least, "comp").select("gid", "component_id")
-    linked = filled.select("doc_id", "n", "gid").join(of_set, "gid")
-    alone = rows.where("n = 0").select("gid", "doc_id", "n", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).select(
+    return _classed(docs, how or Similarity(), common).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         "component_id",
@@ -496,14 +512,28 @@ def near_duplicates(
 def keep_first(docs: DataFrame, how: Similarity | None = None) -> DataFrame:
     """The rows of ``docs`` that are the first of their class, with all columns.
 
-    First is the smallest doc_id; of rows equal in doc_id and in shingle set one stays.
-    Rows without shingles and rows with a missing doc_id all stay.
+    First is the smallest doc_id, and of its sets the smallest; of rows equal in doc_id and
+    in shingle set one stays, the first as JSON text. A doc_id with several texts is looked
+    at text by text: each stays or goes with its own class. Rows without shingles and rows
+    with a missing doc_id all stay.
     """
-    found = near_duplicates(docs, how or Similarity(80, 100, 5))
-    gone = found.where((F.col("doc_id") != F.col("component_id")) & F.col("doc_id").isNotNull())
-    kept = docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
-    again = found.where(F.col("n_shingles") > 0).groupBy("doc_id").count().where("count > 1")
-    again = again.where(F.col("doc_id").isNotNull()).select("doc_id")
-    plain = kept.join(again, "doc_id", "left_anti").select(*docs.columns)
-    repeated = kept.join(again, "doc_id", "left_semi").select(*docs.columns)
-    return plain.unionByName(repeated.dropDuplicates(["doc_id"]))
+    found = _classed(docs, how or Similarity(80, 100, 5), COMMON)
+    found = found.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    first = (F.col("doc_id") == F.col("component_id")) & (F.col("gid") == F.col("first_gid"))
+    keys = {"doc_id": "_id", "text_hash": "_text_hash", "gid": "_gid"}
+    texts = found.groupBy("doc_id", "text_hash", "gid").agg(
+        F.max(first).alias("_first"), F.count(F.lit(1)).alias("_rows")
+    )
+    texts = stored(texts.withColumnsRenamed(keys), "first_rows")
+    gone = texts.where(~F.col("_first")).select("_id", "_text_hash")
+    again = texts.where("_first").groupBy("_id", "_gid").agg(
+        F.sum("_rows").alias("_rows"), F.collect_set("_text_hash").alias("_texts")
+    )
+    again = again.where("_rows > 1").select("_id", "_gid", F.explode("_texts").alias("_text_hash"))
+    marks = {"_id": F.col("doc_id").cast("long"), "_text_hash": F.xxhash64(text_of())}
+    kept = docs.withColumns(marks).join(gone, ["_id", "_text_hash"], "left_anti")
+    plain = kept.join(again, ["_id", "_text_hash"], "left_anti").select(*docs.columns)
+    row = F.struct(*docs.columns)
+    one = F.min_by(row, F.to_json(row)).alias("_row")
+    repeated = kept.join(again, ["_id", "_text_hash"]).groupBy("_id", "_gid").agg(one)
+    return plain.unionByName(repeated.select("_row.*"))
