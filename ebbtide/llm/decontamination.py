@@ -3,7 +3,8 @@
 Words become template tokens: numbers, names and units turn into typed placeholders.
 Windows of template tokens of the benchmark are hash-joined with those of the documents,
 matches are lined up, and what stands in the slots must map consistently from the item to
-the document.
+the document. Windows of the plain lower-cased tokens are joined beside them, so that what
+templates cannot tell apart or find inconsistent is still found as a copy.
 """
 
 from __future__ import annotations
@@ -107,14 +108,22 @@ def templates(texts: Texts) -> Template:
     return Template(np.where(kinds > 0, kinds.astype(U64), values), kinds, values, first)
 
 
-def window_hashes(t: Template, low: int, high: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the windows of ``size`` tokens from low to high, and which are telling."""
+def window_hashes(
+    t: Template, low: int, high: int, size: int, plain: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the windows of ``size`` tokens from low to high, and which are telling.
+
+    Windows of template tokens, or of the ``plain`` ones, which all are telling.
+    """
+    tokens = t.values if plain else t.tokens
     n = high - low - size + 1
     if n <= 0:
         return np.zeros(0, U64), np.zeros(0, bool)
     rolled = np.zeros(n, U64)
     for k in range(size):
-        rolled += t.tokens[low + k : low + k + n] * U64(0x9E3779B97F4A7C15 * (2 * k + 1) % (1 << 64) | 1)
+        rolled += tokens[low + k : low + k + n] * U64(0x9E3779B97F4A7C15 * (2 * k + 1) % (1 << 64) | 1)
+    if plain:
+        return mixed(rolled), np.ones(n, bool)
     slots = np.concatenate([[0], np.cumsum(t.kinds[low:high] > 0)])
     return mixed(rolled), (slots[size:] - slots[:-size]) <= MOST_SLOTS * size
 
@@ -126,69 +135,87 @@ class Index:
         self.size = size
         self.ids = [i for i, _ in items]
         self.templates: list[Template] = []
-        by_length: dict[int, list] = defaultdict(list)
+        by_length: dict[tuple[int, bool], list] = defaultdict(list)
         for place, (_, text) in enumerate(items):
             for texts in chunks_of(pa.array([text], pa.string())):
                 t = templates(texts)
                 self.templates.append(t)
                 n = len(t.tokens)
-                hashes, telling = window_hashes(t, 0, n, min(size, max(n, 1)))
-                at = np.flatnonzero(telling)
-                by_length[min(size, n)].append((hashes[at], np.full(len(at), place), at))
+                for plain in (True, False):
+                    hashes, telling = window_hashes(t, 0, n, min(size, max(n, 1)), plain)
+                    at = np.flatnonzero(telling)
+                    by_length[min(size, n), plain].append((hashes[at], np.full(len(at), place), at))
         self.tables = {}
-        for length, rows in by_length.items():
+        for (length, plain), rows in by_length.items():
             hashes, owners, positions = (np.concatenate(x) for x in zip(*rows, strict=True))
             if len(hashes) and length > 2:
                 order = np.argsort(hashes, kind="stable")
                 bits = np.zeros(1 << 20, bool)
                 bits[(hashes >> U64(44)).astype(np.int64)] = True
-                self.tables[length] = (hashes[order], owners[order], positions[order], bits)
+                self.tables[length, plain] = (hashes[order], owners[order], positions[order], bits)
 
-    def matches(self, t: Template) -> Iterator[tuple[int, int, int, int]]:
-        """(token position, item's place, position in the item, window size) of equal windows."""
-        for length, (hashes, owners, positions, bits) in self.tables.items():
-            found, telling = window_hashes(t, 0, len(t.tokens), length)
+    def matches(self, t: Template) -> Iterator[tuple[int, int, int, int, bool]]:
+        """(token position, item's place, position in the item, window size, plain) of equal windows."""
+        for (length, plain), (hashes, owners, positions, bits) in self.tables.items():
+            found, telling = window_hashes(t, 0, len(t.tokens), length, plain)
             likely = np.flatnonzero(bits[(found >> U64(44)).astype(np.int64)] & telling)
             low = np.searchsorted(hashes, found[likely], side="left")
             high = np.searchsorted(hashes, found[likely], side="right")
             for where, a, b in zip(likely, low, high, strict=True):
                 for k in range(a, b):
-                    yield int(where), int(owners[k]), int(positions[k]), length
+                    yield int(where), int(owners[k]), int(positions[k]), length, plain
 
-    def consistent(self, t: Template, shift: int, item: Template, covered: np.ndarray) -> bool:
+    def consistent(self, t: Template, item: Template, at: np.ndarray) -> bool:
         """Does each slot value of the item stand for one value of the document throughout?"""
         seen: dict[tuple[int, int], int] = {}
-        for k in np.flatnonzero(covered):
-            kind = int(item.kinds[k])
-            if kind:
-                value = int(t.values[k + shift])
-                if seen.setdefault((kind, int(item.values[k])), value) != value:
-                    return False
+        for k in np.flatnonzero((at >= 0) & (item.kinds > 0)):
+            value = int(t.values[at[k]])
+            if seen.setdefault((int(item.kinds[k]), int(item.values[k])), value) != value:
+                return False
         return True
 
     def hits(self, t: Template, coverage: float) -> list[tuple[int, int, float, int]]:
-        """(text's place, item's place, covered share, slots filled otherwise) above the threshold."""
-        lined: dict[tuple[int, int, int], list] = defaultdict(list)
-        for where, item, position, length in self.matches(t):
+        """(text's place, item's place, covered share, slots filled otherwise) above the threshold.
+
+        What plain windows cover is a copy by itself; what templates add must be consistent.
+        """
+        lined: dict[tuple[int, int], tuple[dict, dict]] = {}
+        for where, item, position, length, plain in self.matches(t):
             doc = int(np.searchsorted(t.first, where, side="right")) - 1
             if where + length <= t.first[doc + 1]:
-                lined[doc, item, where - position].append((position, length))
+                copied, either = lined.setdefault((doc, item), (defaultdict(list), defaultdict(list)))
+                for runs_of in (copied, either) if plain else (either,):
+                    runs_of[where - position].append((position, length))
         best: dict[tuple[int, int], tuple[float, int]] = {}
-        for (doc, place, shift), found in lined.items():
+        for (doc, place), kinds in lined.items():
             item = self.templates[place]
-            covered = np.zeros(len(item.tokens), bool)
-            for position, length in found:
-                covered[position : position + length] = True
-            share = float(covered.mean())
-            if share >= coverage and self.consistent(t, shift, item, covered):
-                at = np.flatnonzero(covered & (item.kinds > 0))
-                changed = int((item.values[at] != t.values[at + shift]).sum())
-                old = best.get((doc, place))
-                if old is None or share > old[0]:
-                    best[doc, place] = (round(share, 6), changed)
+            for plain, shifts in zip((True, False), kinds, strict=True):
+                for at in alignments(shifts, len(item.tokens), coverage):
+                    share = round(float((at >= 0).mean()), 6)
+                    old = best.get((doc, place))
+                    if (old is None or share > old[0]) and (plain or self.consistent(t, item, at)):
+                        slots = np.flatnonzero((at >= 0) & (item.kinds > 0))
+                        changed = int((item.values[slots] != t.values[at[slots]]).sum())
+                        best[doc, place] = (share, changed)
         return [(d, p, *v) for (d, p), v in sorted(best.items())]
 
 
+def alignments(
+    shifts: dict[int, list[tuple[int, int]]], n: int, coverage: float
+) -> Iterator[np.ndarray]:
+    """Where each of an item's ``n`` tokens stands in the document (-1: nowhere), if enough do.
+
+    The matches of each shift (place in the document less that in the item) count by
+    themselves.
+    """
+    for shift, found in shifts.items():
+        covered = np.zeros(n, bool)
+        for position, length in found:
+            covered[position : position + length] = True
+        if float(covered.mean()) >= coverage:
+            yield np.where(covered, np.arange(n) + shift, -1)
+
+
 def _item_blocks(benchmark: DataFrame, block: int) -> Iterator[list[tuple[int, str]]]:
     """The benchmark in blocks of about ``block`` items, dealt by a hash of the item's text."""
     items = benchmark.where(F.length(text_of()) > 0).select("item_id", "text").distinct()
@@ -211,10 +238,11 @@ def find_leaks(
 ) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, coverage, changed_slots.
 
-    A document holds an item if lined-up windows cover ``coverage`` of the item's tokens
-    with consistent slots; ``changed_slots`` counts slots filled otherwise than in the item
-    (0: a plain copy). An item shorter than a window is one window; items of under three
-    tokens or mostly placeholders cannot be told apart and match nothing. Missing and empty
+    A document holds an item if lined-up windows of plain tokens cover ``coverage`` of the
+    item's tokens, or windows of both kinds do with consistent slots; ``changed_slots``
+    counts slots filled otherwise than in the item (0: a plain copy). An item
+    shorter than a window is one window; items of under three tokens match nothing, and
+    items of mostly placeholders only as plain copies. Missing and empty
     texts match nothing; repeated rows give repeated rows; items equal in text both match;
     a missing doc_id stays; empty tables give an empty result; other columns are ignored.
 

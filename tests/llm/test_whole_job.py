@@ -24,3 +24,23 @@ def test_a_repeated_id_loses_only_the_rows_that_are_copies(spark):
     assert sorted(str(tuple(r)) for r in jaccard_join.keep_first(docs).collect()) == want
     again = jaccard_join.keep_first(docs.repartition(5)).collect()
     assert sorted(str(tuple(r)) for r in again) == want
+
+
+# --- 7: benchmark leaks ---
+
+
+def test_plain_copies_are_found_whatever_templates_say(spark):
+    title = " ".join(w.capitalize() for w in ITEM.split())
+    edited = ITEM.replace("30 minutes", "31 minutes")  # 30 stands for 30 and for 31
+    sums = "3 4 7 12 5 9 81 6 2 54 11 8 90 13"
+    assert {r[:2] for r in leaks_of(spark, [ITEM.lower(), ITEM.upper(), title, edited], [ITEM])} == {
+        (0, 0), (1, 0), (2, 0), (3, 0),
+    }
+    assert {r[:2] for r in leaks_of(spark, [f"what is {sums} then"], [sums])} == {(0, 0)}
+
+
+def test_capitalised_items_in_loud_and_in_lower_case_texts(spark):
+    item = "so Anna bought ripe plums. Then old Carl painted three. While Bergen slept Dora baked fresh bread for Oslo"
+    loud = "THE NEWS OF TODAY AND MORE NEWS STILL " + item.upper()
+    copies = [loud, item.lower(), item.title()]
+    assert {r[:2] for r in leaks_of(spark, copies, [item])} == {(0, 0), (1, 0), (2, 0)}
