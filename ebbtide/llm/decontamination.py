@@ -205,15 +205,55 @@ def alignments(
 ) -> Iterator[np.ndarray]:
     """Where each of an item's ``n`` tokens stands in the document (-1: nowhere), if enough do.
 
-    The matches of each shift (place in the document less that in the item) count by
-    themselves.
+    First the matches of each shift (place in the document less that in the item) by
+    themselves, then the best chain of all: runs that follow each other in the item and in
+    the document, their shifts apart by the item's length at most, so that words put in or
+    left out do not part a copy.
     """
+    segments = []
+    union = np.zeros(n, bool)
+    most = 0.0
     for shift, found in shifts.items():
         covered = np.zeros(n, bool)
         for position, length in found:
             covered[position : position + length] = True
-        if float(covered.mean()) >= coverage:
+        union |= covered
+        share = float(covered.mean())
+        most = max(most, share)
+        if share >= coverage:
             yield np.where(covered, np.arange(n) + shift, -1)
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]]).astype(np.int8)))
+        segments += [(int(a) + shift, int(a), int(b)) for a, b in edges.reshape(-1, 2)]
+    whole = float(union.mean())
+    if whole < coverage or whole <= most:
+        return
+    segments.sort()
+    score, start, before = [], [], []
+    for i, (where, low, high) in enumerate(segments):
+        gain, own_start, previous = high - low, low, -1
+        for j in range(i - 1, -1, -1):
+            where_j, low_j, high_j = segments[j]
+            if where - where_j > 2 * n:
+                break
+            apart = (where - low) - (where_j - low_j)
+            if abs(apart) > n or high_j >= high:
+                continue
+            # what both cover, in the item or in the document, counts for the earlier one
+            begin = max(low, high_j, high_j - apart)
+            if begin < high and score[j] + high - begin > gain:
+                gain, own_start, previous = score[j] + high - begin, begin, j
+        score.append(gain)
+        start.append(own_start)
+        before.append(previous)
+    i = int(np.argmax(score))
+    if score[i] < coverage * n or score[i] <= most * n:
+        return
+    at = np.full(n, -1)
+    while i >= 0:
+        where, low, high = segments[i]
+        at[start[i] : high] = np.arange(start[i], high) + (where - low)
+        i = before[i]
+    yield at
 
 
 def _item_blocks(benchmark: DataFrame, block: int) -> Iterator[list[tuple[int, str]]]:
@@ -240,7 +280,8 @@ def find_leaks(
 
     A document holds an item if lined-up windows of plain tokens cover ``coverage`` of the
     item's tokens, or windows of both kinds do with consistent slots; ``changed_slots``
-    counts slots filled otherwise than in the item (0: a plain copy). An item
+    counts slots filled otherwise than in the item (0: a plain copy). Runs of windows in the
+    item's order count together, whatever was put in or left out between them. An item
     shorter than a window is one window; items of under three tokens match nothing, and
     items of mostly placeholders only as plain copies. Missing and empty
     texts match nothing; repeated rows give repeated rows; items equal in text both match;

@@ -44,3 +44,22 @@ def test_capitalised_items_in_loud_and_in_lower_case_texts(spark):
     loud = "THE NEWS OF TODAY AND MORE NEWS STILL " + item.upper()
     copies = [loud, item.lower(), item.title()]
     assert {r[:2] for r in leaks_of(spark, copies, [item])} == {(0, 0), (1, 0), (2, 0)}
+
+
+def test_words_put_in_or_left_out_do_not_part_a_copy(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(39)]
+    item = " ".join(words)
+    dropped = " ".join(words[:19] + words[20:])
+    inserted = " ".join([*words[:13], "extra", *words[13:26], "more", *words[26:]])
+    backwards = " ".join(words[26:] + words[13:26] + words[:13])
+    got = {d: c for d, _, c, _ in leaks_of(spark, [dropped, inserted, backwards], [item])}
+    assert got == {0: round(38 / 39, 6), 1: 1.0}
+
+
+def test_slots_are_checked_over_the_whole_chain(spark):
+    one = "farmer brown sold 12 sheep to the old miller who lived near the river"
+    two = "and the miller paid for all those 12 sheep with silver coins from the mill"
+    def put(a, b):
+        return f"{one.replace('12', a)} really {two.replace('12', b)}"
+    got = leaks_of(spark, [put("77", "77"), put("77", "78")], [f"{one} {two}"], coverage=0.9)
+    assert [r[0] for r in got] == [0]
