@@ -22,6 +22,8 @@ SHARD_ROWS = 8192
 LEAF = 256
 QUERY_BLOCK = 8192
 CLOSE = 1e-9  # relative; nearer ones are compared by their exact products
+SLACK = 1e-7  # of the lengths; what squared distances near zero lose to rounding
+TIED_BLOCK = 256  # queries whose ties are collected at a time
 
 
 def usable(column: str = "embedding") -> Column:
@@ -68,6 +70,10 @@ class Tree:
         by_place = np.argsort(members, kind="stable")
         self.member_ids = ids[by_place]
         self.member_at = np.searchsorted(members[by_place], np.arange(len(self.order) + 1))
+        # places that hold one id only are no candidates of a query with this id
+        low, high = self.member_at[:-1], self.member_at[1:] - 1
+        alone = self.member_ids[low][self.member_ids[low] == self.member_ids[high]]
+        self.lone_ids, self.lone_counts = np.unique(alone, return_counts=True)
 
     def _split(self, low: int, high: int, rng: np.random.Generator) -> Node:
         node = Node(low, high)
@@ -86,6 +92,7 @@ class Tree:
     def search(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
         """Places and inner products of the ``k`` + 1 best for each query, worst first not sorted."""
         self.k = k + 1
+        self.bound = self.found = None
         self.q = queries
         self.q_length = (queries**2).sum(axis=1)
         self.best = np.full((len(queries), self.k), -np.inf)
@@ -93,17 +100,37 @@ class Tree:
         self._visit(self.root, np.arange(len(queries)), factor)
         return self.place, self.best
 
+    def members(self, place: int, query_id: int) -> np.ndarray:
+        """The ids at a place in order, without the query's own."""
+        ids = self.member_ids[self.member_at[place] : self.member_at[place + 1]]
+        return ids[ids != query_id]
+
+    def at_least(self, queries: np.ndarray, bound: np.ndarray, factor: float) -> list[np.ndarray]:
+        """For each query all places with an inner product of its bound or more."""
+        self.q = queries
+        self.q_length = (queries**2).sum(axis=1)
+        self.bound, self.found = bound, [[] for _ in queries]
+        self._visit(self.root, np.arange(len(queries)), factor)
+        return [np.concatenate(f or [np.zeros(0, np.int64)]) for f in self.found]
+
     def _reach(self, active: np.ndarray) -> np.ndarray:
-        """Distance of each query's worst kept place."""
-        worst = self.best[active].min(axis=1)
+        """Distance of each query's worst kept place, or of its bound."""
+        worst = self.best[active].min(axis=1) if self.bound is None else self.bound[active]
         square = self.q_length[active] + self.most - 2 * worst
-        return np.where(np.isfinite(worst), np.sqrt(np.maximum(square, 0.0)), np.inf)
+        slack = SLACK * np.sqrt(self.q_length[active] + self.most)
+        reach = np.sqrt(np.maximum(square, 0.0)) * (1 + CLOSE) + slack
+        return np.where(np.isfinite(worst), reach, np.inf)
 
     def _visit(self, node: Node, active: np.ndarray, factor: float) -> None:
         if not len(active):
             return
         if node.inside is None or node.outside is None:
             products = self.q[active] @ self.vectors[node.low : node.high].T
+            if self.bound is not None:
+                for query, row in zip(active, products >= self.bound[active, None], strict=True):
+                    if row.any():
+                        self.found[query].append(node.low + np.flatnonzero(row))
+                return
             merged = np.hstack([self.best[active], products])
             places = np.broadcast_to(np.arange(node.low, node.high), products.shape)
             places = np.hstack([self.place[active], places])
@@ -120,7 +147,7 @@ class Tree:
         ):
             self._visit(side, mine, factor)
             margin = np.abs(far[near] if side is node.inside else far[~near]) - node.radius
-            open_ = np.abs(margin) * factor <= self._reach(mine) * (1 + CLOSE)
+            open_ = np.abs(margin) * factor <= self._reach(mine)
             self._visit(other, mine[open_], factor)
 
 
@@ -133,20 +160,61 @@ def best_of_tree(
     tree: Tree, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query, row ids, products) of each query's best ``k``, ties to the smaller id."""
-    places, _ = tree.search(queries, min(k + 8, len(tree.order)), factor)
-    for query_id, query, own in zip(query_ids, queries, places, strict=True):
-        own = own[own >= 0]
-        found = exact_products(query, tree.vectors[own])
-        ids, scores = [], []
-        for p, s in zip(own, found, strict=True):
-            low, high = tree.member_at[p], tree.member_at[p + 1]
-            members = tree.member_ids[low : min(high, low + k + 1)]
-            members = members[members != query_id]
-            ids.append(members)
-            scores.append(np.full(len(members), s))
-        ids, scores = np.concatenate(ids), np.concatenate(scores)
-        order = np.lexsort((ids, -scores))[:k]
-        yield int(query_id), ids[order], scores[order]
+    at = np.minimum(np.searchsorted(tree.lone_ids, query_ids), len(tree.lone_ids) - 1)
+    own_places = np.zeros(len(query_ids), np.int64)
+    if len(tree.lone_ids):
+        own_places = np.where(tree.lone_ids[at] == query_ids, tree.lone_counts[at], 0)
+    for extra in np.unique(own_places):
+        mine = np.flatnonzero(own_places == extra)
+        for j, places in _candidates(tree, queries[mine], k + int(extra), factor):
+            query_id = int(query_ids[mine[j]])
+            yield query_id, *_ranked(tree, query_id, queries[mine[j]], places, k)
+
+
+def _candidates(
+    tree: Tree, queries: np.ndarray, k: int, factor: float
+) -> Iterator[tuple[int, np.ndarray]]:
+    """(query, places) that can be among its best ``k``, with all ties of the k-th.
+
+    A shortlist does if its last product is below the k-th by more than rounding. Else all
+    places down to the k-th product are collected.
+    """
+    places, best = tree.search(queries, min(k + 8, len(tree.order)), factor)
+    bound = np.full(len(queries), -np.inf)
+    if best.shape[1] >= k:
+        close = CLOSE * np.sqrt(tree.q_length * tree.most)
+        bound = -np.partition(-best, k - 1, axis=1)[:, k - 1] - close
+    tied = np.isfinite(bound) & (best.min(axis=1) >= bound)
+    for j in np.flatnonzero(~tied):
+        yield int(j), places[j][places[j] >= 0]
+    again = np.flatnonzero(tied)
+    for low in range(0, len(again), TIED_BLOCK):
+        part = again[low : low + TIED_BLOCK]
+        for j, found in zip(part, tree.at_least(queries[part], bound[part], factor), strict=True):
+            yield int(j), found
+
+
+def _ranked(
+    tree: Tree, query_id: int, query: np.ndarray, places: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Row ids and products of the best ``k`` at ``places``, without the query's own id.
+
+    By product and smallest id, the first ``k`` places hold the first ``k`` rows.
+    """
+    products = exact_products(query, tree.vectors[places])
+    least = tree.member_ids[tree.member_at[places]]
+    taken = np.ones(len(places), bool)
+    for j in np.flatnonzero(least == query_id):
+        others = tree.members(places[j], query_id)
+        taken[j] = len(others) > 0
+        least[j] = others[0] if len(others) else query_id
+    places, products, least = places[taken], products[taken], least[taken]
+    order = np.lexsort((least, -products))[:k]
+    members = [tree.members(p, query_id)[:k] for p in places[order]]
+    ids = np.concatenate([*members, np.zeros(0, np.int64)])
+    scores = np.repeat(products[order], [len(m) for m in members])
+    order = np.lexsort((ids, -scores))[:k]
+    return ids[order], scores[order]
 
 
 def _searcher(shared, k: int, factor: float):

@@ -26,6 +26,28 @@ def test_a_repeated_id_loses_only_the_rows_that_are_copies(spark):
     assert sorted(str(tuple(r)) for r in again) == want
 
 
+# --- 5: nearest vectors ---
+
+
+@pytest.mark.parametrize("shard_rows", [97, 10_000])
+def test_ties_beyond_the_shortlist_go_to_the_smaller_ids(spark, shard_rows):
+    rng = np.random.default_rng(5)
+    points = (rng.random(size=(900, 12)) < 0.4).astype(float)  # few products, many distinct vectors
+    points[points.sum(axis=1) == 0, 0] = 1.0
+    rows = [(int(i), [float(x) for x in p]) for i, p in zip(rng.permutation(900), points, strict=True)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vantage_trees.nearest(df, df.where("vec_id % 60 = 0"), 5, 1.0, shard_rows).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_nearest(rows, [r for r in rows if r[0] % 60 == 0], 5))
+
+
+def test_a_repeated_query_id_hides_no_other_row(spark):
+    same = [1.0, 2.0]
+    rows = [(1, same)] * 8 + [(1, [3.0 + i, 9.0]) for i in range(20)] + [(i, same) for i in (5, 6, 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vantage_trees.nearest(df, spark.createDataFrame(rows[:1], df.schema), 3).collect()
+    assert [tuple(r) for r in sorted(got)] == [(1, 1, 5, 5.0), (1, 2, 6, 5.0), (1, 3, 7, 5.0)]
+
+
 # --- 7: benchmark leaks ---
 
 
