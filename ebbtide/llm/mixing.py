@@ -180,6 +180,26 @@ def mix(
     )
 
 
+def _in_order(mixed: DataFrame) -> DataFrame:
+    """A row per pass, ``_pass`` from 0, range-sorted by position."""
+    return (
+        mixed.select("*", F.posexplode("positions").alias("_pass", "_position"))
+        .repartitionByRange("_position", "_hash")
+        .sortWithinPartitions("_position", "_hash")
+    )
+
+
+def training_positions(docs: DataFrame, label: str = "sizes", **options) -> DataFrame:
+    """The passes in the order of training: doc_id, source, pass (from 1) and position (0 to 1).
+
+    Rows as in ``training_order``, without the documents' other columns.
+    """
+    rows = _in_order(mix(docs, label=label, **options))
+    return rows.select(
+        "doc_id", "source", (F.col("_pass") + 1).alias("pass"), F.col("_position").alias("position")
+    )
+
+
 def training_order(docs: DataFrame, label: str = "sizes", **options) -> DataFrame:
     """The documents as training reads them: a row per pass, range-sorted by position.
 
@@ -187,9 +207,4 @@ def training_order(docs: DataFrame, label: str = "sizes", **options) -> DataFram
     out, repeated ones come once per pass.
     """
     mixed = mix(docs, label=label, carry=True, **options)
-    return (
-        mixed.select("_row", F.explode("positions").alias("_position"), "_hash")
-        .repartitionByRange("_position", "_hash")
-        .sortWithinPartitions("_position", "_hash")
-        .select("_row.*")
-    )
+    return _in_order(mixed.select("_row", "positions", "_hash")).select("_row.*")

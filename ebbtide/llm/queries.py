@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +58,7 @@ def all_queries() -> dict[str, Query]:
         "op10_curriculum_mixing": on_documents(
             lambda docs: mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
         ),
+        "op10_training_positions": on_documents(mixing.training_positions),
     }
 
 
@@ -96,6 +97,49 @@ FROM placed
 """
 
 
+def _position_sql(share: str, schedule: Sequence[tuple[float, float]]) -> str:
+    """``mixing.position`` in SQL; numbers as text, which is read without rounding."""
+
+    def number(x: float) -> str:
+        return f"CAST('{x!r}' AS DOUBLE)"
+
+    branches = []
+    for t0, w0, slope, so_far, length in mixing.pieces(schedule):
+        rest = f"greatest({share} - {number(so_far)}, 0::DOUBLE)"
+        if abs(slope) < 1e-12:
+            time = f"{rest} / {number(w0)}"
+        else:
+            inner = f"greatest({number(w0 * w0)} + {rest} * {number(2.0 * slope)}, 0::DOUBLE)"
+            time = f"{rest} * 2::DOUBLE / (sqrt({inner}) + {number(w0)})"
+        here = f"{number(t0)} + least({time}, {number(length)})"
+        branches.insert(0, f"WHEN {share} >= {number(so_far)} THEN {here}")
+    return f"CASE {' '.join(branches)} END"
+
+
+def training_positions_sql() -> str:
+    """Targets as in ``MIXING_SQL``, then each pass's share of the demand, inverted."""
+    targets = MIXING_SQL[: MIXING_SQL.index(", placed AS (")]
+    turns = " ".join(
+        f"WHEN {k} THEN {_position_sql('share', s)}" for k, s in enumerate(mixing.SCHEDULES)
+    )
+    return f"""{targets}, turns AS (
+  SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn FROM targets
+), placed AS (
+  SELECT s.doc_id, s.source, s.size, t.source_size, t.target, t.turn,
+    sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h, s.doc_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size + s.size / 2.0::DOUBLE AS middle
+  FROM sized s JOIN turns t ON s.source IS NOT DISTINCT FROM t.source
+), passes AS (
+  SELECT *, (middle + k::DOUBLE * greatest(source_size::DOUBLE, 1::DOUBLE))
+      / greatest(target, CAST('1e-9' AS DOUBLE)) AS share
+  FROM placed, (SELECT unnest([0, 1, 2]) AS k)
+  WHERE size > 0 AND k < ceil((target - middle) / source_size)
+)
+SELECT doc_id, source, CAST(k + 1 AS INTEGER) AS pass, CASE turn {turns} END AS position
+FROM passes
+"""
+
+
 def _draw_sql(key: str, name: str, weight: float) -> str:
     digits = f"CAST('0x' || substr(md5({key} || '|{name}'), 1, 12) AS BIGINT)"
     return f"-ln(({digits} + 0.5::DOUBLE) / 281474976710656.0) / {weight}"
@@ -144,4 +188,8 @@ FROM sharded
 
 
 def all_sql() -> dict[str, str]:
-    return {"op6_hash_tree_sharding": sharding_sql(), "op10_curriculum_mixing": MIXING_SQL}
+    return {
+        "op6_hash_tree_sharding": sharding_sql(),
+        "op10_curriculum_mixing": MIXING_SQL,
+        "op10_training_positions": training_positions_sql(),
+    }

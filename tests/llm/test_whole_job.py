@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontamination, jaccard_join, mixing, vantage_trees
+from ebbtide.llm import jaccard_join, mixing, vantage_trees
 from ebbtide.llm.queries import all_queries, all_sql
 from test_text_operators import ITEM, brute_nearest, leaks_of
 
@@ -85,3 +85,17 @@ def test_slots_are_checked_over_the_whole_chain(spark):
         return f"{one.replace('12', a)} really {two.replace('12', b)}"
     got = leaks_of(spark, [put("77", "77"), put("77", "78")], [f"{one} {two}"], coverage=0.9)
     assert [r[0] for r in got] == [0]
+
+
+# --- 10: the curriculum as a query ---
+
+
+def test_positions_of_all_passes_are_a_query(spark, tmp_path):
+    rows = [(i, "w " * (1 + i % 7), "abc"[i % 3]) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = all_queries()["op10_training_positions"](spark, str(tmp_path)).collect()
+    mixed = mixing.mix(docs).select("doc_id", "source", F.posexplode("positions"))
+    assert sorted(map(tuple, got)) == sorted((d, s, k + 1, p) for d, s, k, p in mixed.collect())
+    assert [r.position for r in got] == sorted(r.position for r in got)
+    assert "op10_training_positions" in all_sql()
