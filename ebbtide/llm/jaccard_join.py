@@ -142,7 +142,8 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, how: Similarity) -> DataFrame
 
     The texts are read again, so that no table of all shingles has to be kept. Texts are
     not shuffled: a bitmap of fixed size lets the scan pass over most others, and the join
-    on gid removes the rest, whatever share that is.
+    on gid and doc_id removes the rest, whatever share that is. Rows repeated in both are
+    one before anything is written, so that a join on gid meets each set once.
     """
     # a missing doc_id falls on a slot too, so that its texts are found again
     slot = F.xxhash64(F.col("doc_id").cast("long"))
@@ -151,20 +152,23 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, how: Similarity) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.column(0).to_numpy() & ((1 << SLOT_BITS) - 1)
-            texts_wanted = batch.column(1).filter(pa.array((bitmap.value[at >> 5] >> (at & 31)) & 1 == 1))
-            for texts in chunks_of(texts_wanted):
+            wanted_rows = pa.array((bitmap.value[at >> 5] >> (at & 31)) & 1 == 1)
+            slots = batch.column(0).filter(wanted_rows)
+            for texts in chunks_of(batch.column(1).filter(wanted_rows)):
                 sets = shingle_hashes(*word_hashes(texts), how.words)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([_set_id(s) for s in sets], pa.int64()),
+                        slots.slice(texts.first, len(texts)),
                         pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                     ],
-                    names=["gid", "shingles"],
+                    names=["gid", "_slot", "shingles"],
                 )
 
     rows = docs.select(slot.alias("_slot"), text_of().alias("text"))
-    found = in_arrow(rows, run, "gid long, shingles array<long>")
-    return found.join(wanted.select("gid").distinct(), "gid", "left_semi")
+    found = in_arrow(rows, run, "gid long, _slot long, shingles array<long>")
+    found = found.join(wanted.select("gid", slot.alias("_slot")), ["gid", "_slot"], "left_semi")
+    return found.groupBy("gid").agg(F.any_value("shingles").alias("shingles"))
 
 
 def with_prefixes(docs: DataFrame, sets: DataFrame, how: Similarity, common: int) -> DataFrame:

@@ -26,6 +26,17 @@ def test_a_repeated_id_loses_only_the_rows_that_are_copies(spark):
     assert sorted(str(tuple(r)) for r in again) == want
 
 
+def test_a_wanted_set_is_read_once(spark):
+    rows = [(None, "a b c d e")] * 3 + [(7, "f g h i j")] * 4 + [(8, "f g h i j"), (7, "k l m n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    how = jaccard_join.Similarity()
+    marks = jaccard_join.sketches(docs, how).groupBy("gid").agg(F.min("doc_id").alias("doc_id")).localCheckpoint()
+    wanted = marks.where("doc_id is null").unionByName(marks.where("doc_id = 7").orderBy("gid"))
+    got = jaccard_join.whole_sets(docs, wanted, how).collect()
+    assert sorted(r.gid for r in got) == sorted(r.gid for r in wanted.collect())
+    assert len(got) == 3
+
+
 # --- 5: nearest vectors ---
 
 
