@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.ml import metrics, model, search, split
+from ebbtide.ml import metrics, model, split
 from ebbtide.names import CUSTOMER, LABEL, SCORE
 from ebbtide.operators.anchors import churn_target, reference_dates, scoring_dates
 from ebbtide.operators.lookback import daily_calls, daily_usage
@@ -276,7 +276,6 @@ def fitted_queries() -> dict[str, Query]:
         "m12_feature_importances": importances,
         "m12_top_importances": lambda spark, folder: importances(spark, folder, 10),
         "m12_feature_importances_checked": importances_checked,
-        "m13_candidates": lambda spark, folder: search.candidate_table(spark),
         "m15_logistic_report": scored_by("logistic", metrics.classification_report),
         "m15_logistic_roc_curve": scored_by("logistic", lambda s: rounded(metrics.roc_curve(s))),
         "m16_churn_predictions": batch_scores,

@@ -131,7 +131,7 @@ def window_hashes(
 class Index:
     """The benchmark's windows: sorted hashes with item and position, and a bit table."""
 
-    def __init__(self, items: list[tuple[int, str]], size: int = WINDOW):
+    def __init__(self, items: list[tuple[int | None, str]], size: int = WINDOW):
         self.size = size
         self.ids = [i for i, _ in items]
         self.templates: list[Template] = []
@@ -256,14 +256,15 @@ def alignments(
     yield at
 
 
-def _item_blocks(benchmark: DataFrame, block: int) -> Iterator[list[tuple[int, str]]]:
+def _item_blocks(benchmark: DataFrame, block: int) -> Iterator[list[tuple[int | None, str]]]:
     """The benchmark in blocks of about ``block`` items, dealt by a hash of the item's text."""
     items = benchmark.where(F.length(text_of()) > 0).select("item_id", "text").distinct()
     blocks = max(1, -(-items.count() // block))
     deal = F.pmod(F.xxhash64("text"), F.lit(blocks))
     for k in range(blocks):
         part = items.where(deal == k).collect()
-        yield sorted((r["item_id"], r["text"]) for r in part if r["item_id"] is not None)
+        rows = [(r["item_id"], r["text"]) for r in part]
+        yield sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
 SCHEMA = "doc_id long, item_id long, coverage double, changed_slots int"
@@ -285,7 +286,8 @@ def find_leaks(
     shorter than a window is one window; items of under three tokens match nothing, and
     items of mostly placeholders only as plain copies. Missing and empty
     texts match nothing; repeated rows give repeated rows; items equal in text both match;
-    a missing doc_id stays; empty tables give an empty result; other columns are ignored.
+    a missing doc_id or item_id stays; empty tables give an empty result; other columns are
+    ignored.
 
     Documents are scanned once per block of items and not shuffled; a block's index is
     broadcast and is bounded by its number of items.

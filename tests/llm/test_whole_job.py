@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.llm import jaccard_join, mixing, vantage_trees
+from ebbtide import catalog
+from ebbtide.llm import decontamination, jaccard_join, mixing, vantage_trees
 from ebbtide.llm.queries import all_queries, all_sql
 from test_text_operators import ITEM, brute_nearest, leaks_of
 
@@ -98,6 +99,13 @@ def test_slots_are_checked_over_the_whole_chain(spark):
     assert [r[0] for r in got] == [0]
 
 
+def test_items_without_an_id_are_found(spark):
+    docs = spark.createDataFrame([(1, f"So {ITEM}."), (2, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, ITEM), (3, "other words")], "item_id long, text string")
+    assert [tuple(r)[:2] for r in decontamination.find_leaks(docs, items).collect()] == [(1, None)]
+    assert [r.doc_id for r in decontamination.without_leaks(docs, items).collect()] == [2]
+
+
 # --- 10: the curriculum as a query ---
 
 
@@ -110,3 +118,10 @@ def test_positions_of_all_passes_are_a_query(spark, tmp_path):
     assert sorted(map(tuple, got)) == sorted((d, s, k + 1, p) for d, s, k, p in mixed.collect())
     assert [r.position for r in got] == sorted(r.position for r in got)
     assert "op10_training_positions" in all_sql()
+
+
+# --- catalogue ---
+
+
+def test_no_query_ignores_its_folder():
+    assert "m13_candidates" not in catalog.all_queries()
