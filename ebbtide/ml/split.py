@@ -15,8 +15,12 @@ from ebbtide.names import CUSTOMER, LABEL, SEED, TEST_FRACTION
 
 
 def hash_position(seed: int = SEED) -> Column:
-    """A 32-bit number from the MD5 of identifier and seed."""
-    digest = F.md5(F.concat(F.col(CUSTOMER), F.lit(str(seed))))
+    """A 32-bit number from the MD5 of identifier and seed.
+
+    Rows without an identifier share one position, so they are kept, as one group.
+    """
+    known = F.coalesce(F.col(CUSTOMER).cast("string"), F.lit("\0no identifier"))
+    digest = F.md5(F.concat(known, F.lit(str(seed))))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 

@@ -26,9 +26,11 @@ def write_features(features: DataFrame, path: str, fill_missing: bool = False) -
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; one of its own only where none is set."""
+    """The folder of spark.checkpoint.dir; one of its own only in local mode, where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         folder = tempfile.mkdtemp(prefix="ebbtide-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

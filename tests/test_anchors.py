@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import CEASE, INFO, by_customer, info_row
+from core_rows import CEASE, INFO, by_customer, info_row
 
 from ebbtide.operators.anchors import (
     churn_target,

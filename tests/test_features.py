@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import (
+from core_rows import (
     ANCHOR,
     CALLS,
     CEASE,

@@ -110,6 +110,16 @@ def test_folds_hold_equal_shares_of_each_class(frame):
     assert all(abs(r["count"] - sizes[r.is_churned] / 4) <= 2 for r in counts)
 
 
+def test_rows_without_identifier_are_kept_as_one_group(spark):
+    rows = [(f"c{i}" if i else None, i % 2) for i in range(101)] + [(None, 0)]
+    df = spark.createDataFrame(rows, f"{ID} string, is_churned int")
+    train, test = split.train_test_split(df)
+    assert train.count() + test.count() == 102
+    assert {train.where(f"{ID} is null").count(), test.where(f"{ID} is null").count()} == {0, 2}
+    folds = split.add_folds(df).where(f"{ID} is null").select("fold").collect()
+    assert len(folds) == 2 and len({r.fold for r in folds}) == 1
+
+
 def test_weights(spark):
     df = spark.createDataFrame([(f"c{i}", int(i < 2)) for i in range(8)], f"{ID} string, is_churned int")
     counts = split.class_counts(df).first()

@@ -5,7 +5,7 @@ import re
 
 import duckdb
 import pytest
-from conftest import TESTDATA
+from core_rows import TESTDATA
 
 import __spark_entry__ as driver
 

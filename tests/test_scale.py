@@ -5,7 +5,7 @@ import re
 from datetime import timedelta
 
 import pytest
-from conftest import ANCHOR, CALLS, USAGE, anchors_of, before, by_customer, info_row, INFO, CEASE
+from core_rows import ANCHOR, CALLS, USAGE, anchors_of, before, by_customer, info_row, INFO, CEASE
 from pyspark.sql import functions as F
 
 from ebbtide import catalog
