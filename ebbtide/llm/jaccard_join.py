@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.shared import in_arrow, stored, text_of
+from ebbtide.llm.shared import in_arrow, stored, text_of, unused
 from ebbtide.llm.words import U64, chunks_of, mixed, shingle_hashes, word_hashes
 
 #: A shingle in more sets' windows than this goes to the end of the global order.
@@ -524,20 +524,23 @@ def keep_first(docs: DataFrame, how: Similarity | None = None) -> DataFrame:
     found = _classed(docs, how or Similarity(80, 100, 5), COMMON)
     found = found.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     first = (F.col("doc_id") == F.col("component_id")) & (F.col("gid") == F.col("first_gid"))
-    keys = {"doc_id": "_id", "text_hash": "_text_hash", "gid": "_gid"}
+    id_, hash_, gid_, rows_, first_ = (
+        unused(docs, name) for name in ("_id", "_text_hash", "_gid", "_rows", "_first")
+    )
+    keys = {"doc_id": id_, "text_hash": hash_, "gid": gid_}
     texts = found.groupBy("doc_id", "text_hash", "gid").agg(
-        F.max(first).alias("_first"), F.count(F.lit(1)).alias("_rows")
+        F.max(first).alias(first_), F.count(F.lit(1)).alias(rows_)
     )
     texts = stored(texts.withColumnsRenamed(keys), "first_rows")
-    gone = texts.where(~F.col("_first")).select("_id", "_text_hash")
-    again = texts.where("_first").groupBy("_id", "_gid").agg(
-        F.sum("_rows").alias("_rows"), F.collect_set("_text_hash").alias("_texts")
-    )
-    again = again.where("_rows > 1").select("_id", "_gid", F.explode("_texts").alias("_text_hash"))
-    marks = {"_id": F.col("doc_id").cast("long"), "_text_hash": F.xxhash64(text_of())}
-    kept = docs.withColumns(marks).join(gone, ["_id", "_text_hash"], "left_anti")
-    plain = kept.join(again, ["_id", "_text_hash"], "left_anti").select(*docs.columns)
+    gone = texts.where(~F.col(first_)).select(id_, hash_)
+    again = texts.where(F.col(first_)).groupBy(id_, gid_).agg(
+        F.sum(rows_).alias(rows_), F.collect_set(hash_).alias("_texts")
+    )
+    again = again.where(F.col(rows_) > 1).select(id_, gid_, F.explode("_texts").alias(hash_))
+    marks = {id_: F.col("doc_id").cast("long"), hash_: F.xxhash64(text_of())}
+    kept = docs.withColumns(marks).join(gone, [id_, hash_], "left_anti")
+    plain = kept.join(again, [id_, hash_], "left_anti").select(*docs.columns)
     row = F.struct(*docs.columns)
-    one = F.min_by(row, F.to_json(row)).alias("_row")
-    repeated = kept.join(again, ["_id", "_text_hash"]).groupBy("_id", "_gid").agg(one)
-    return plain.unionByName(repeated.select("_row.*"))
+    one = F.min_by(row, F.to_json(row)).alias(rows_)
+    repeated = kept.join(again, [id_, hash_]).groupBy(id_, gid_).agg(one)
+    return plain.unionByName(repeated.select(f"{rows_}.*"))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.shared import stored, text_of
+from ebbtide.llm.shared import stored, text_of, unused
 
 BITS = 48
 SUB_BUCKETS = 64
@@ -156,6 +156,9 @@ def assign_shards(
 
 
 def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
-    """``docs`` with all columns and the shard of each row; nothing is shuffled."""
+    """``docs`` with all columns and the shard of each row; nothing is shuffled.
+
+    The new column is ``shard``, with underscores appended where ``docs`` has such a column.
+    """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
-    return docs.withColumn("shard", reached_shard(key, uniform_tree(shards)))
+    return docs.withColumn(unused(docs, "shard"), reached_shard(key, uniform_tree(shards)))

@@ -14,9 +14,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a folder of its own only where none is set."""
+    """The folder of spark.checkpoint.dir; in local mode a folder of its own where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         folder = tempfile.mkdtemp(prefix="ebbtide-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -38,6 +40,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores appended as it takes to clash with no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(column: str = "text") -> Column:
     """The text, a missing one as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

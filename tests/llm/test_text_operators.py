@@ -361,7 +361,7 @@ def test_sharding_odd_rows(odd):
         body = (r.text or "").encode()
         assert (r.doc_id, len(body) + 16, zlib.crc32(body)) in sizes
     assert len(rows) == 11 and len({(r.shard, r.slot) for r in rows}) == 11
-    assert set(sharding.shard_documents(odd.drop("shard")).columns) == set(odd.columns)
+    assert sharding.shard_documents(odd).columns == [*odd.columns, "shard_"]
 
 
 # --- 7: decontamination ---
@@ -535,10 +535,10 @@ def test_held_out_documents(spark, sf01, documents):
     field = toxicity.fit_on(documents, labels)
     scored = toxicity.score_documents(documents, field).join(labels, "doc_id").where("held_out")
     hit, miss, wrong, right = scored.agg(
-        F.count_if("toxic = 1 and predicted = 1"),
-        F.count_if("toxic = 1 and predicted = 0"),
-        F.count_if("toxic = 0 and predicted = 1"),
-        F.count_if("toxic = 0 and predicted = 0"),
+        F.count_if(F.expr("toxic = 1 and predicted = 1")),
+        F.count_if(F.expr("toxic = 1 and predicted = 0")),
+        F.count_if(F.expr("toxic = 0 and predicted = 1")),
+        F.count_if(F.expr("toxic = 0 and predicted = 0")),
     ).first()
     assert hit > miss and wrong <= 0.1 * (wrong + right)
     again = toxicity.fit_on(documents.repartition(5), labels)
@@ -636,6 +636,36 @@ def test_training_order_repeats_documents(odd):
     assert all(mixed[r.doc_id, r.source] > 0 for r in order.collect())
 
 
+# --- names that clash, and long runs ---
+
+
+def test_columns_that_clash_keep_their_values(spark):
+    copy = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame(
+        [(1, copy, 77, "h", "s"), (1, copy, 78, "i", "t"), (2, copy, 79, "j", "u"), (3, "", 80, "k", "v")],
+        "doc_id long, text string, _id long, _Text_hash string, shard string",
+    )
+    kept = jaccard_join.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r._id, r._Text_hash, r.shard) for r in kept.collect()) == [(77, "h", "s"), (80, "k", "v")]
+    placed = sharding.shard_documents(docs).collect()
+    assert sorted(r.shard for r in placed) == ["s", "t", "u", "v"] and all(0 <= r.shard_ < 40 for r in placed)
+
+
+def test_a_long_run_of_digits_takes_linear_time(spark):
+    import time
+
+    text = "7" * 300_000 + " 10.0.0.1"
+    began = time.perf_counter()
+    found = [m.span() for m in pii._IP.finditer(text)]
+    assert found == [(300_001, 300_009)] and time.perf_counter() - began < 2
+    plain = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+    rng = random.Random(3)
+    for _ in range(300):
+        s = "".join(rng.choices("12..., a", k=40))
+        assert [m.span() for m in pii._IP.finditer(s)] == [m.span() for m in plain.finditer(s)]
+
+
 # --- every operator on an empty table ---
 
 
