@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ebbtide.llm import (
     context_tree,
     decontamination,
+    filter_audit,
     jaccard_join,
     mixing,
     pii,
@@ -44,6 +45,10 @@ def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(documents, field)
 
 
+def filter_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": on_documents(jaccard_join.near_duplicates),
@@ -59,6 +64,7 @@ def all_queries() -> dict[str, Query]:
             lambda docs: mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
         ),
         "op10_training_positions": on_documents(mixing.training_positions),
+        "op12_filter_audit": filter_orders,
     }
 
 
@@ -187,9 +193,52 @@ FROM sharded
 """
 
 
+def filter_audit_sql() -> str:
+    """Masks of the failed filters, counted by part, and summed for every order and step."""
+    steps = ", ".join(map(str, filter_audit.every_step()))
+    return rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), flagged AS (
+  SELECT doc_id, part,
+    CAST(len(words) < 100 AS INTEGER)
+    + 2 * CAST(100 * len(list_distinct(words)) < 80 * len(words) AS INTEGER)
+    + 4 * CAST(100 * length(regexp_replace(body, '[^A-Z]+', '', 'g')) > 10 * length(body) AS INTEGER)
+    + 8 * CAST(regexp_matches(body, '[#$%&*|]') AS INTEGER)
+    + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), false) AS INTEGER) AS mask
+  FROM d
+), marks AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), counts AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM flagged LEFT JOIN marks USING (doc_id) GROUP BY part, mask
+), steps(filter_order, step, bit, before) AS (VALUES {steps}
+), report AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM report
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op6_hash_tree_sharding": sharding_sql(),
         "op10_curriculum_mixing": MIXING_SQL,
         "op10_training_positions": training_positions_sql(),
+        "op12_filter_audit": filter_audit_sql(),
     }
