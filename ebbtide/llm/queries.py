@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.llm import (
     context_tree,
+    cover_trees,
     decontamination,
     filter_audit,
     jaccard_join,
@@ -49,6 +50,10 @@ def filter_orders(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_trees.compress(table(spark, folder, "embeddings"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": on_documents(jaccard_join.near_duplicates),
@@ -65,6 +70,7 @@ def all_queries() -> dict[str, Query]:
         ),
         "op10_training_positions": on_documents(mixing.training_positions),
         "op12_filter_audit": filter_orders,
+        "op13_cover_tree_codes": vector_codes,
     }
 
 
@@ -235,10 +241,53 @@ FROM report
 """
 
 
+def vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd rounds as one step of SQL after the other, over all vectors and entries."""
+    nearest = """SELECT v.vec_id, v.part, min({'square': list_sum(list_transform(
+      range(1, len(v.v) + 1), lambda i: (v.v[i] - e.v[i]) * (v.v[i] - e.v[i]))), 'entry': e.entry}) AS best
+  FROM cut v JOIN book%d e ON v.part = e.part GROUP BY v.vec_id, v.part"""
+    steps = []
+    for k in range(rounds):
+        steps.append(f"""near{k} AS MATERIALIZED ({nearest % k}
+), mean{k} AS MATERIALIZED (
+  SELECT part, entry, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+    SELECT part, entry, i, CAST(sum(x) AS HUGEINT) AS total, count(*) AS n FROM (
+      SELECT v.part, best.entry AS entry, unnest(v.v) AS x, unnest(range(1, len(v.v) + 1)) AS i
+      FROM near{k} JOIN cut v USING (vec_id, part))
+    GROUP BY part, entry, i) GROUP BY part, entry
+), book{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM book{k} b LEFT JOIN mean{k} m USING (part, entry)
+)""")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS MATERIALIZED (
+  SELECT vec_id, part, v[part * len(v) // {parts} + 1 : (part + 1) * len(v) // {parts}] AS v
+  FROM kept, (SELECT unnest(range({parts})) AS part)
+), book0 AS MATERIALIZED (
+  SELECT part, entry, v FROM cut JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept
+    ORDER BY vec_id LIMIT {entries}) USING (vec_id)
+), {", ".join(steps)}, last AS MATERIALIZED ({nearest % rounds}
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds}
+), coded AS (
+  SELECT vec_id, string_agg(printf('%02x', CAST(best.entry AS INTEGER)), '' ORDER BY part) AS code,
+    CAST(sum(best.square) AS BIGINT) AS error
+  FROM last GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), digest
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op6_hash_tree_sharding": sharding_sql(),
         "op10_curriculum_mixing": MIXING_SQL,
         "op10_training_positions": training_positions_sql(),
         "op12_filter_audit": filter_audit_sql(),
+        "op13_cover_tree_codes": vector_codes_sql(),
     }
