@@ -11,6 +11,7 @@ from ebbtide.llm import (
     cover_trees,
     decontamination,
     filter_audit,
+    hyper_language,
     jaccard_join,
     mixing,
     pii,
@@ -69,6 +70,7 @@ def all_queries() -> dict[str, Query]:
             lambda docs: mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
         ),
         "op10_training_positions": on_documents(mixing.training_positions),
+        "op11_hyperdimensional_language": on_documents(hyper_language.identify),
         "op12_filter_audit": filter_orders,
         "op13_cover_tree_codes": vector_codes,
     }
