@@ -30,7 +30,7 @@ SCALE = 4096
 #: Bounds of a block: rows, and numbers in all its vectors.
 BLOCK_ROWS = 4096
 BLOCK_NUMBERS = 1 << 21
-LEAF = 8
+LEAF = 64
 #: Integers of this size or more are refused, so that squares and sums stay exact.
 LARGEST = 1 << 27
 #: What rounding of distances could cost, relative to them; nearer decisions descend.
