@@ -12,6 +12,8 @@ from ebbtide.names import CALL_DAYS, CUSTOMER, TALK_DAYS
 
 DAY = "fact_day"
 DISTANCE = "days_before"
+#: Days of a cell; a window of 91 days touches four or five.
+CELL_DAYS = 30
 
 
 def daily_totals(
@@ -31,19 +33,38 @@ def daily_totals(
     )
 
 
+def cell_of(day: str | Column) -> Column:
+    """The CELL_DAYS-day cell of a date, counted from 1970."""
+    return F.floor(F.unix_date(day) / CELL_DAYS).cast("int")
+
+
 def look_back(
     anchors: DataFrame, facts: DataFrame, days: int, date: str = DAY, how: str = "left"
 ) -> DataFrame:
-    """Join facts to anchors of the same customer, 0 to ``days`` days before ref_date.
-
-    Both ends count and later facts are left out. The band is part of the join
-    condition, so ``how='left'`` keeps customers without facts (with NULL facts),
-    and one aggregation afterwards covers them too.
+    """Facts of each anchor's customer, 0 to ``days`` days before ref_date; both ends count.
+
+    An anchor is repeated for each cell its window touches, and facts meet it on customer
+    and cell, with the band as a further condition. So the facts cross the network once,
+    unsorted, spread over the cells of their customer, and cells that no window touches
+    end there. The anchors' side, a few narrow rows per customer, is the one that is
+    hashed. Adaptive execution splits a cell that is still too large, since the join reads
+    its two sides straight from their exchanges. What is left is for the caller to aggregate, with
+    map-side combine. ``how='left'`` adds one row without a fact for *every* anchor, so
+    that one aggregation covers customers without facts too.
     """
-    facts = facts.withColumnRenamed(CUSTOMER, "_customer")
+    first, last = cell_of(F.date_sub("ref_date", days)), cell_of("ref_date")
+    reach = anchors.withColumn("_cell", F.explode(F.sequence(first, last)))
+    own = facts.withColumnRenamed(CUSTOMER, "_customer").withColumn("_fact_cell", cell_of(date))
     distance = days_before("ref_date", date)
-    matches = (F.col(CUSTOMER) == F.col("_customer")) & distance.between(0, days)
-    return anchors.join(facts, matches, how).drop("_customer").withColumn(DISTANCE, distance)
+    same_cell = (F.col(CUSTOMER) == F.col("_customer")) & (F.col("_cell") == F.col("_fact_cell"))
+    found = (
+        own.join(reach.hint("shuffle_hash"), same_cell & distance.between(0, days))
+        .drop("_customer", "_cell", "_fact_cell")
+        .withColumn(DISTANCE, distance)
+    )
+    if how == "inner":
+        return found
+    return found.unionByName(anchors, allowMissingColumns=True)
 
 
 def in_reach(facts: DataFrame, date: str, anchors: DataFrame, days: int) -> DataFrame:
@@ -74,20 +95,8 @@ def daily_calls(calls: DataFrame, keys: Sequence[str] = ("call_type",)) -> DataF
     )
 
 
-def daily_usage(usage: DataFrame, already_daily: bool = False) -> DataFrame:
-    """Download and upload per customer and day.
-
-    ``already_daily`` states that the table has one row per customer and day. No
-    customer can then be hot, so the totals, and their shuffle, are left out. If the
-    statement is wrong, results still are right and only the skew protection is lost.
-    """
-    if already_daily:
-        return usage.where(as_date("calendar_date").isNotNull()).select(
-            CUSTOMER,
-            as_date("calendar_date").alias(DAY),
-            as_double("usage_download_mbs").alias("download_mbs"),
-            as_double("usage_upload_mbs").alias("upload_mbs"),
-        )
+def daily_usage(usage: DataFrame) -> DataFrame:
+    """Download and upload per customer and day."""
     return daily_totals(
         usage,
         "calendar_date",
@@ -98,11 +107,33 @@ def daily_usage(usage: DataFrame, already_daily: bool = False) -> DataFrame:
     )
 
 
+def dated_calls(calls: DataFrame, keys: Sequence[str] = ("call_type",)) -> DataFrame:
+    """Calls as facts: customer, ``keys``, day, 1 call, talk and hold seconds."""
+    return calls.where(as_date("event_date").isNotNull()).select(
+        CUSTOMER,
+        *keys,
+        as_date("event_date").alias(DAY),
+        F.lit(1).alias("calls"),
+        as_double("talk_time_seconds").alias("talk_seconds"),
+        as_double("hold_time_seconds").alias("hold_seconds"),
+    )
+
+
+def dated_usage(usage: DataFrame) -> DataFrame:
+    """Usage as facts: customer, day, download and upload."""
+    return usage.where(as_date("calendar_date").isNotNull()).select(
+        CUSTOMER,
+        as_date("calendar_date").alias(DAY),
+        as_double("usage_download_mbs").alias("download_mbs"),
+        as_double("usage_upload_mbs").alias("upload_mbs"),
+    )
+
+
 def calls_by_type(anchors: DataFrame, calls: DataFrame, how: str = "left") -> DataFrame:
     """One row per anchor and call_type: calls, talk and hold per window, last call.
 
-    Every column of ``anchors`` is carried along. With ``how='left'`` a customer
-    without calls gets one row with 0 calls and no type.
+    Every column of ``anchors`` is carried along. With ``how='left'`` every customer has a
+    row without a type, which counts the calls without one (0 if there are none).
     """
     windows = [total_within("calls", DISTANCE, d).alias(f"calls_{d}d") for d in CALL_DAYS]
     windows += [
@@ -113,7 +144,7 @@ def calls_by_type(anchors: DataFrame, calls: DataFrame, how: str = "left") -> Da
     return (
         look_back(
             anchors,
-            daily_calls(in_reach(calls, "event_date", anchors, max(CALL_DAYS))),
+            dated_calls(in_reach(calls, "event_date", anchors, max(CALL_DAYS))),
             max(CALL_DAYS),
             how=how,
         )

@@ -38,7 +38,7 @@ from ebbtide.names import (
     USAGE_DAYS,
 )
 from ebbtide.operators.anchors import churn_target, reference_dates, scoring_dates
-from ebbtide.operators.lookback import DISTANCE, calls_by_type, daily_usage, in_reach, look_back
+from ebbtide.operators.lookback import DISTANCE, calls_by_type, dated_usage, in_reach, look_back
 from ebbtide.operators.snapshots import latest_snapshot
 
 SNAPSHOT_INPUTS = (
@@ -57,9 +57,9 @@ SNAPSHOT_INPUTS = (
 def call_and_talk_features(calls: DataFrame, anchors: DataFrame) -> DataFrame:
     """Call counts and talk and hold minutes in one pass over the calls.
 
-    Calls are first reduced to (customer, type, day), then joined to the anchors,
-    then to (customer, type), then to the customer. The last two steps reuse the
-    join's partitioning by customer. Every anchor customer is in the result.
+    Calls meet the anchors by customer and cell; what lies in a window is reduced to
+    (customer, type), with map-side combine, and then to the customer. Every anchor
+    customer is in the result.
     """
     per_type = calls_by_type(anchors.select(CUSTOMER, "ref_date"), calls)
     counts = [F.sum(f"calls_{d}d").alias(f"calls_total_{d}d") for d in CALL_DAYS]
@@ -103,12 +103,12 @@ def usage_features(
     usage: DataFrame,
     anchors: DataFrame,
     keep_totals: bool = False,
-    already_daily: bool = False,
+    how: str = "left",
 ) -> DataFrame:
     """Change in download volume, days 0-27 against days 28-55, in percent.
 
-    ``keep_totals`` also returns the totals and the recency behind it;
-    ``already_daily`` saves a shuffle where usage has one row per customer and day.
+    ``keep_totals`` also returns the totals and the recency behind it; ``how="inner"``
+    leaves out customers without usage in reach.
     """
     kinds = ("download", "upload")
     totals = {
@@ -122,8 +122,9 @@ def usage_features(
     per_customer = (
         look_back(
             anchors.select(CUSTOMER, "ref_date"),
-            daily_usage(in_reach(usage, "calendar_date", anchors, max(USAGE_DAYS)), already_daily),
+            dated_usage(in_reach(usage, "calendar_date", anchors, max(USAGE_DAYS))),
             max(USAGE_DAYS),
+            how=how,
         )
         .groupBy(CUSTOMER)
         .agg(*[total.alias(name) for name, total in totals.items()])
@@ -192,17 +193,16 @@ def _wide(
     calls: DataFrame,
     usage: DataFrame,
     tie_break: Sequence[str] | None,
-    already_daily: bool,
 ) -> DataFrame:
     """One row per anchor customer; every side is already partitioned by customer.
 
     The call frame holds every anchor customer, so it is the base: the anchors
-    themselves need no further scan, and their exchange is reused by the usage join.
+    themselves need no further scan.
     """
     return (
         call_and_talk_features(calls, anchors)
         .join(snapshot_features(customer_info, tie_break), CUSTOMER, "left")
-        .join(usage_features(usage, anchors, already_daily=already_daily), CUSTOMER, "left")
+        .join(usage_features(usage, anchors, how="inner"), CUSTOMER, "left")
         .select(CUSTOMER, *FEATURES)
     )
 
@@ -214,7 +214,6 @@ def training_features(
     usage: DataFrame,
     anchors: DataFrame | None = None,
     tie_break: Sequence[str] | None = None,
-    already_daily: bool = False,
 ) -> DataFrame:
     """38 columns: customer, 36 features and the label is_churned.
 
@@ -224,7 +223,7 @@ def training_features(
     """
     if anchors is None:
         anchors = reference_dates(cease, customer_info)
-    features = _wide(anchors, customer_info, calls, usage, tie_break, already_daily)
+    features = _wide(anchors, customer_info, calls, usage, tie_break)
     target = churn_target(cease).select(CUSTOMER, LABEL)
     return features.join(target, CUSTOMER, "left").fillna({LABEL: 0})
 
@@ -235,9 +234,8 @@ def inference_features(
     usage: DataFrame,
     anchors: DataFrame | None = None,
     tie_break: Sequence[str] | None = None,
-    already_daily: bool = False,
 ) -> DataFrame:
     """37 columns: customer and 36 features, anchored on the last snapshot date."""
     if anchors is None:
         anchors = scoring_dates(customer_info)
-    return _wide(anchors, customer_info, calls, usage, tie_break, already_daily)
+    return _wide(anchors, customer_info, calls, usage, tie_break)

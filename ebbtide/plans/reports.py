@@ -26,8 +26,8 @@ from ebbtide.operators.anchors import (
 from ebbtide.operators.lookback import (
     DISTANCE,
     calls_by_type,
-    daily_calls,
-    daily_usage,
+    dated_calls,
+    dated_usage,
     in_reach,
     look_back,
 )
@@ -208,7 +208,7 @@ def call_volume_by_group(calls: DataFrame, anchors: DataFrame) -> DataFrame:
     per_customer = (
         look_back(
             anchors,
-            daily_calls(in_reach(calls, "event_date", anchors, max(CALL_DAYS)), keys=()),
+            dated_calls(in_reach(calls, "event_date", anchors, max(CALL_DAYS)), keys=()),
             max(CALL_DAYS),
         )
         .groupBy(CUSTOMER, "churn_group")
@@ -247,7 +247,7 @@ def usage_trend_before_cease(cease: DataFrame, usage: DataFrame, weeks: int = 8)
     anchors = first_placed(cease)
     usage = in_reach(usage, "calendar_date", anchors, days)
     weekly = (
-        look_back(anchors, daily_usage(usage), days, how="inner")
+        look_back(anchors, dated_usage(usage), days, how="inner")
         .groupBy(CUSTOMER, F.floor(F.col(DISTANCE) / 7).alias("week_before"))
         .agg(F.sum("download_mbs").alias("weekly_download_mbs"))
     )
@@ -300,7 +300,7 @@ def talk_hold_by_group(calls: DataFrame, anchors: DataFrame) -> DataFrame:
     """Mean calls, talk and hold seconds over 90 days, non-callers as 0."""
     days = max(CALL_DAYS)
     per_customer = (
-        look_back(anchors, daily_calls(in_reach(calls, "event_date", anchors, days), keys=()), days)
+        look_back(anchors, dated_calls(in_reach(calls, "event_date", anchors, days), keys=()), days)
         .groupBy(CUSTOMER, "churn_group")
         .agg(
             total_within("calls", DISTANCE, days).alias("calls"),

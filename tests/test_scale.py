@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbtide import catalog
 from ebbtide.names import CALL_FEATURES, TALK_FEATURES
-from ebbtide.operators.lookback import daily_calls, daily_usage
+from ebbtide.operators.lookback import daily_calls, daily_usage, dated_calls, look_back
 from ebbtide.operators.snapshots import latest_snapshot, value_changes
 from ebbtide.plans import reports
 from ebbtide.plans.features import (
@@ -101,8 +101,6 @@ def test_usage_change_against_brute_force(spark):
         now, earlier = total(0, 27), total(28, 55)
         expected = round((now - earlier) / earlier * 100, 2) if earlier > 0 else None
         assert got[c].usage_drop_pct_28d == (None if expected is None else pytest.approx(expected))
-    shortcut = usage_features(usage, anchors, already_daily=True)
-    assert by_customer(shortcut) == got  # whole numbers: sums are exact in any order
 
 
 def test_package_steps_against_brute_force(spark):
@@ -166,6 +164,44 @@ def test_hot_customer_is_small_before_the_join(hot_calls):
     assert per_day.agg(F.sum("calls")).first()[0] == 10_000
 
 
+def test_hot_customer_is_split_by_cells_and_adaptively(spark, hot_calls):
+    anchors = anchors_of(spark, ["hot", *(f"c{i}" for i in range(500))])
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "5KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5KB",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        frame = call_features(hot_calls, anchors)
+        got = by_customer(frame)
+        plan = plan_of(frame)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert "ShuffledHashJoin(skew=true)" in plan
+    assert got["hot"].calls_total_90d == 10_000
+    assert len(got) == 501
+
+
+def test_windows_touch_every_cell_at_any_anchor(spark):
+    """Facts on each day of a year around anchors on each day of a month: bands decide, not cells."""
+    days = [before(d) for d in range(-20, 160)]
+    calls = spark.createDataFrame([("c", d, "Tech", 1.0, 1.0) for d in days], CALLS)
+    for shift in range(0, 31, 3):
+        anchors = anchors_of(spark, ["c"]).withColumn("ref_date", F.date_sub("ref_date", shift))
+        found = look_back(anchors, dated_calls(calls), 90).where("fact_day is not null")
+        assert sorted(r.days_before for r in found.collect()) == list(range(91))
+        bare = look_back(anchors, dated_calls(calls), 90).where("fact_day is null").collect()
+        assert len(bare) == 1 and bare[0].calls is None
+    nowhere = anchors_of(spark, ["x"]).withColumn("ref_date", F.lit(None).cast("date"))
+    assert look_back(nowhere, dated_calls(calls), 90).count() == 1
+    assert look_back(nowhere, dated_calls(calls), 90, how="inner").count() == 0
+
+
 def test_hot_customer_is_counted_whole(spark, hot_calls):
     anchors = anchors_of(spark, ["hot", "c1"])
     got = by_customer(call_features(hot_calls, anchors))["hot"]
@@ -262,14 +298,13 @@ def exchanges(plan):
 
 def test_training_frame_shuffles(stored, as_if_large):
     plan = plan_of(training_features(*stored))
-    # anchors (once more for their range of dates), calls (by day, by customer), usage
-    # (twice too), snapshots, label
-    assert exchanges(plan) == 8
-    assert plan.count("ReusedExchange") == 1
-    assert plan.count("SortMergeJoin") == 5
+    # each fact table crosses the network whole once, to (customer, cell)
+    assert len(re.findall(r"Exchange hashpartitioning\(_customer", plan)) == 2
+    assert plan.count("ShuffledHashJoin") == 2
+    # small ones: anchors by customer and by cell (for calls and for usage), what lies in
+    # the windows (calls by type and by customer, usage by customer), label; and the snapshots
+    assert exchanges(plan) == 2 + 9
     assert plan.count("WindowGroupLimit") == 2
-    daily = plan_of(training_features(*stored, already_daily=True))
-    assert exchanges(daily) == 7
 
 
 def test_scans_are_pruned_and_filtered(stored, as_if_large):
