@@ -45,8 +45,11 @@ HEADLINES = [
     "q27_feature_means_by_label",
     "q30_high_risk_customers",
     "m03_stratified_split",
+    "m05_boosted_trees_metrics",
     "m08_roc_auc",
     "m11_roc_curve",
+    "m15_logistic_report",
+    "m16_churn_predictions",
 ]
 
 

@@ -4,68 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
-
-
-def bucket_of(value: Column, cuts: Column) -> Column:
-    """How many of the cut points lie at or below ``value``; 0 without cut points.
-
-    Never NULL: a join on a nullable bucket would push a not-null filter below the rows
-    of one side only, whose exchange the other side could then not reuse.
-    """
-    return F.coalesce(F.size(F.filter(cuts, lambda cut: cut <= value)), F.lit(0))
+from ebbtide.sources.writers import materialise
 
 
 def running_totals(
-    df: DataFrame, order: str, values: Sequence[str], buckets: int = BUCKETS
+    df: DataFrame, order: str, values: Sequence[str], ranges: int | None = None
 ) -> DataFrame:
     """For each row, in descending ``order``: totals above it and the next row's values.
 
     ``order`` must be unique in ``df``. Adds ``above_<v>`` (sum of v over all rows that
     come first), ``next_<v>`` (v of the following row, NULL on the last one) and ``total_<v>``.
 
-    An unpartitioned window would sort everything in one task. Instead the rows are
-    cut into buckets at approximate quantiles; the cut points only balance the work,
-    results are exact for any cuts. Rows and totals share them through one subquery,
-    evaluated once per query (``spark.sql.execution.reuseSubquery``, on by default).
-    Each bucket is ordered by itself, and the frame
-    of bucket totals that links them has at most ``buckets`` rows, which is also the
-    bound on what is broadcast.
+    An unpartitioned window would sort everything in one task. Instead the rows are range
+    partitioned by ``order`` (into ``ranges`` partitions, or as many as the session has for
+    shuffles) and written once with the number of their range, which fixes the ranges for
+    all that follows. Each range is ordered by itself; the totals of the ranges, one row
+    each, link them, and that bounds what is broadcast and what one window sorts.
     """
-    fractions = [i / buckets for i in range(1, buckets)]
-    # one struct over all columns: its plan then equals the main one's, so Spark
-    # computes the rows once and reuses their exchange
-    whole = df.agg(
-        F.struct(
-            F.percentile_approx(order, fractions).alias("cuts"),
-            *[F.sum(v).alias(v) for v in values],
-        )
-    ).scalar()
-    rows = df.withColumn("_whole", whole).select(
-        *df.columns,
-        bucket_of(F.col(order), F.col("_whole.cuts")).alias("_bucket"),
-        *[F.col(f"_whole.{v}").alias(f"total_{v}") for v in values],
-    )
-    by_bucket = Window.orderBy(F.col("_bucket").desc())
-    earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = rows.groupBy("_bucket").agg(
+    by_order = F.col(order).desc()
+    spread = df.repartitionByRange(by_order) if ranges is None else df.repartitionByRange(ranges, by_order)
+    rows = materialise(spread.withColumn("_range", F.spark_partition_id()), "ranges")
+    all_ranges = Window.orderBy("_range")
+    earlier = all_ranges.rowsBetween(Window.unboundedPreceding, -1)
+    whole = all_ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    per_range = rows.groupBy("_range").agg(
         *[F.sum(v).alias(f"sum_{v}") for v in values],
         *[F.max_by(v, order).alias(f"first_{v}") for v in values],
     )
-    links = per_bucket.select(
-        "_bucket",
-        *[
-            F.coalesce(F.sum(f"sum_{v}").over(earlier), F.lit(0)).alias(f"offset_{v}")
-            for v in values
-        ],
-        *[F.lead(f"first_{v}").over(by_bucket).alias(f"following_{v}") for v in values],
+    links = per_range.select(
+        "_range",
+        *[F.coalesce(F.sum(f"sum_{v}").over(earlier), F.lit(0)).alias(f"offset_{v}") for v in values],
+        *[F.sum(f"sum_{v}").over(whole).alias(f"total_{v}") for v in values],
+        *[F.lead(f"first_{v}").over(all_ranges).alias(f"following_{v}") for v in values],
     )
-    inside = Window.partitionBy("_bucket").orderBy(F.col(order).desc())
+    inside = Window.partitionBy("_range").orderBy(by_order)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    return rows.join(F.broadcast(links), "_bucket").select(
+    return rows.join(F.broadcast(links), "_range").select(
         *df.columns,
         *[f"total_{v}" for v in values],
         *[

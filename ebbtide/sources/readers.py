@@ -8,7 +8,6 @@ and the text ``null`` survives, which the churn definitions need.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import NamedTuple
 
@@ -62,31 +61,46 @@ def normalise(df: DataFrame, table: str) -> DataFrame:
     return df.withColumns(columns)
 
 
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file, header): the first line with any character in it of each file that has one.
+
+    The block that starts at 0 lies in one task, which reads its lines in their order.
+    """
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        "value",
+        F.monotonically_increasing_id().alias("at"),
+    )
+    return (
+        lines.where((F.col("start") == 0) & (F.trim("value") != ""))
+        .groupBy("file")
+        .agg(F.min_by("value", "at").alias("header"))
+    )
+
+
 def read_csv_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """All columns as text, named by each file's header; ``path`` may be a folder of files.
 
     Spark gives all files of one read the first one's header. So files are read in groups
     of equal headers, and the groups are stacked by name; a column that a group lacks is
-    NULL there. Only names and header lines reach the driver.
+    NULL there. One scan of the files as plain lines finds the first line of each, by the
+    file's block that starts at 0; it takes the same few jobs for any number of files.
+    Different header lines reach the driver, and names of files only if headers differ.
     """
     paths = [path] if isinstance(path, str) else list(path)
 
     def read(files: list[str]) -> DataFrame:
         return spark.read.option("header", True).csv(files)
 
-    found = spark.read.format("binaryFile").load(paths).select("path").collect()
-    files = sorted(row["path"] for row in found)
-    if len(files) < 2:
-        return read(paths)
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda file: tuple(read([file]).columns), files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for header, file in zip(headers, files, strict=True):
-        if header:  # a file without any line has no columns
-            groups.setdefault(header, []).append(file)
-    if len(groups) < 2:
+    headers = first_lines(spark, paths)
+    different = sorted(r["header"] for r in headers.select("header").distinct().collect())
+    if len(different) < 2:
         return read(paths)
-    parts = [read(group) for group in groups.values()]
+    files: dict[str, list[str]] = {header: [] for header in different}
+    for row in headers.orderBy("file").collect():
+        files[row["header"]].append(row["file"])
+    parts = [read(files[header]) for header in different]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

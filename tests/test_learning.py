@@ -208,11 +208,11 @@ def test_roc_against_brute_force(spark, distinct):
             assert g == pytest.approx(e)
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 256])
-def test_running_totals_do_not_depend_on_the_buckets(spark, buckets):
+@pytest.mark.parametrize("ranges", [1, 2, 7, 256, None])
+def test_running_totals_do_not_depend_on_the_ranges(spark, ranges):
     values = [(float(i * i % 101) + i / 1000, i % 5, i % 3) for i in range(300)]
     df = spark.createDataFrame(values, "s double, p int, n int").repartition(5)
-    got = {r.s: r for r in running_totals(df, "s", ["p", "n"], buckets).collect()}
+    got = {r.s: r for r in running_totals(df, "s", ["p", "n"], ranges).collect()}
     ordered = sorted(values, reverse=True)
     for place, (s, _, _) in enumerate(ordered):
         above, following = ordered[:place], ordered[place + 1 : place + 2]
@@ -220,6 +220,7 @@ def test_running_totals_do_not_depend_on_the_buckets(spark, buckets):
         assert got[s].above_n == sum(n for _, _, n in above)
         assert got[s].next_p == (following[0][1] if following else None)
         assert got[s].total_n == sum(n for _, _, n in values)
+    assert running_totals(df.limit(0), "s", ["p", "n"], ranges).count() == 0
 
 
 def test_spot_check_is_repeatable(spark):

@@ -125,6 +125,33 @@ def test_run_log_appends(spark, tmp_path):
     assert rows["run1"].params == {"depth": "6"}
 
 
+def test_any_number_of_csv_files_takes_the_same_jobs(spark, tmp_path):
+    """Jobs for 2 files with one header, then for 1,500; and for two kinds of header among them."""
+
+    def jobs_of(name, files):
+        folder = tmp_path / name
+        folder.mkdir()
+        for i in range(files):
+            (folder / f"f{i:04}.csv").write_text(f"\n{ID},speed\nc{i},{i}\n")
+        (folder / "empty.csv").write_text("")
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            table = read_feature_csv(spark, str(folder))
+            used = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return used, table, folder
+
+    few, _, _ = jobs_of("few", 2)
+    many, table, folder = jobs_of("many", 1500)
+    assert many <= few + 1 and few <= 4  # one more: Spark lists many files in a job
+    assert table.agg(F.count("speed"), F.sum("speed")).first()[:] == (1500, sum(range(1500)))
+    (folder / "other.csv").write_text(f"speed,{ID},more\n1,z,m\n")
+    mixed = read_feature_csv(spark, str(folder))
+    assert set(mixed.columns) == {ID, "speed", "more"}
+    assert mixed.where(F.col(ID) == "z").first().speed == 1.0 and mixed.count() == 1501
+
+
 def test_sorted_csv_keeps_its_order(spark, tmp_path):
     path = str(tmp_path / "out")
     frame = spark.range(100).withColumn("v", F.pmod(F.hash("id"), F.lit(17))).orderBy(F.col("v").desc(), "id")
