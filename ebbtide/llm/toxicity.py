@@ -32,6 +32,8 @@ SAMPLE_CLEAN = 4000
 MARK_LOG_RATIO = 3.5
 MARK_DOCUMENTS = 3
 EPOCHS = 6
+#: The scorer of documents learns from fields trained without them, in so many parts.
+SCORER_FOLDS = 2
 PENALTY = 1e-4
 
 _LETTER = np.ones(256, dtype=bool)
@@ -189,23 +191,54 @@ def fit(texts: list[str], toxic: np.ndarray, share: float) -> Field:
     at = np.cumsum([0, *(len(p[0]) for p in parts)])
     first = np.concatenate([p[1][:-1] + o for p, o in zip(parts, at, strict=False)] + [at[-1:]])
     toxic = toxic.astype(bool)
+    everyone = np.arange(len(texts))
+    field = _tagged_field(numbers, first, toxic, everyone)
+    # the scorer learns from fields that have not seen its documents; else it trusts
+    # words that are toxic by chance in the few documents they were marked in
+    x = np.empty((len(texts), 3))
+    for k in range(SCORER_FOLDS):
+        own = everyone[k::SCORER_FOLDS]
+        rest = np.setdiff1d(everyone, own)
+        other = _tagged_field(numbers, first, toxic, rest) if toxic[rest].any() else field
+        for low in range(0, len(own), 500):
+            part, part_first = _subset(numbers, first, own[low : low + 500])
+            x[own[low : low + 500]] = other.document_inputs(other.marginals(part, part_first), part_first)
+    weight = np.where(toxic, prior / toxic.mean(), (1 - prior) / (1 - toxic.mean()))
+    field.document = _logistic(x, toxic.astype(float), weight)
+    field.prior = prior
+    return field
+
+
+def _subset(numbers: np.ndarray, first: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers and first positions of the chosen texts alone."""
+    own = np.concatenate([np.arange(first[k], first[k + 1]) for k in chosen] or [np.zeros(0, np.int64)])
+    return numbers[own], np.concatenate([[0], np.cumsum(first[chosen + 1] - first[chosen])])
+
+
+def _surprise(inside: np.ndarray, all_: np.ndarray, share: float) -> np.ndarray:
+    """Minus the log of (a bound of) the chance that so many of a feature's documents are toxic.
+
+    Chernoff's bound of the binomial tail. Where it exceeds the log of the number of features,
+    less than one of them is expected to be marked by chance.
+    """
+    with np.errstate(divide="ignore", invalid="ignore"):
+        p = inside / all_
+        gain = np.nan_to_num(p * np.log(p / share)) + np.nan_to_num((1 - p) * np.log((1 - p) / (1 - share)))
+    return np.where(p > share, all_ * gain, 0.0)
+
+
+def _tagged_field(numbers: np.ndarray, first: np.ndarray, toxic: np.ndarray, chosen: np.ndarray) -> Field:
+    """A field trained on the chosen texts, whose toxic words are marked by their labels."""
+    toxic = toxic[chosen]
+    numbers, first = _subset(numbers, first, chosen)
     inside = _document_counts(numbers, first, toxic)
     outside = _document_counts(numbers, first, ~toxic)
     ratio = np.log((inside + 0.1) / (toxic.sum() + 1)) - np.log((outside + 0.1) / ((~toxic).sum() + 1))
     mark = (ratio >= MARK_LOG_RATIO) & (inside >= MARK_DOCUMENTS)
-    owner = np.repeat(np.arange(len(texts)), np.diff(first))
+    mark &= _surprise(inside, inside + outside, toxic.mean()) >= np.log(max(1, (inside + outside > 0).sum()))
+    owner = np.repeat(np.arange(len(chosen)), np.diff(first))
     tags = (mark[numbers].any(axis=1) & toxic[owner]).astype(np.float64)
-    field = _train(numbers, first, tags)
-    x = []
-    for low in range(0, len(texts), 500):
-        part = first[low : low + 501]
-        own = field.marginals(numbers[part[0] : part[-1]], part - part[0])
-        x.append(field.document_inputs(own, part - part[0]))
-    x = np.concatenate(x)
-    weight = np.where(toxic, prior / toxic.mean(), (1 - prior) / (1 - toxic.mean()))
-    field.document = _logistic(x, toxic.astype(float), weight)
-    field.prior = prior
-    return field
+    return _train(numbers, first, tags)
 
 
 def _train(numbers: np.ndarray, first: np.ndarray, tags: np.ndarray) -> Field:
