@@ -13,14 +13,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.shared import in_arrow, stored, text_of, unused
+from ebbtide.llm.shared import Temporary, in_arrow, stored, text_of, unused
 from ebbtide.llm.words import U64, chunks_of, mixed, shingle_hashes, word_hashes
 
 #: A shingle in more sets' windows than this goes to the end of the global order.
 COMMON = 48
+#: From more sets than this, three comparisons with centres a set are fewer than all pairs.
+CROWD = 7
 BITS = ("b0", "b1", "b2", "b3")
 SLOT_BITS = 24
 
@@ -171,7 +173,9 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, how: Similarity) -> DataFrame
     return found.groupBy("gid").agg(F.any_value("shingles").alias("shingles"))
 
 
-def with_prefixes(docs: DataFrame, sets: DataFrame, how: Similarity, common: int) -> DataFrame:
+def with_prefixes(
+    docs: DataFrame, sets: DataFrame, how: Similarity, common: int, own_tables: Temporary
+) -> DataFrame:
     """``sets`` with ``prefix``: the first shingles in the global order.
 
     The order is: shingles that few sets hold by hash, then common ones by hash. A shingle
@@ -182,14 +186,14 @@ def with_prefixes(docs: DataFrame, sets: DataFrame, how: Similarity, common: int
     """
     spread = sets.select("gid", F.explode("window").alias("key"))
     heavy = spread.groupBy("key").count().where(F.col("count") > common).select("key")
-    heavy = stored(heavy, "common")
+    heavy = own_tables.stored(heavy, "common")
     own = spread.join(heavy, "key", "left_semi").groupBy("gid").agg(F.collect_list("key").alias("_own"))
     length = how.prefix_of(F.col("n"))
     parts = sets.drop("map").join(own, "gid", "left").withColumn("_own", F.coalesce("_own", F.array().cast("array<long>")))
     light = F.array_except("window", "_own")
     enough = (F.size(light) >= length) | (F.size("window") >= F.col("n"))
     ordered = F.concat(light, F.array_intersect("window", "_own"))
-    parts = stored(
+    parts = own_tables.stored(
         parts.withColumn("prefix", F.when(enough, F.slice(ordered, 1, length))).drop("_own", "window"),
         "prefixes",
     )
@@ -209,7 +213,9 @@ def with_prefixes(docs: DataFrame, sets: DataFrame, how: Similarity, common: int
     return parts.where(F.col("prefix").isNotNull()).unionByName(whole.drop("_all"))
 
 
-def verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, how: Similarity, label: str) -> DataFrame:
+def verified(
+    docs: DataFrame, pairs: DataFrame, sets: DataFrame, how: Similarity, label: str, into: Temporary
+) -> DataFrame:
     """The pairs (a, b) of set ids that are similar, found on the whole sets.
 
     Maps of a bit for each two shingles first rule out nearly all other pairs, so that few
@@ -218,61 +224,71 @@ def verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, how: Similarity
     of_a = sets.select(F.col("gid").alias("a"), F.col("n").alias("_n"), F.col("map").alias("_map"))
     of_b = sets.select(F.col("gid").alias("b"), F.col("n").alias("_k"), F.col("map").alias("_pam"))
     close = how.maps_fit(F.col("_n"), F.col("_k"), F.col("_map"), F.col("_pam"))
-    pairs = stored(pairs.join(of_a, "a").join(of_b, "b").where(close).select("a", "b"), f"{label}_pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("gid")).distinct()
-    wanted = sets.select("gid", "doc_id").join(ends, "gid", "left_semi")
-    elements = stored(whole_sets(docs, wanted, how), f"{label}_sets")
-    left = elements.select(F.col("gid").alias("a"), F.col("shingles").alias("_x"))
-    right = elements.select(F.col("gid").alias("b"), F.col("shingles").alias("_y"))
-    n_a, n_b = F.size("_x").cast("long"), F.size("_y").cast("long")
-    shared = F.size(F.array_intersect("_x", "_y")).cast("long")
-    links = pairs.join(left, "a").join(right, "b").where(how.similar(n_a, n_b, shared))
-    return stored(links.select("a", "b"), f"{label}_links")
-
-
-def components(links: DataFrame) -> DataFrame:
+    with Temporary(docs.sparkSession) as own:
+        pairs = own.stored(pairs.join(of_a, "a").join(of_b, "b").where(close).select("a", "b"), f"{label}_pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("gid")).distinct()
+        wanted = sets.select("gid", "doc_id").join(ends, "gid", "left_semi")
+        elements = own.stored(whole_sets(docs, wanted, how), f"{label}_sets")
+        left = elements.select(F.col("gid").alias("a"), F.col("shingles").alias("_x"))
+        right = elements.select(F.col("gid").alias("b"), F.col("shingles").alias("_y"))
+        n_a, n_b = F.size("_x").cast("long"), F.size("_y").cast("long")
+        shared = F.size(F.array_intersect("_x", "_y")).cast("long")
+        links = pairs.join(left, "a").join(right, "b").where(how.similar(n_a, n_b, shared))
+        return into.stored(links.select("a", "b"), f"{label}_links")
+
+
+def components(links: DataFrame, into: Temporary) -> DataFrame:
     """gid and comp (the smallest gid it is connected with) of all ends of ``links``.
 
     Labels spread to neighbours and jump to their label's label; a round is written, so
-    that lineage stays short, and rounds end when nothing changes.
+    that lineage stays short, and rounds end when nothing changes. A round's tables go
+    once the next round is written.
     """
-    both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = both.groupBy("a").agg(F.min("b").alias("_m")).select(
-        F.col("a").alias("gid"), F.least("a", "_m").alias("comp")
-    )
-    labels, turn = stored(labels, "labels_0"), 0
-    while True:
-        turn += 1
-        near = (
-            both.join(labels.select(F.col("gid").alias("b"), "comp"), "b")
-            .groupBy("a")
-            .agg(F.min("comp").alias("_near"))
+    spark = links.sparkSession
+    with Temporary(spark) as own:
+        both = own.stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
+        labels = both.groupBy("a").agg(F.min("b").alias("_m")).select(
+            F.col("a").alias("gid"), F.least("a", "_m").alias("comp")
         )
-        closer = labels.join(near.withColumnRenamed("a", "gid"), "gid").select(
-            "gid", F.col("comp").alias("_old"), F.least("comp", "_near").alias("comp")
-        )
-        closer = stored(closer, f"closer_{turn}")
-        jump = closer.select(F.col("gid").alias("comp"), F.col("comp").alias("_next"))
-        jumped = closer.join(jump, "comp", "left").select(
-            "gid", "_old", F.least("comp", F.coalesce("_next", "comp")).alias("comp")
-        )
-        labels = stored(jumped, f"labels_{turn}")
-        if labels.where("comp <> _old").isEmpty():
-            return labels.select("gid", "comp")
+        last = Temporary(spark)
+        labels = last.stored(labels, "labels")
+        while True:
+            with last, Temporary(spark) as turn:
+                near = (
+                    both.join(labels.select(F.col("gid").alias("b"), "comp"), "b")
+                    .groupBy("a")
+                    .agg(F.min("comp").alias("_near"))
+                )
+                closer = labels.join(near.withColumnRenamed("a", "gid"), "gid").select(
+                    "gid", F.col("comp").alias("_old"), F.least("comp", "_near").alias("comp")
+                )
+                closer = turn.stored(closer, "closer")
+                jump = closer.select(F.col("gid").alias("comp"), F.col("comp").alias("_next"))
+                jumped = closer.join(jump, "comp", "left").select(
+                    "gid", "_old", F.least("comp", F.coalesce("_next", "comp")).alias("comp")
+                )
+                following = Temporary(spark)
+                labels = following.stored(jumped, "labels")
+            last = following
+            if labels.where("comp <> _old").isEmpty():
+                with last:
+                    return into.stored(labels.select("gid", "comp"), "components")
+            labels = labels.drop("_old")
 
 
 def _columns(prefix: str, names: tuple[str, ...]) -> list[Column]:
     return [F.col(n).alias(f"{prefix}{n}") for n in names]
 
 
-def _labelled(grouped: DataFrame, links: DataFrame, label: str) -> DataFrame:
+def _labelled(grouped: DataFrame, links: DataFrame, label: str, into: Temporary) -> DataFrame:
     """The sets with ``comp``, the smallest set they are connected with so far."""
-    return stored(
-        grouped.drop("prefix")
-        .join(components(links), "gid", "left")
-        .withColumn("comp", F.coalesce("comp", "gid")),
-        label,
-    )
+    with Temporary(links.sparkSession) as own:
+        return into.stored(
+            grouped.drop("prefix")
+            .join(components(links, own), "gid", "left")
+            .withColumn("comp", F.coalesce("comp", "gid")),
+            label,
+        )
 
 
 def _spans(labelled: DataFrame) -> DataFrame:
@@ -296,50 +312,36 @@ def _open_entries(entries: DataFrame, span: DataFrame) -> DataFrame:
     return entries.select("grp", "key").join(_key_spans(entries, span).select("key"), "key", "left_semi")
 
 
-def _crowds(entries: DataFrame, span: DataFrame, common: int) -> DataFrame:
-    """grp and key of open shingles of more than ``common`` sets, and of such groups.
+def _crowds(entries: DataFrame, span: DataFrame) -> DataFrame:
+    """grp, key and held of open shingles of more than CROWD sets, and of such groups.
 
     A group stands for itself by its own number, since its sets need not share a shingle
-    with another group.
+    with another group. ``held`` is the number of the group's crowded shingles.
     """
     inside = span.where("low <> high").select("grp", F.col("grp").alias("key"))
     all_entries = entries.select("grp", "key").unionByName(inside)
-    keys = _key_spans(all_entries, span).where(F.col("_sets") > common).select("key")
-    return all_entries.join(keys, "key", "left_semi")
+    keys = _key_spans(all_entries, span).where(F.col("_sets") > CROWD).select("key")
+    found = all_entries.join(keys, "key", "left_semi")
+    return found.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("grp")))
 
 
-def to_centres(
-    docs: DataFrame, crowd: DataFrame, sets: DataFrame, how: Similarity, common: int, fit
-) -> DataFrame:
+def to_centres(crowd: DataFrame, how: Similarity, fit) -> DataFrame:
     """Pairs (a, b) of each set of a crowded shingle and the most typical ones of its size.
 
     Copies that were each changed in their own place are often similar to what they were
-    copied from and not to each other. The source holds most shingles that many of the
-    crowd hold and fewest others, so the set with the most of the former less the latter
-    is the centre, for each shingle and band of sizes; a set meets the centres of its band
-    and of the two beside it. That costs three pairs an entry and joins such classes
-    before any pairs of a crowd are compared. What is similar to no centre is compared later.
+    copied from and not to each other. A change brings rare shingles, which stand first in
+    the global order and push the crowd's own out of the prefix. So the set with most
+    crowded shingles in its prefix is the centre, for each shingle and band of sizes; a
+    set meets the centres of its band and of the two beside it. That costs three pairs an
+    entry and joins such classes before any pairs of a crowd are compared. What is
+    similar to no centre is compared later.
     """
-    wanted = sets.select("gid", "doc_id").join(crowd.select("gid").distinct(), "gid", "left_semi")
-    spread = stored(whole_sets(docs, wanted, how), "crowd_sets").select(
-        "gid", F.explode("shingles").alias("shingle")
-    )
-    popular = spread.groupBy("shingle").count().where(F.col("count") > common).select("shingle")
-    held = (
-        spread.join(popular, "shingle", "left_semi").groupBy("gid").agg(F.count(F.lit(1)).alias("_held"))
-    )
     band = F.floor(F.log("n") / F.log(F.lit(how.bottom / how.top))).cast("int")
-    rows = stored(
-        crowd.join(held, "gid", "left")
-        .withColumn("_rank", 2 * F.coalesce("_held", F.lit(0)) - F.col("n"))
-        .withColumn("band", band)
-        .drop("_held"),
-        "ranked",
-    )
+    rows = crowd.withColumn("band", band)
     carried = ("gid", "n", "comp", *BITS)
     centres = (
         rows.groupBy("key", "band")
-        .agg(F.max(F.struct("_rank", *carried)).alias("_c"))
+        .agg(F.max(F.struct("held", F.negative("n"), *carried)).alias("_c"))
         .select("key", "band", *[F.col(f"_c.{x}").alias(f"c_{x}") for x in carried])
     )
     near = rows.withColumn("band", F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])))
@@ -351,7 +353,9 @@ def to_centres(
     )
 
 
-def join_sets(docs: DataFrame, sets: DataFrame, how: Similarity, common: int = COMMON) -> DataFrame:
+def join_sets(
+    docs: DataFrame, sets: DataFrame, how: Similarity, common: int, own: Temporary
+) -> DataFrame:
     """gid and comp for every set that is linked with another.
 
     First every set of a group is compared with the group's first set, and every group's
@@ -365,14 +369,14 @@ def join_sets(docs: DataFrame, sets: DataFrame, how: Similarity, common: int = C
     a shingle. No link between classes is lost.
     """
     carried = ("gid", "n", *BITS)
-    grouped = with_prefixes(docs, sets, how, common).withColumn(
+    grouped = with_prefixes(docs, sets, how, common, own).withColumn(
         "grp", F.xxhash64("n", F.to_json(F.struct("prefix")))
     )
-    grouped = stored(grouped, "grouped")
+    grouped = own.stored(grouped, "grouped")
     first = grouped.groupBy("grp").agg(
         F.min(F.struct("gid", "n", *BITS, "prefix")).alias("_f"), F.count(F.lit(1)).alias("members")
     )
-    groups = stored(first.select("grp", "members", "_f.*"), "groups")
+    groups = own.stored(first.select("grp", "members", "_f.*"), "groups")
     spread = groups.select("grp", "gid", F.explode("prefix").alias("key"))
     shared = (
         spread.groupBy("key")
@@ -381,7 +385,7 @@ def join_sets(docs: DataFrame, sets: DataFrame, how: Similarity, common: int = C
         .drop("_many")
     )
     # most shingles are in one group only and end here; sizes and bits join what is left
-    entries = stored(spread.drop("gid").join(shared, "key"), "entries")
+    entries = own.stored(spread.drop("gid").join(shared, "key"), "entries")
     facts = groups.select(*carried)
 
     def fit(x: str, y: str) -> Column:
@@ -405,17 +409,17 @@ def join_sets(docs: DataFrame, sets: DataFrame, how: Similarity, common: int = C
         .select(F.col("gid").alias("b"), F.col("c_gid").alias("a"))
     )
     pairs = to_centre.unionByName(inside).distinct()
-    links = verified(docs, pairs, sets, how, "first")
-    labelled = _labelled(grouped, links, "labelled")
+    links = verified(docs, pairs, sets, how, "first", own)
+    labelled = _labelled(grouped, links, "labelled", own)
     span = _spans(labelled)
-    crowd = _crowds(entries, span, common).join(labelled, "grp").select("key", "comp", *carried)
-    pairs = to_centres(docs, stored(crowd, "crowd"), sets, how, common, fit)
-    links = links.unionByName(verified(docs, pairs, sets, how, "second"))
-    labelled = _labelled(grouped, links, "labelled_again")
+    crowd = _crowds(entries, span).join(labelled, "grp").select("key", "held", "comp", *carried)
+    pairs = to_centres(own.stored(crowd, "crowd"), how, fit)
+    links = links.unionByName(verified(docs, pairs, sets, how, "second", own))
+    labelled = _labelled(grouped, links, "labelled_again", own)
     span = _spans(labelled)
 
     facts = groups.select("grp", "n", "members", *BITS).join(span.drop("members"), "grp")
-    sides = stored(_open_entries(entries, span).join(facts, "grp"), "sides")
+    sides = own.stored(_open_entries(entries, span).join(facts, "grp"), "sides")
     # a key's largest class is a single class already: its groups need not meet each other
     closed = F.col("low") == F.col("high")
     largest = (
@@ -449,12 +453,12 @@ def join_sets(docs: DataFrame, sets: DataFrame, how: Similarity, common: int = C
         .select(F.least("x_grp", "y_grp").alias("x_grp"), F.greatest("x_grp", "y_grp").alias("y_grp"))
         .distinct()
     )
-    own = span.where("low <> high").select(F.col("grp").alias("x_grp"), F.col("grp").alias("y_grp"))
+    itself = span.where("low <> high").select(F.col("grp").alias("x_grp"), F.col("grp").alias("y_grp"))
     members = labelled.select("grp", "comp", *carried)
     x = members.select(*_columns("x_", ("grp", "comp", *carried)))
     y = members.select(*_columns("y_", ("grp", "comp", *carried)))
     more = (
-        group_pairs.unionByName(own)
+        group_pairs.unionByName(itself)
         .join(x, "x_grp")
         .join(y, "y_grp")
         .where((F.col("x_comp") != F.col("y_comp")) & fit("x_", "y_"))
@@ -463,8 +467,8 @@ def join_sets(docs: DataFrame, sets: DataFrame, how: Similarity, common: int = C
         )
         .distinct()
     )
-    found = verified(docs, more, sets, how, "rest")
-    return components(links.unionByName(found))
+    found = verified(docs, more, sets, how, "rest", own)
+    return components(links.unionByName(found), own)
 
 
 def _classed(docs: DataFrame, how: Similarity, common: int) -> DataFrame:
@@ -472,25 +476,27 @@ def _classed(docs: DataFrame, how: Similarity, common: int) -> DataFrame:
 
     ``first_gid`` is the smallest set among those of the class with its smallest doc_id.
     """
-    rows = stored(sketches(docs, how), "sketches")
-    filled = rows.where("n > 0")
-    one = [F.first(c).alias(c) for c in ("n", "window", "map", *BITS)]
-    sets = stored(filled.groupBy("gid").agg(F.min("doc_id").alias("doc_id"), *one), "sets")
-    labels = join_sets(docs, sets, how, common)
-    placed = sets.select("gid", "doc_id").join(labels, "gid", "left").select(
-        "gid", F.coalesce("comp", "gid").alias("comp"), "doc_id"
-    )
-    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "gid")))
-    least = placed.groupBy("comp").agg(first.alias("_first"))
-    of_set = placed.join(least, "comp").select(
-        "gid", F.col("_first.doc_id").alias("component_id"), F.col("_first.gid").alias("first_gid")
-    )
-    facts = ("doc_id", "text_hash", "n", "gid")
-    linked = filled.select(*facts).join(of_set, "gid")
-    alone = rows.where("n = 0").select(
-        *facts, F.col("doc_id").alias("component_id"), F.col("gid").alias("first_gid")
-    )
-    return linked.unionByName(alone)
+    with Temporary(docs.sparkSession) as own:
+        rows = own.stored(sketches(docs, how), "sketches")
+        filled = rows.where("n > 0")
+        one = [F.first(c).alias(c) for c in ("n", "window", "map", *BITS)]
+        sets = own.stored(filled.groupBy("gid").agg(F.min("doc_id").alias("doc_id"), *one), "sets")
+        labels = join_sets(docs, sets, how, common, own)
+        placed = sets.select("gid", "doc_id").join(labels, "gid", "left").select(
+            "gid", F.coalesce("comp", "gid").alias("comp"), "doc_id"
+        )
+        first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "gid")))
+        least = placed.groupBy("comp").agg(first.alias("_first"))
+        of_set = placed.join(least, "comp").select(
+            "gid", F.col("_first.doc_id").alias("component_id"), F.col("_first.gid").alias("first_gid")
+        )
+        facts = ("doc_id", "text_hash", "n", "gid")
+        linked = filled.select(*facts).join(of_set, "gid")
+        alone = rows.where("n = 0").select(
+            *facts, F.col("doc_id").alias("component_id"), F.col("gid").alias("first_gid")
+        )
+        columns = (*facts, "component_id", "first_gid")
+        return stored(linked.select(*columns).unionByName(alone.select(*columns)), "classes")
 
 
 def near_duplicates(

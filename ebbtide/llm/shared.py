@@ -36,6 +36,32 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Temporary:
+    """Tables that are removed on leaving the ``with`` block, for results stored inside it.
+
+    Only folders made here, with names of their own, are removed, through Spark's own file
+    system of the shared folder.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folders: list[str] = []
+
+    def __enter__(self) -> Temporary:
+        return self
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        path = f"{shared_folder(self.spark)}/ebbtide-{uuid.uuid4().hex}"
+        self.folders.append(path)
+        df.write.parquet(f"{path}/{label}")
+        return self.spark.read.schema(df.schema).parquet(f"{path}/{label}")
+
+    def __exit__(self, *error) -> None:
+        for path in self.folders:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
