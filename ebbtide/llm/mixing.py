@@ -125,27 +125,29 @@ def mix(
         F.struct(*docs.columns).alias("_row"),
     )
     bucket = F.shiftright("_hash", HASH_BITS - BUCKET_BITS).cast("int")
-    measured = measured.withColumn("_bucket", bucket)
+    # never missing, so that joins and windows on it share one partitioning
+    key = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
+    measured = measured.withColumns({"_bucket": bucket, "_key": key})
     sizes = stored(measured.drop("_row"), label)
     up_to = Window.unboundedPreceding
-    sums = sizes.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
-    in_source = Window.partitionBy("source").orderBy("_bucket").rowsBetween(up_to, Window.currentRow)
+    sums = sizes.groupBy("source", "_key", "_bucket").agg(F.sum("size").alias("_sum"))
+    in_source = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(up_to, Window.currentRow)
     starts = sums.select(
         F.col("source").alias("_s"),
-        F.col("_bucket").alias("_b"),
+        "_key",
+        "_bucket",
         (F.sum("_sum").over(in_source) - F.col("_sum")).alias("_start"),
     )
     targets = source_targets(sizes, weights, most_repeats)
-    starts = starts.join(targets, F.col("_s").eqNullSafe(F.col("_source"))).drop("_source")
+    starts = starts.join(targets, F.col("_s").eqNullSafe(F.col("_source"))).drop("_source", "_s")
     in_bucket = (
-        Window.partitionBy("source", "_bucket")
+        Window.partitionBy("_key", "_bucket")
         .orderBy("_hash", "doc_id")
         .rowsBetween(up_to, Window.currentRow)
     )
     rows = measured if carry else sizes
-    placed = rows.withColumn("_before", F.sum("size").over(in_bucket) - F.col("size")).join(
-        starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b"))
-    )
+    placed = rows.withColumn("_before", F.sum("size").over(in_bucket) - F.col("size"))
+    placed = placed.join(starts, ["_key", "_bucket"])
     middle = F.col("_start") + F.col("_before") + F.col("size") / 2.0
     whole = F.greatest(F.col("source_size").cast("double"), F.lit(1.0))
     passes = F.when(F.col("size") == 0, F.lit(0)).otherwise(
@@ -189,6 +191,17 @@ def _in_order(mixed: DataFrame) -> DataFrame:
     )
 
 
+def in_training_order(docs: DataFrame, label: str = "sizes", **options) -> DataFrame:
+    """The rows of ``mix`` with ``first_position``, range-sorted by it.
+
+    Rows that the mix does not take have none and stand last.
+    """
+    mixed = mix(docs, label=label, **options).withColumn("first_position", F.get("positions", F.lit(0)))
+    by_position = F.col("first_position").asc_nulls_last()
+    spread = F.when(F.col("first_position").isNull(), F.col("_hash"))  # those rows are no hot key
+    return mixed.repartitionByRange(by_position, spread).sortWithinPartitions(by_position, "_hash")
+
+
 def training_positions(docs: DataFrame, label: str = "sizes", **options) -> DataFrame:
     """The passes in the order of training: doc_id, source, pass (from 1) and position (0 to 1).
 

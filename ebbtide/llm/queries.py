@@ -67,7 +67,9 @@ def all_queries() -> dict[str, Query]:
         "op8_context_tree_scoring": on_documents(context_tree.score_documents),
         "op9_toxicity": toxic_documents,
         "op10_curriculum_mixing": on_documents(
-            lambda docs: mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+            lambda docs: mixing.in_training_order(docs).select(
+                "doc_id", "size", "source_size", "target", "taken", "first_position"
+            )
         ),
         "op10_training_positions": on_documents(mixing.training_positions),
         "op11_hyperdimensional_language": on_documents(hyper_language.identify),
@@ -76,6 +78,7 @@ def all_queries() -> dict[str, Query]:
     }
 
 
+#: Sizes, sources and targets, on which the queries of the mix are built.
 MIXING_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS body FROM documents
@@ -98,16 +101,7 @@ WITH d AS (
   SELECT source, source_size,
     least((max(level) OVER ()) * weight, 3.0::DOUBLE * source_size) AS target
   FROM levels
-), placed AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target,
-    sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h, s.doc_id
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size + s.size / 2.0::DOUBLE AS middle
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 )
-SELECT doc_id, size, source_size, target,
-  CAST(CASE WHEN size = 0 THEN 0
-    ELSE size * least(3, greatest(0, ceil((target - middle) / source_size))) END AS BIGINT) AS taken
-FROM placed
 """
 
 
@@ -130,26 +124,47 @@ def _position_sql(share: str, schedule: Sequence[tuple[float, float]]) -> str:
     return f"CASE {' '.join(branches)} END"
 
 
-def training_positions_sql() -> str:
-    """Targets as in ``MIXING_SQL``, then each pass's share of the demand, inverted."""
-    targets = MIXING_SQL[: MIXING_SQL.index(", placed AS (")]
-    turns = " ".join(
-        f"WHEN {k} THEN {_position_sql('share', s)}" for k, s in enumerate(mixing.SCHEDULES)
-    )
-    return f"""{targets}, turns AS (
+def _placed_sql() -> str:
+    """MIXING_SQL with each document's place, and the position of a share by its source's schedule."""
+    return MIXING_SQL + """, turns AS (
   SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn FROM targets
 ), placed AS (
   SELECT s.doc_id, s.source, s.size, t.source_size, t.target, t.turn,
     sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h, s.doc_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size + s.size / 2.0::DOUBLE AS middle
   FROM sized s JOIN turns t ON s.source IS NOT DISTINCT FROM t.source
-), passes AS (
+)"""
+
+
+def _turns_sql() -> str:
+    branches = " ".join(
+        f"WHEN {k} THEN {_position_sql('share', s)}" for k, s in enumerate(mixing.SCHEDULES)
+    )
+    return f"CASE turn {branches} END"
+
+
+def mixing_sql() -> str:
+    return _placed_sql() + f""", counted AS (
+  SELECT *, middle / greatest(target, CAST('1e-9' AS DOUBLE)) AS share,
+    CAST(CASE WHEN size = 0 THEN 0
+      ELSE least(3, greatest(0, ceil((target - middle) / source_size))) END AS BIGINT) AS passes
+  FROM placed
+)
+SELECT doc_id, size, source_size, target, size * passes AS taken,
+  CASE WHEN passes > 0 THEN {_turns_sql()} END AS first_position
+FROM counted
+"""
+
+
+def training_positions_sql() -> str:
+    """Each pass's share of its source's demand, inverted."""
+    return _placed_sql() + f""", passes AS (
   SELECT *, (middle + k::DOUBLE * greatest(source_size::DOUBLE, 1::DOUBLE))
       / greatest(target, CAST('1e-9' AS DOUBLE)) AS share
   FROM placed, (SELECT unnest([0, 1, 2]) AS k)
   WHERE size > 0 AND k < ceil((target - middle) / source_size)
 )
-SELECT doc_id, source, CAST(k + 1 AS INTEGER) AS pass, CASE turn {turns} END AS position
+SELECT doc_id, source, CAST(k + 1 AS INTEGER) AS pass, {_turns_sql()} AS position
 FROM passes
 """
 
@@ -288,7 +303,7 @@ FROM coded JOIN kept USING (vec_id), digest
 def all_sql() -> dict[str, str]:
     return {
         "op6_hash_tree_sharding": sharding_sql(),
-        "op10_curriculum_mixing": MIXING_SQL,
+        "op10_curriculum_mixing": mixing_sql(),
         "op10_training_positions": training_positions_sql(),
         "op12_filter_audit": filter_audit_sql(),
         "op13_cover_tree_codes": vector_codes_sql(),

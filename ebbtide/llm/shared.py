@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for jobs that run inside the ``with`` block.
+
+    Texts are long, and a batch lies in memory on both sides of a Python worker's pipe.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(usual)) if int(usual) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, usual)
+
+
 class Temporary:
     """Tables that are removed on leaving the ``with`` block, for results stored inside it.
 
