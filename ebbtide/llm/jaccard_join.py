@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.shared import Temporary, in_arrow, small_batches, stored, text_of, unused
+from ebbtide.llm.shared import Temporary, eager_jobs, in_arrow, stored, text_of, unused
 from ebbtide.llm.words import U64, chunks_of, mixed, shingle_hashes, word_hashes
 
 #: A shingle in more sets' windows than this goes to the end of the global order.
@@ -476,7 +476,7 @@ def _classed(docs: DataFrame, how: Similarity, common: int) -> DataFrame:
 
     ``first_gid`` is the smallest set among those of the class with its smallest doc_id.
     """
-    with small_batches(docs.sparkSession), Temporary(docs.sparkSession) as own:
+    with eager_jobs(docs.sparkSession), Temporary(docs.sparkSession) as own:
         rows = own.stored(sketches(docs, how), "sketches")
         filled = rows.where("n > 0")
         one = [F.first(c).alias(c) for c in ("n", "window", "map", *BITS)]

@@ -39,18 +39,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
-    """Arrow batches of at most ``rows`` rows for jobs that run inside the ``with`` block.
+def eager_jobs(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Session settings for a chain of jobs that each write a table and run inside the block.
 
-    Texts are long, and a batch lies in memory on both sides of a Python worker's pipe.
+    Arrow batches get at most ``rows`` rows: texts are long, and a batch lies in memory on
+    both sides of a Python worker's pipe. Shuffle files go when their job is done, since
+    what follows reads the written table. The caller's settings come back at the end.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    usual = spark.conf.get(key)
-    spark.conf.set(key, str(min(rows, int(usual)) if int(usual) > 0 else rows))
+    usual = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    settings = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(min(rows, int(usual)) if int(usual) > 0 else rows),
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.set(key, usual)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 class Temporary:
