@@ -1,186 +1,233 @@
 """LM scoring by context-tree weighting over bytes, next to a plain word model.
 
 A byte is eight binary decisions. Each decision has a Krichevsky-Trofimov estimate in the
-context of the last 0, 1, 2 and 3 bytes, and context-tree weighting mixes all depths by
+context of the last 0 to ``depth`` bytes, and context-tree weighting mixes all depths by
 how well each coded the training texts. The result is a probability for every byte in
 every context, and so a code length for every text.
 
-Context bytes fall into 32 classes: each letter, white space, digits, signs and three
-classes of other bytes. So the tree has at most 32**3 contexts of 256 bytes, a fixed bound
-on what is collected and broadcast, whatever the corpus.
+The tree is a set of tables, one per depth, with a row per context and decision. A row's
+key holds the raw bytes of its context above eight bits for the decision, so a shorter
+context is a key without its highest byte. Weights are summed from the deepest table up and
+handed down again by joins on these keys, so the tree grows with the corpus and no process
+holds it. A parent has at most 256 children, so no key of these joins is hot.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.shared import crc_of_id, in_arrow, stored, text_of
+from ebbtide.llm.shared import Temporary, crc_of_id, eager_jobs, in_arrow, stored, text_of
 from ebbtide.llm.words import Texts, chunks_of, word_hashes
 
-DEPTH = 3
-CLASSES = 32
-KEYS = CLASSES**DEPTH * 256
+DEPTH = 5
+MAX_DEPTH = 6  # a context, its byte and one further bit must fit in a signed 64-bit key
+START = 32  # before a text's first byte stands a space
 
-CLASS_OF = np.full(256, 28, dtype=np.int32)  # signs and control bytes
-CLASS_OF[65:91] = CLASS_OF[97:123] = np.arange(26)
-CLASS_OF[[9, 10, 11, 12, 13, 32]] = 26
-CLASS_OF[48:58] = 27
-CLASS_OF[128:160] = 29
-CLASS_OF[160:192] = 30
-CLASS_OF[192:] = 31
-START = 26  # before a text's first byte stands white space
-
-#: The most frequent words whose counts are broadcast; all others are joined.
+#: The most frequent words and grams whose counts or logarithms are broadcast; all others are joined.
 HEAD_WORDS = 1 << 19
+HEAD_GRAMS = 1 << 20
 END_HASH = -1
 
+#: Different grams that a task gathers before it hands them on.
+GATHERED = 1 << 21
+
 
-def keys_of(texts: Texts) -> np.ndarray:
-    """For each byte: class three before, two before, one before, and the byte itself.
+def grams_of(texts: Texts, depth: int) -> np.ndarray:
+    """For each byte a key: the byte itself in the lowest eight bits, the ones before it above.
 
     The end of a text is coded as a byte 0 after its last byte.
     """
-    n, count = len(texts.data), len(texts)
-    data = np.zeros(n + count, np.uint8)
+    count = len(texts)
+    data = np.zeros(len(texts.data) + count, np.int64)
     shift = np.repeat(np.arange(count), np.diff(texts.offsets))
-    data[np.arange(n) + shift] = texts.data
-    classes = CLASS_OF[data]
+    data[np.arange(len(texts.data)) + shift] = texts.data
     begins = texts.offsets[:-1] + np.arange(count)
-    key = data.astype(np.int32)
-    for back in range(1, DEPTH + 1):
-        before = np.full(len(data), START, np.int32)
-        before[back:] = classes[:-back]
+    ends = np.append(begins[1:], len(data))
+    key = data.copy()
+    for back in range(1, depth + 1):
+        before = np.full(len(data), START, np.int64)
+        before[back:] = data[:-back]
         for k in range(back):
             at = begins + k
-            before[at[at < np.append(begins[1:], len(data))]] = START
-        key += before * (256 * CLASSES ** (back - 1))
+            before[at[at < ends]] = START
+        key |= before << (8 * back)
     return key
 
 
-def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Natural log of the Krichevsky-Trofimov probability of so many zeros and ones."""
-    return (
-        log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - np.log(np.pi)
-    )
+def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of counts per different key."""
+    found, where = np.unique(np.concatenate(keys), return_inverse=True)
+    return found, np.bincount(where, weights=np.concatenate(counts)).astype(np.int64)
 
 
-def log_gamma(x: np.ndarray) -> np.ndarray:
-    """Log of the gamma function for positive numbers, by Stirling's series from 8 up."""
-    x = np.asarray(x, dtype=np.float64).copy()
-    shift = np.zeros_like(x)
-    while (small := x < 8).any():
-        shift[small] -= np.log(x[small])
-        x[small] += 1
-    inverse = 1 / x
-    square = inverse * inverse
-    series = inverse * (1 / 12 - square * (1 / 360 - square * (1 / 1260 - square / 1680)))
-    return shift + (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + series
-
-
-def decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of zeros and ones at the 255 binary nodes (in heap order, node 0 unused)."""
-    ones, zeros = (np.zeros(counts.shape[:-1] + (256,)) for _ in range(2))
-    level = counts.astype(np.float64)
-    width = 256
-    while width > 1:
-        pair = level.reshape(*level.shape[:-1], width // 2, 2)
-        half = width // 2
-        zeros[..., half:width], ones[..., half:width] = pair[..., 0], pair[..., 1]
-        level = pair.sum(axis=-1)
-        width = half
-    return zeros, ones
-
-
-def _by_byte(one: np.ndarray) -> np.ndarray:
-    """Sum the log10 of the eight decisions of each byte."""
-    total = np.zeros(one.shape, np.float32)
-    values = np.arange(256)
-    for bit in range(8):
-        node = (1 << bit) | (values >> (8 - bit))
-        taken = (values >> (7 - bit)) & 1
-        p = one[..., node]
-        total += np.log10(np.where(taken == 1, p, 1 - p)).astype(np.float32)
-    return total
-
-
-def byte_table(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The dense table of log10 probabilities, worked out for each latest class in turn.
+def gram_counts(docs: DataFrame, learns: Column, depth: int) -> DataFrame:
+    """(gram, n, m): how often each byte in its context occurs where ``learns`` holds, and in all.
 
-    The weighted probability of a node is the mean of its own estimate and the product of
-    its children's; a node's share in the mixture is that of its estimate in this mean. So
-    the predictive probability of a decision is the mean over depths, each depth weighing
-    its node's share times what shallower nodes left over. The root's and the first level's
-    shares are taken from the whole first; memory stays at a few times one class's part.
-    """
-    whole = np.zeros(KEYS, np.float64)
-    whole[found] = counts
-    whole = whole.reshape(CLASSES, CLASSES, CLASSES, 256)  # third last, second last, last, byte
-    whole = whole.transpose(2, 1, 0, 3)
-    tops, root_children = [], []
-    for last in range(CLASSES):
-        part = whole[last]
-        leaf = log_kt(*decisions(part))
-        two = log_kt(*decisions(part.sum(axis=1)))
-        two_mixed = np.logaddexp(two, leaf.sum(axis=1)) - np.log(2)
-        one = log_kt(*decisions(part.sum(axis=(0, 1))))
-        one_mixed = np.logaddexp(one, two_mixed.sum(axis=0)) - np.log(2)
-        tops.append((np.exp(two - np.log(2) - two_mixed), np.exp(one - np.log(2) - one_mixed)))
-        root_children.append(one_mixed)
-    zeros, ones = decisions(whole.sum(axis=(0, 1, 2)))
-    root = log_kt(zeros, ones)
-    mixed_root = np.logaddexp(root, np.sum(root_children, axis=0)) - np.log(2)
-    root_share = np.exp(root - np.log(2) - mixed_root)
-    root_one = (ones + 0.5) / (zeros + ones + 1.0)
-    out = np.empty((CLASSES, CLASSES, CLASSES, 256), np.float32)
-    for last in range(CLASSES):
-        part = whole[last]
-        two_share, one_share = tops[last]
-        left = 1.0 - root_share
-        total = root_share * root_one
-        z, o = decisions(part.sum(axis=(0, 1)))
-        total = total + left * one_share * (o + 0.5) / (z + o + 1.0)
-        left = left * (1.0 - one_share)
-        z, o = decisions(part.sum(axis=1))
-        two_one = (o + 0.5) / (z + o + 1.0)
-        z, o = decisions(part)
-        deep = (o + 0.5) / (z + o + 1.0)
-        rest = two_share[:, None] * two_one[:, None] + (1.0 - two_share)[:, None] * deep
-        out[:, :, last] = _by_byte(np.clip(total + left * rest, 1e-12, 1 - 1e-12)).transpose(1, 0, 2)
-    return out.reshape(-1)
-
-
-def train(docs: DataFrame) -> np.ndarray:
-    """The byte table learnt from all texts of ``docs``; an empty table gives even odds.
-
-    Each task counts its bytes in their contexts, the counts are summed by a shuffle, and
-    the driver gets at most 32**3 * 256 sums (in practice the contexts that occur).
+    Grams of texts that are only scored are in the table with n = 0: their contexts are
+    nodes of the tree without counts. A task hands its sums on whenever it holds many.
     """
+    flag = 8 * (depth + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(KEYS, np.int64)
+        keys, counts, held = [], [], 0
         for batch in batches:
+            learning = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for texts in chunks_of(batch.column(0)):
-                keys, seen = np.unique(keys_of(texts), return_counts=True)
-                counts[keys] += seen
-        found = np.flatnonzero(counts)
+                marks = learning[texts.first : texts.first + len(texts)] << flag
+                grams = grams_of(texts, depth) | np.repeat(marks, np.diff(texts.offsets) + 1)
+                found, seen = np.unique(grams, return_counts=True)
+                keys.append(found)
+                counts.append(seen)
+                held += len(found)
+                if held > 2 * GATHERED:
+                    found, seen = merged(keys, counts)
+                    keys, counts, held = [found], [seen], len(found)
+                    if held > GATHERED:
+                        yield from out(found, seen)
+                        keys, counts, held = [], [], 0
+        if keys:
+            yield from out(*merged(keys, counts))
+
+    def out(found: np.ndarray, seen: np.ndarray) -> Iterator[pa.RecordBatch]:
         for low in range(0, len(found), 100_000):
-            part = found[low : low + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int64()), pa.array(counts[part], pa.int64())], names=["key", "n"]
-            )
+            part = [pa.array(a[low : low + 100_000], pa.int64()) for a in (found, seen)]
+            yield pa.RecordBatch.from_arrays(part, names=["key", "seen"])
+
+    rows = docs.select(text_of().alias("text"), learns.alias("learns"))
+    return (
+        in_arrow(rows, run, "key long, seen long")
+        .groupBy(F.col("key").bitwiseAND(F.lit((1 << flag) - 1)).alias("gram"))
+        .agg(
+            F.sum(F.when(F.shiftright("key", flag) == 1, F.col("seen")).otherwise(0)).alias("n"),
+            F.sum("seen").alias("m"),
+        )
+    )
+
+
+def log_gamma(x: Column) -> Column:
+    """Log of the gamma function for positive numbers, by Stirling's series eight places up."""
+    y = x + 8.0
+    square = 1.0 / (y * y)
+    series = (1 / 12 - square * (1 / 360 - square * (1 / 1260 - square / 1680))) / y
+    product = x
+    for step in range(1, 8):
+        product = product * (x + float(step))
+    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - F.log(product)
+
+
+def log_kt() -> Column:
+    """Natural log of the Krichevsky-Trofimov probability of a row's zeros and ones."""
+    zeros, ones = F.col("zeros").cast("double"), F.col("ones").cast("double")
+    return (
+        log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - math.log(math.pi)
+    )
+
+
+def odds() -> Column:
+    """The estimate that a row's next decision is a one."""
+    return (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)
+
+
+def decisions(grams: DataFrame, *kept: str) -> DataFrame:
+    """The eight decisions of each gram: ``key`` of its node, the bit ``taken``, and ``kept``."""
+    bits = grams.select(
+        "gram",
+        F.col("gram").bitwiseAND(F.lit(255)).alias("byte"),
+        F.explode(F.sequence(F.lit(0), F.lit(7))).alias("bit"),
+        *kept,
+    )
+    return bits.select(
+        "gram",
+        F.expr("gram - byte + shiftleft(1L, bit) + shiftright(byte, 8 - bit)").alias("key"),
+        F.expr("shiftright(byte, 7 - bit) & 1").alias("taken"),
+        *kept,
+    )
 
-    sums = (
-        in_arrow(docs.select(text_of().alias("text")), run, "key long, n long")
+
+def prefix(depth: int) -> Column:
+    """The key of the same decision in the context's last ``depth`` bytes."""
+    return F.col("key").bitwiseAND(F.lit((1 << (8 * (depth + 1))) - 1))
+
+
+def code_lengths(grams: DataFrame, depth: int, temporary: Temporary) -> DataFrame:
+    """(gram, log10_p, m): the log10 probability of each gram's byte in its context.
+
+    The weighted probability of a node is the mean of its own estimate and the product of
+    its children's; a node's share in the mixture is that of its estimate in this mean. So
+    the predictive probability of a decision is the mean over depths, each depth weighing
+    its node's share times what shallower nodes left over.
+    """
+    level = (
+        decisions(grams, "n")
         .groupBy("key")
-        .agg(F.sum("n").alias("n"))
-        .toArrow()
+        .agg(
+            F.sum(F.when(F.col("taken") == 0, F.col("n")).otherwise(0)).alias("zeros"),
+            F.sum(F.when(F.col("taken") == 1, F.col("n")).otherwise(0)).alias("ones"),
+        )
+        .select("key", "zeros", "ones", log_kt().alias("mixed"))
+    )
+    levels = [temporary.stored(level, f"depth_{depth}")]
+    half = math.log(2)
+    for d in range(depth - 1, -1, -1):
+        sums = levels[0].groupBy(prefix(d).alias("key")).agg(
+            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("mixed").alias("below")
+        )
+        high, low = F.greatest("own", "below"), F.least("own", "below")
+        level = (
+            sums.withColumn("own", log_kt())
+            .withColumn("mixed", high + F.log1p(F.exp(low - high)) - half)
+            .select("key", odds().alias("one"), "zeros", "ones", "mixed", F.exp(F.col("own") - half - F.col("mixed")).alias("share"))
+        )
+        levels.insert(0, temporary.stored(level, f"depth_{d}"))
+    found = levels[0].select(
+        "key", (F.col("share") * F.col("one")).alias("sum_so_far"), (1.0 - F.col("share")).alias("left")
     )
-    return byte_table(sums["key"].to_numpy(), sums["n"].to_numpy())
+    for d in range(1, depth + 1):
+        above = found.withColumnRenamed("key", "parent")
+        met = levels[d].withColumn("parent", prefix(d - 1)).join(above, "parent")
+        if d < depth:
+            found = met.select(
+                "key",
+                (F.col("sum_so_far") + F.col("left") * F.col("share") * F.col("one")).alias("sum_so_far"),
+                (F.col("left") * (1.0 - F.col("share"))).alias("left"),
+            )
+        else:
+            found = met.select("key", (F.col("sum_so_far") + F.col("left") * odds()).alias("one"))
+    one = F.least(F.greatest(F.col("one"), F.lit(1e-12)), F.lit(1 - 1e-12))
+    return (
+        decisions(grams, "m")
+        .join(found, "key")
+        .groupBy("gram")
+        .agg(F.sum(F.log10(F.when(F.col("taken") == 1, one).otherwise(1.0 - one))).alias("log10_p"), F.max("m").alias("m"))
+    )
+
+
+def most_frequent(lengths: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted grams and log10 probabilities of at most ``limit`` grams, the most frequent ones.
+
+    Frequencies are cut by sixteenths of powers of two: at most 1,024 sums come to the
+    driver, and then whole classes of frequency up to the limit.
+    """
+    grade = F.floor(F.log2(F.col("m")) * 16).cast("long")
+    sizes = {r["grade"]: r["n"] for r in lengths.groupBy(grade.alias("grade")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    lowest, held = None, 0
+    for each in sorted(sizes, reverse=True):
+        held += sizes[each]
+        if held > limit:
+            break
+        lowest = each
+    if lowest is None:
+        return np.zeros(0, np.int64), np.zeros(0)
+    head = lengths.where(grade >= F.lit(lowest)).select("gram", "log10_p").toArrow()
+    grams = head["gram"].to_numpy()
+    order = np.argsort(grams)
+    return grams[order], head["log10_p"].to_numpy()[order]
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -200,13 +247,24 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
 
 
+def looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The value of each wanted key among sorted ``keys`` (0 where absent), and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(wanted)), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    hit = keys[at] == wanted
+    return np.where(hit, values[at], 0.0), hit
+
+
 SCHEMA = (
     "row long, doc_id long, held_out boolean, n_tokens long, n_known long, "
-    "log_sum double, score double, n_bytes long, rest array<long>"
+    "log_sum double, score double, n_bytes long, rest array<long>, grams array<long>"
 )
 
 
-def score_documents(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
+def score_documents(
+    docs: DataFrame, head_words: int = HEAD_WORDS, depth: int = DEPTH, head_grams: int = HEAD_GRAMS
+) -> DataFrame:
     """One row per row of ``docs``: the word model's and the context tree's log10 probability.
 
     Learns from the rows whose crc32(doc_id) mod 7 is not 2 (a missing doc_id counts as
@@ -217,22 +275,30 @@ def score_documents(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
 
     Word counts cover all training texts. Those of the ``head_words`` most frequent words
     are broadcast (a fixed bound); a text's other words leave the scan as hashes and meet
-    their counts in a join, so no word is cut off and no vocabulary must fit in memory.
+    their counts in a join, so no word is cut off and no vocabulary must fit in memory. So do
+    bytes in their contexts beyond the ``head_grams`` most frequent ones. ``depth`` (at most
+    6) is the number of bytes a context reaches back.
     """
-    context = docs.sparkSession.sparkContext
-    learning = docs.where(F.pmod(crc_of_id(), F.lit(7)) != 2)
-    table = train(learning)
-    counts = stored(word_counts(learning), "word_counts")
+    if not 0 <= depth <= MAX_DEPTH:
+        raise ValueError(f"depth must be from 0 to {MAX_DEPTH}, not {depth}")
+    spark = docs.sparkSession
+    context = spark.sparkContext
+    learns = F.pmod(crc_of_id(), F.lit(7)) != 2
+    with eager_jobs(spark), Temporary(spark) as temporary:
+        grams = temporary.stored(gram_counts(docs, learns, depth), "gram_counts")
+        lengths = stored(code_lengths(grams, depth, temporary), "code_lengths")
+        counts = stored(word_counts(docs.where(learns)), "word_counts")
+    head_gram, head_log = most_frequent(lengths, head_grams)
     sums = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = sums["n"] or 0, sums["v"]
     head = counts.orderBy(F.col("n").desc(), "word").limit(head_words).toArrow()
     order = np.argsort(head["word"].to_numpy())
     head_hash, head_count = head["word"].to_numpy()[order], head["n"].to_numpy()[order]
-    shared = context.broadcast((table, head_hash, head_count))
+    shared = context.broadcast((head_hash, head_count, head_gram, head_log))
     divisor = float(np.log10(total + distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, head_hash, head_count = shared.value
+        head_hash, head_count, head_gram, head_log = shared.value
         known = int(head_count[head_hash == END_HASH].sum())
         for batch in batches:
             for texts in chunks_of(batch.column(3)):
@@ -254,7 +320,16 @@ def score_documents(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
                 )
                 lengths = np.diff(texts.offsets) + 1
                 begins = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-                score = np.add.reduceat(table[keys_of(texts)].astype(np.float64), begins)
+                keys = grams_of(texts, depth)
+                found, where = np.unique(keys, return_inverse=True)
+                value, listed = looked_up(head_gram, head_log, found)
+                score = np.add.reduceat(value[where], begins)
+                unlisted = ~listed[where]
+                before = np.concatenate([[0], np.cumsum(unlisted)])
+                more = pa.ListArray.from_arrays(
+                    pa.array(before[np.append(begins, len(keys))], pa.int32()),
+                    pa.array(keys[unlisted], pa.int64()),
+                )
                 part = batch.slice(texts.first, count)
                 columns = [part.column(0), part.column(1), part.column(2)]
                 columns += [
@@ -264,6 +339,7 @@ def score_documents(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
                     pa.array(score),
                     pa.array(lengths, pa.int64()),
                     rest,
+                    more,
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in SCHEMA.split(", ")])
 
@@ -285,7 +361,16 @@ def score_documents(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
             F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_sum"),
         )
     )
-    return scored.join(rare, "row", "left").select(
+    rare_grams = (
+        scored.select("row", F.explode("grams").alias("gram"))
+        .groupBy("row", "gram")
+        .agg(F.count(F.lit(1)).alias("times"))
+        .join(lengths, "gram")
+        .groupBy("row")
+        .agg(F.sum(F.col("times") * F.col("log10_p")).alias("more_score"))
+    )
+    score = F.col("score") + F.coalesce("more_score", F.lit(0.0))
+    return scored.join(rare, "row", "left").join(rare_grams, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
@@ -294,6 +379,6 @@ def score_documents(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
         (
             F.col("log_sum") + F.coalesce("more_sum", F.lit(0.0)) - F.col("n_tokens") * F.lit(divisor)
         ).alias("base_score"),
-        "score",
-        (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"),
+        score.alias("score"),
+        (-score / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"),
     )

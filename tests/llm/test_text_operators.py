@@ -408,7 +408,6 @@ def test_planted_passages(spark, sf01, documents, texts):
 
 def brute_tree(training, text, depth):
     """Context-tree weighting node by node, by the recursion over children."""
-    classes = context_tree.CLASS_OF
     counts = collections.defaultdict(lambda: [0, 0])
 
     def steps(body):
@@ -417,7 +416,7 @@ def brute_tree(training, text, depth):
         for byte in data:
             for bit in range(8):
                 yield tuple(past), (bit, byte >> (8 - bit)), (byte >> (7 - bit)) & 1
-            past = [int(classes[byte]), *past][:depth]
+            past = [byte, *past][:depth]
 
     for body in training:
         for past, node, bit in steps(body):
@@ -468,22 +467,36 @@ def test_tree_and_words_equal_brute_force(spark):
     training = [t for i, t in rows if not held(i)]
     counts = collections.Counter(w for t in training for w in [*words_of(t), None])
     total = sum(counts.values())
-    for head in (2, 1 << 10):
-        got = context_tree.score_documents(df, head).collect()
+    for head, depth, grams in ((2, 5, 1 << 20), (1 << 10, 2, 60), (9, 6, 0)):
+        got = context_tree.score_documents(df, head, depth, grams).collect()
         by_row = {(r.doc_id, r.n_tokens, round(r.score, 3)): r for r in got}
         assert len(got) == len(rows)
         for i, t in rows[-12:]:
             tokens = [*words_of(t), None]
-            score = brute_tree([(x or "").encode() for x in training], (t or "").encode(), 3)
+            score = brute_tree([(x or "").encode() for x in training], (t or "").encode(), depth)
             r = by_row[(i, len(tokens), round(score, 3))]
             base = sum(math.log10((counts[w] + 1) / (total + len(counts) + 1)) for w in tokens)
             assert (r.held_out, r.n_known, r.train_tokens) == (held(i), sum(counts[w] > 0 for w in tokens), total)
             assert r.base_score == pytest.approx(base)
 
 
-def test_log_gamma():
-    x = np.array([0.5, 1.0, 3.5, 8.0, 1234.5])
-    assert context_tree.log_gamma(x) == pytest.approx([math.lgamma(v) for v in x], abs=1e-9)
+def test_log_gamma(spark):
+    x = [0.5, 1.0, 3.5, 8.0, 1234.5, 1e9]
+    rows = spark.createDataFrame([(v,) for v in x], "x double").select("x", context_tree.log_gamma(F.col("x")).alias("y"))
+    assert all(r.y == pytest.approx(math.lgamma(r.x), rel=1e-12, abs=1e-9) for r in rows.collect())
+
+
+def test_tree_grows_with_the_texts(spark):
+    """Text of other scripts, digits and signs gives nodes of its own, without a ceiling."""
+    rng = random.Random(4)
+    rows = [(i, "".join(chr(rng.randrange(33, 0x2FF)) for _ in range(400))) for i in range(64)]
+    sizes = []
+    for part in (16, 64):
+        df = spark.createDataFrame(rows[:part], "doc_id long, text string")
+        found = context_tree.gram_counts(df, F.lit(True), 5).agg(F.count("*").alias("n"), F.sum("n").alias("m")).first()
+        assert found.m == sum(len(t.encode()) + 1 for _, t in rows[:part])
+        sizes.append(found.n)
+    assert sizes[1] > 3.9 * sizes[0]
 
 
 def test_training_lowers_the_code_length(documents):
