@@ -134,20 +134,9 @@ def odds() -> Column:
     return (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)
 
 
-def decisions(grams: DataFrame, *kept: str) -> DataFrame:
-    """The eight decisions of each gram: ``key`` of its node, the bit ``taken``, and ``kept``."""
-    bits = grams.select(
-        "gram",
-        F.col("gram").bitwiseAND(F.lit(255)).alias("byte"),
-        F.explode(F.sequence(F.lit(0), F.lit(7))).alias("bit"),
-        *kept,
-    )
-    return bits.select(
-        "gram",
-        F.expr("gram - byte + shiftleft(1L, bit) + shiftright(byte, 8 - bit)").alias("key"),
-        F.expr("shiftright(byte, 7 - bit) & 1").alias("taken"),
-        *kept,
-    )
+def decision(byte: Column, bit: int) -> tuple[Column, Column]:
+    """The node of a byte's ``bit``-th decision (in heap order) and the bit taken there."""
+    return F.shiftright(byte, 8 - bit) + F.lit(1 << bit), F.shiftright(byte, 7 - bit).bitwiseAND(F.lit(1))
 
 
 def prefix(depth: int) -> Column:
@@ -163,14 +152,18 @@ def code_lengths(grams: DataFrame, depth: int, temporary: Temporary) -> DataFram
     the predictive probability of a decision is the mean over depths, each depth weighing
     its node's share times what shallower nodes left over.
     """
+    byte = F.col("gram").bitwiseAND(F.lit(255)).cast("int")
+    by_context = grams.withColumn("context", F.shiftright("gram", 8)).repartition("context")
+    # a context has at most 256 bytes; its decisions are summed where its grams lie, without a shuffle
+    steps = F.array(*[F.struct(node.alias("node"), taken.alias("taken")) for node, taken in (decision(byte, bit) for bit in range(8))])
     level = (
-        decisions(grams, "n")
-        .groupBy("key")
+        by_context.select("context", "n", F.explode(steps).alias("step"))
+        .groupBy("context", F.col("step.node").alias("node"))
         .agg(
-            F.sum(F.when(F.col("taken") == 0, F.col("n")).otherwise(0)).alias("zeros"),
-            F.sum(F.when(F.col("taken") == 1, F.col("n")).otherwise(0)).alias("ones"),
+            F.sum(F.when(F.col("step.taken") == 0, F.col("n")).otherwise(0)).alias("zeros"),
+            F.sum(F.when(F.col("step.taken") == 1, F.col("n")).otherwise(0)).alias("ones"),
         )
-        .select("key", "zeros", "ones", log_kt().alias("mixed"))
+        .select((F.shiftleft("context", 8) + F.col("node")).alias("key"), "zeros", "ones", log_kt().alias("mixed"))
     )
     levels = [temporary.stored(level, f"depth_{depth}")]
     half = math.log(2)
@@ -199,14 +192,19 @@ def code_lengths(grams: DataFrame, depth: int, temporary: Temporary) -> DataFram
             )
         else:
             found = met.select("key", (F.col("sum_so_far") + F.col("left") * odds()).alias("one"))
-    one = F.least(F.greatest(F.col("one"), F.lit(1e-12)), F.lit(1 - 1e-12))
-    return (
-        decisions(grams, "m")
-        .join(found, "key")
-        .groupBy("gram")
-        .agg(F.sum(F.log10(F.when(F.col("taken") == 1, one).otherwise(1.0 - one))).alias("log10_p"), F.max("m").alias("m"))
+    node = F.col("key").bitwiseAND(F.lit(255)).cast("int")
+    per_context = found.groupBy(F.shiftright("key", 8).alias("context")).agg(
+        F.map_from_entries(F.collect_list(F.struct(node.alias("node"), "one"))).alias("odds")
     )
 
+    def log_taken(bit: int) -> Column:
+        at, taken = decision(byte, bit)
+        one = F.least(F.greatest(F.element_at("odds", at), F.lit(1e-12)), F.lit(1 - 1e-12))
+        return F.log10(F.when(taken == 1, one).otherwise(1.0 - one))
+
+    log10_p = sum((log_taken(bit) for bit in range(1, 8)), log_taken(0))
+    return by_context.join(per_context, "context").select("gram", log10_p.alias("log10_p"), "m")
+
 
 def most_frequent(lengths: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted grams and log10 probabilities of at most ``limit`` grams, the most frequent ones.
