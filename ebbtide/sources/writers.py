@@ -43,6 +43,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that the library itself has made, on whichever file system it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header, overwriting; files follow the order of a sorted frame."""
     df.write.mode("overwrite").option("header", True).csv(path)
