@@ -711,12 +711,14 @@ def _fitted_sql() -> dict[str, str]:
     """What must hold of each row behind a fitted model."""
     names = VECTOR_INPUTS + [f"{c}_missing" for c in INDICATORS]
     listed = ", ".join(f"('{n}')" for n in names)
+    scores = statement(
+        f"select {ID}, cast(is_churned as int) as is_churned, true as valid, true as consistent "
+        "from placed where h <= cut_0",
+        _hash_ctes(42, [0.2]),
+    )
     return {
-        "m06_test_scores_checked": statement(
-            f"select {ID}, cast(is_churned as int) as is_churned, true as valid, true as consistent "
-            "from placed where h <= cut_0",
-            _hash_ctes(42, [0.2]),
-        ),
+        "m05_second_order_scores_checked": scores,
+        "m06_test_scores_checked": scores,
         "m12_feature_importances_checked": (
             "select feature, true as valid, 1.0::double as total "
             f"from (values {listed}) as inputs(feature)"

@@ -19,7 +19,7 @@ from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.ml.model import fit_encoders
@@ -78,7 +78,7 @@ class BoostedTrees(NamedTuple):
 # --- bins ---
 
 
-def _number(name: str):
+def _number(name: str) -> Column:
     """A feature as a double; NULL and NaN are both missing."""
     return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
 
@@ -116,7 +116,7 @@ def add_bins(df: DataFrame, features: Sequence[str], cuts: Sequence[Sequence[flo
             handleInvalid="keep",
         ).transform(placed)
 
-    def bin_of(i: int):
+    def bin_of(i: int) -> Column:
         place = F.col(f"_b{i}").cast("int") + 1 if cuts[i] else F.lit(1)
         return F.when(F.isnan(f"_v{i}"), 0).otherwise(place)
 
@@ -147,6 +147,11 @@ def _margin(trees: Sequence[Tree], start: str = "0D") -> str:
     return " + ".join([start, *[_weight(t) for t in trees]])
 
 
+def probability(trees: Sequence[Tree]) -> Column:
+    """The probability of class 1, from ``bins``."""
+    return 1 / (1 + F.exp(-F.expr(_margin(trees))))
+
+
 # --- growing ---
 
 
@@ -187,26 +192,27 @@ def _level(rows: DataFrame, growing: dict[int, tuple[Settings, int, Tree, set[in
     sums = unfolded.groupBy("model", "node", "feature", "bin").agg(
         F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("c")
     )
-    # a window holds one feature of one node: at most BINS + 1 rows
-    by_bin = Window.partitionBy("model", "node", "feature").orderBy("bin").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    all_bins = Window.partitionBy("model", "node", "feature")
-    present = {n: F.when(F.col("bin") > 0, F.col(n)).otherwise(0) for n in ("g", "h", "c")}
-    missing = {n: F.when(F.col("bin") == 0, F.col(n)).otherwise(0) for n in ("g", "h", "c")}
+    # a window holds one feature of one node: at most BINS + 1 rows; bin 0 comes first, so
+    # running sums hold the missing values already, and one sort serves sums and totals
+    by_bin = Window.partitionBy("model", "node", "feature").orderBy("bin")
+    upto = by_bin.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole_node = by_bin.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     cumulated = sums.select(
         "model",
         "node",
         "feature",
         "bin",
-        *[F.sum(present[n]).over(by_bin).alias(f"{n}_upto") for n in present],
-        *[F.sum(missing[n]).over(all_bins).alias(f"{n}_missing") for n in missing],
-        *[F.sum(n).over(all_bins).alias(f"{n}_all") for n in present],
+        *[F.sum(n).over(upto).alias(f"{n}_upto") for n in ("g", "h", "c")],
+        *[
+            F.sum(F.when(F.col("bin") == 0, F.col(n)).otherwise(0)).over(upto).alias(f"{n}_missing")
+            for n in ("g", "h", "c")
+        ],
+        *[F.sum(n).over(whole_node).alias(f"{n}_all") for n in ("g", "h", "c")],
     )
     sides = cumulated.withColumn("missing_left", F.explode(F.array(F.lit(True), F.lit(False)))).select(
         "*",
         *[
-            F.expr(f"{n}_upto + IF(missing_left, {n}_missing, 0)").alias(f"{n}_left")
+            F.expr(f"{n}_upto - IF(missing_left, 0, {n}_missing)").alias(f"{n}_left")
             for n in ("g", "h", "c")
         ],
     )
@@ -358,9 +364,8 @@ def score(model: BoostedTrees, features: DataFrame) -> DataFrame:
     """Customer, label (where present), predicted class and probability of class 1."""
     keep = [CUSTOMER] + ([LABEL] if LABEL in features.columns else [])
     frame = features if model.encoders is None else encoded(features, model.encoders)
-    margin = F.expr(_margin(model.trees))
-    placed = add_bins(frame, model.features, model.cuts).select(*keep, margin.alias("_margin"))
-    scored = placed.select(*keep, (1 / (1 + F.exp(-F.col("_margin")))).alias(SCORE))
+    placed = add_bins(frame, model.features, model.cuts)
+    scored = placed.select(*keep, probability(model.trees).alias(SCORE))
     return scored.select(*keep, (F.col(SCORE) > 0.5).cast("int").alias("prediction"), SCORE)
 
 

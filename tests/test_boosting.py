@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.ml import boosting, metrics, split
+from ebbtide.ml import boosting, metrics, search, split
 from ebbtide.ml.boosting import ALL_ROWS, SCALE, Settings, Split
 from test_learning import ID, planted
 
@@ -185,3 +185,29 @@ def test_wide_frame(spark):
     assert sum(r.gain for r in gains) == pytest.approx(1.0)
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_staged_search_equals_fits_of_their_own(spark):
+    train = planted(spark, 400).persist()
+    grid = {"trees": (1, 2), "depth": (2,), "min_child_rows": (2,)}
+    found = search.staged_search(train, grid, n=2, folds=2, together=4)
+    table = {r.candidate: r for r in found.candidates.collect()}
+    assert len(table) == 2
+    from ebbtide.ml.model import fit_encoders
+
+    frame = split.add_folds(boosting.encoded(train, fit_encoders(train)), 2)
+    cuts = boosting.bin_cuts(frame, boosting.FEATURES)
+    binned = boosting.training_rows(frame, boosting.FEATURES, cuts).persist()
+    for number, candidate in enumerate(search.sample_candidates(grid, 2)):
+        settings = search.settings_of(candidate)
+        assert settings.min_child_weight == 2
+        grown = boosting.grow_models(binned, [(settings, fold) for fold in range(2)])
+        own = []
+        for fold, trees in enumerate(grown):
+            fitted = boosting.BoostedTrees(tuple(boosting.FEATURES), cuts, trees)
+            held_out = frame.where(F.col("fold") == fold)
+            own.append(metrics.roc_auc(boosting.score(fitted, held_out)).first()[0])
+        assert table[number].mean_auc == pytest.approx(sum(own) / 2, abs=1e-9)
+    best = max(table.values(), key=lambda r: (r.mean_auc, -r.candidate))
+    assert len(found.best.trees) == best.trees
+    assert found.candidates.first().candidate == best.candidate
