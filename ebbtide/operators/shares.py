@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions import percent
@@ -68,9 +68,57 @@ def percent_with_any(column: str, digits: int = 2) -> Column:
     return F.round(F.avg(F.when(F.col(column) > 0, 1).otherwise(0)) * 100, digits)
 
 
-def approx_median(column: str) -> Column:
-    """Lower median; exact up to the sketch's size, mergeable beyond it."""
-    return F.percentile_approx(column, 0.5)
+def with_medians(
+    report: DataFrame, df: DataFrame, group: str, columns: Sequence[str], accuracy: int = 10_000
+) -> DataFrame:
+    """Add ``median_<c>`` of each column of ``df`` to a report of one row per ``group``.
+
+    The lower median of the values present (NULL where there are none), exact and the same
+    on every run. A sketch only proposes a bracket of ranks around the middle, four of its
+    own errors wide to either side; values in the bracket are counted exactly, the smaller
+    ones as one number, and only the bracket's values are ordered. A bracket that missed the
+    middle would stop the job. ``df`` is read twice: pass one that is already written.
+
+    The broadcast frame has one row per group and column, so ``group`` must have few values.
+    """
+    numbers = F.array(*[F.col(c).cast("double") for c in columns])
+    values = df.select(F.col(group).alias("_group"), F.posexplode(numbers).alias("_column", "_value"))
+    values = values.where(F.col("_value").isNotNull())
+    margin = 4 / accuracy
+    ends = F.percentile_approx("_value", [0.5 - margin, 0.5 + margin], accuracy)
+    brackets = values.groupBy("_group", "_column").agg(
+        F.ceil(F.count(F.lit(1)) / 2).alias("_target"), ends.alias("_ends")
+    )
+    same = F.col("_group").eqNullSafe(F.col("_its_group")) & (F.col("_column") == F.col("_its_column"))
+    near = brackets.withColumnsRenamed({"_group": "_its_group", "_column": "_its_column"})
+    # the smaller values are one row, whose value is NULL
+    inside = F.when(F.col("_value") >= F.col("_ends")[0], F.col("_value"))
+    counted = (
+        values.join(F.broadcast(near), same)
+        .where(F.col("_value") <= F.col("_ends")[1])
+        .groupBy("_group", "_column", "_target", inside.alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    upto = Window.partitionBy("_group", "_column", "_target").orderBy(F.col("_value").asc_nulls_first())
+    reached = counted.withColumn("_upto", F.sum("_rows").over(upto)).where("_upto >= _target")
+    missed = F.raise_error(F.lit("the sketch's bracket missed the median")).cast("double")
+    middle = F.struct(F.col("_upto"), F.coalesce("_value", missed).alias("value"))
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    found = (
+        reached.groupBy("_group", "_column")
+        .agg(F.min_by(middle, "_upto").alias("_middle"))
+        .groupBy("_group")
+        .agg(
+            *[
+                F.max(F.when(F.col("_column") == i, F.col("_middle.value")))
+                .cast(kinds[c])
+                .alias(f"median_{c}")
+                for i, c in enumerate(columns)
+            ]
+        )
+    )
+    joined = report.join(F.broadcast(found), F.col(group).eqNullSafe(F.col("_group")), "left")
+    return joined.drop("_group")
 
 
 def grain_check(df: DataFrame, keys: str | Sequence[str] = CUSTOMER) -> DataFrame:

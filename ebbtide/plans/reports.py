@@ -32,7 +32,6 @@ from ebbtide.operators.lookback import (
     look_back,
 )
 from ebbtide.operators.shares import (
-    approx_median,
     column_total,
     customer_total,
     customers_per,
@@ -40,8 +39,10 @@ from ebbtide.operators.shares import (
     rate_per,
     rounded_mean,
     share_of_total,
+    with_medians,
 )
 from ebbtide.operators.snapshots import latest_snapshot, value_changes
+from ebbtide.sources.writers import materialise
 
 # means of these flags are fractions of customers and are named so
 FLAG_MEANS = {
@@ -214,11 +215,16 @@ def call_volume_by_group(calls: DataFrame, anchors: DataFrame) -> DataFrame:
         .groupBy(CUSTOMER, "churn_group")
         .agg(*[total_within("calls", DISTANCE, d).alias(f"calls_{d}d") for d in CALL_DAYS])
     )
-    return per_customer.groupBy("churn_group").agg(
+    per_customer = materialise(per_customer, "calls_per_customer")
+    means = [f"avg_{name}" for name in names]
+    shares = [f"pct_any_{name}" for name in names]
+    report = per_customer.groupBy("churn_group").agg(
         F.count(F.lit(1)).alias("customers"),
-        *[rounded_mean(name, 2).alias(f"avg_{name}") for name in names],
-        *[approx_median(name).alias(f"median_{name}") for name in names],
-        *[percent_with_any(name).alias(f"pct_any_{name}") for name in names],
+        *[rounded_mean(name, 2).alias(mean) for name, mean in zip(names, means, strict=True)],
+        *[percent_with_any(name).alias(share) for name, share in zip(names, shares, strict=True)],
+    )
+    return with_medians(report, per_customer, "churn_group", names).select(
+        "churn_group", "customers", *means, *[f"median_{name}" for name in names], *shares
     )
 
 
@@ -251,15 +257,12 @@ def usage_trend_before_cease(cease: DataFrame, usage: DataFrame, weeks: int = 8)
         .groupBy(CUSTOMER, F.floor(F.col(DISTANCE) / 7).alias("week_before"))
         .agg(F.sum("download_mbs").alias("weekly_download_mbs"))
     )
-    return (
-        weekly.groupBy("week_before")
-        .agg(
-            F.count(F.lit(1)).alias("customers"),
-            rounded_mean("weekly_download_mbs", 2).alias("avg_weekly_download_mbs"),
-            approx_median("weekly_download_mbs").alias("median_weekly_download_mbs"),
-        )
-        .orderBy("week_before")
+    weekly = materialise(weekly, "weeks")
+    report = weekly.groupBy("week_before").agg(
+        F.count(F.lit(1)).alias("customers"),
+        rounded_mean("weekly_download_mbs", 2).alias("avg_weekly_download_mbs"),
     )
+    return with_medians(report, weekly, "week_before", ["weekly_download_mbs"]).orderBy("week_before")
 
 
 def call_type_penetration(calls: DataFrame, anchors: DataFrame) -> DataFrame:

@@ -336,3 +336,28 @@ def test_customers_are_not_lost_between_frames(spark, sf001):
     volume = reports.call_volume_by_group(t.calls, anchors).agg(F.sum("customers")).first()[0]
     assert volume == anchors.count()
     features.unpersist()
+
+
+def test_medians_are_exact_beyond_the_sketch(spark):
+    """40,000 values a group against a sketch of accuracy 50; ties, NULLs and a NULL group."""
+    from ebbtide.operators.shares import with_medians
+
+    i = F.col("id")
+    df = spark.range(0, 80_000, 1, 16).select(
+        F.when(i % 2 == 0, "a").alias("g"),
+        F.when(i % 5 != 0, F.pmod(F.xxhash64(i), F.lit(1_000_003)) / 7).alias("x"),
+        F.pmod(F.xxhash64(i, F.lit(1)), F.lit(4)).cast("int").alias("y"),
+        F.lit(None).cast("double").alias("z"),
+    )
+    report = df.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    medians = with_medians(report, df, "g", ["x", "y", "z"], accuracy=50)
+    assert dict(medians.dtypes)["median_y"] == "int"
+    got = {r.g: r for r in medians.collect()}
+    rows = df.collect()
+    for g in ("a", None):
+        for name in ("x", "y"):
+            values = sorted(r[name] for r in rows if r.g == g and r[name] is not None)
+            assert got[g][f"median_{name}"] == values[(len(values) - 1) // 2]
+        assert got[g].median_z is None
+    nothing = with_medians(report.limit(0), df.limit(0), "g", ["x"])
+    assert nothing.collect() == []
