@@ -21,26 +21,29 @@ def test_a_task_sends_a_row_per_cell_however_many_rows_it_reads(spark, monkeypat
     sent = []
     cells = boosting._cells
 
-    def counting(growing, bins):
-        sent.append((growing, bins, cells(growing, bins)))
-        return sent[-1][2]
+    def counting(growing, before, bins):
+        sent.append((bins, cells(growing, before, bins)))
+        return sent[-1][1]
 
     monkeypatch.setattr(boosting, "_cells", counting)
     boosting.grow_models(binned_rows(spark, 200), [(Settings(trees=1, depth=1), ALL_ROWS)])
-    _, bins, add_up = sent[0]
+    bins, add_up = sent[0]
     batch = pa.RecordBatch.from_pydict(
         {
-            "nodes": [[1], [1], [0]],
-            "g": [[2**60], [5], [7]],
-            "h": [[1], [2], [4]],
+            "is_churned": [1, 0, 0],
+            "weight": [float(2**33), 1.0, 7.0],
+            "margins": [[0.0]] * 3,
+            "taken": [[1], [1], [0]],
             "bins": [[0, 1, 2, 1], [0, 2, 2, 1], [1, 1, 1, 1]],
         }
     )
     got = pa.Table.from_batches(add_up(iter([batch] * 3))).to_pylist()
     assert len(got) == 5 <= sum(bins)
-    assert sum(r["c"] for r in got) == 3 * 2 * 4  # the third row is at no node
+    assert sum(r["c"] for r in got) == 3 * 2 * 4  # the third row is in no sample
     both = [r for r in got if r["feature"] == 0]
-    assert [(r["bin"], r["g"], r["h"], r["c"]) for r in both] == [(0, 3 * (2**60 + 5), 9, 6)]
+    half, quarter = boosting.SCALE // 2, boosting.SCALE // 4
+    expected = (0, 3 * half * (1 - 2**33), 3 * quarter * (1 + 2**33), 6)
+    assert [(r["bin"], r["g"], r["h"], r["c"]) for r in both] == [expected]
 
 
 def test_nodes_beyond_one_job(spark, monkeypatch):
@@ -53,7 +56,7 @@ def test_nodes_beyond_one_job(spark, monkeypatch):
     jobs = []
     level = boosting._level
     monkeypatch.setattr(boosting, "NODES", 2)
-    monkeypatch.setattr(boosting, "_level", lambda *a: (jobs.append(sum(len(n) for *_, n, _ in a[1].values())), level(*a))[1])
+    monkeypatch.setattr(boosting, "_level", lambda *a: (jobs.append(sum(len(n) for *_, n, _ in a[2].values())), level(*a))[1])
     assert boosting.grow_models(binned, models) == whole
     assert max(jobs) == 2 and len(jobs) > 6
 
