@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ebbtide import catalog
 from ebbtide.ml import boosting
 from ebbtide.ml.boosting import ALL_ROWS, Settings
+from ebbtide.sources.writers import hashed_joins
 from test_boosting import NAMES, SCHEMA, made_up
 
 
@@ -75,3 +76,30 @@ def test_features_are_derived_once_for_the_split(spark, sf001, monkeypatch):
     assert "l_shipdate" in made["features"] and "l_shipdate" not in made["split"]
     assert marked.select(F.count_if("is_test")).first()[0] > 0  # nothing it needs was removed
     assert not any("/features" in os.path.dirname(f) for f in marked.inputFiles())
+
+
+def joined_plan(spark):
+    """The plan a shuffled join ends with."""
+    rows = spark.range(20_000)
+    joined = rows.join(rows.select((F.col("id") * 2).alias("id"), F.lit(1).alias("b")), "id")
+    joined.collect()
+    return joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_features_hash_the_smaller_side_of_a_shuffled_join(spark):
+    """Before, both sides of every join of the features were sorted."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    other = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    setting = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    usual, set_before = spark.conf.get(key), spark.conf.get(setting)
+    try:
+        spark.conf.set(key, "-1")
+        spark.conf.set(other, "-1")
+        assert "SortMergeJoin" in joined_plan(spark).split("Initial Plan")[0]
+        with hashed_joins(spark):
+            found = joined_plan(spark).split("Initial Plan")[0]
+        assert "ShuffledHashJoin" in found and "SortMergeJoin" not in found
+    finally:
+        spark.conf.set(key, usual)
+        spark.conf.unset(other)
+    assert spark.conf.get(setting) == set_before
