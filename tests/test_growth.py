@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ebbtide import catalog
 from ebbtide.ml import boosting
 from ebbtide.ml.boosting import ALL_ROWS, Settings
+from ebbtide.plans import features
+from ebbtide.sources.order_views import order_views
 from ebbtide.sources.writers import hashed_joins
 from test_boosting import NAMES, SCHEMA, made_up
 
@@ -103,3 +105,12 @@ def test_features_hash_the_smaller_side_of_a_shuffled_join(spark):
         spark.conf.set(key, usual)
         spark.conf.unset(other)
     assert spark.conf.get(setting) == set_before
+
+
+def test_scoring_features_are_derived_once(spark, sf001):
+    """Ranking samples the scores before it sorts them, so it read the features' joins twice."""
+    marked = catalog._scoring_features(spark, sf001)
+    assert marked is catalog._scoring_features(spark, sf001)
+    assert "Join" not in marked._jdf.queryExecution().executedPlan().toString()
+    want = features.inference_features(*order_views(spark, sf001)[1:])
+    assert sorted(map(str, marked.collect())) == sorted(map(str, want.collect()))
