@@ -25,6 +25,8 @@ COMMON = 48
 CROWD = 7
 BITS = ("b0", "b1", "b2", "b3")
 SLOT_BITS = 24
+#: So many open shingles before its own does an entry carry, to tell pairs met before.
+BEFORE = 4
 
 
 @dataclass(frozen=True)
@@ -71,6 +73,10 @@ class Similarity:
         )
         return differing * (self.top + self.bottom) <= (n_a + n_b) * (self.bottom - self.top)
 
+    def rest_fits(self, n_a: Column, n_b: Column, at_a: Column, at_b: Column) -> Column:
+        """Enough shingles are left from the places of the first one that both sets hold."""
+        return F.least(n_a - at_a, n_b - at_b) * (self.top + self.bottom) >= (n_a + n_b) * self.top
+
     def similar(self, n_a: Column, n_b: Column, shared: Column) -> Column:
         return shared * self.bottom >= (n_a + n_b - shared) * self.top
 
@@ -308,8 +314,57 @@ def _key_spans(entries: DataFrame, span: DataFrame) -> DataFrame:
 
 
 def _open_entries(entries: DataFrame, span: DataFrame) -> DataFrame:
-    """grp and key of the shingles whose groups are not all in one class yet."""
-    return entries.select("grp", "key").join(_key_spans(entries, span).select("key"), "key", "left_semi")
+    """grp, key, at and before of the shingles whose groups are not all in one class yet.
+
+    ``before`` holds the last open shingles that precede the entry's own in its group.
+    """
+    found = entries.select("grp", "key", "at").join(_key_spans(entries, span).select("key"), "key", "left_semi")
+    last = Window.partitionBy("grp").orderBy("at").rowsBetween(-BEFORE, -1)
+    return found.withColumn("before", F.collect_list("key").over(last))
+
+
+def _rest_pairs(sides: DataFrame, how: Similarity, fit) -> DataFrame:
+    """Pairs of groups of different classes that share an open shingle, with repetitions.
+
+    Long sets that are alike share hundreds of shingles. Their pair is looked for at the
+    first of them only, as far as an entry knows: one that both carry before their own is
+    an earlier one. There, too few shingles may be left for the sets to be similar. Both
+    conditions hold at the first shared shingle of every similar pair.
+    """
+    # a key's largest class is a single class already: its groups need not meet each other
+    closed = F.col("low") == F.col("high")
+    largest = (
+        sides.where(closed)
+        .groupBy("key", "low")
+        .agg(F.count(F.lit(1)).alias("_many"))
+        .groupBy("key")
+        .agg(F.max(F.struct("_many", "low"))["low"].alias("_largest"))
+    )
+    sides = sides.join(largest, "key", "left").withColumn(
+        "inner", closed & F.col("low").eqNullSafe(F.col("_largest"))
+    )
+    names = ("grp", "n", "members", "low", "high", "inner", "at", "before", *BITS)
+    left = sides.where(~F.col("inner")).select("key", *_columns("x_", names))
+    right = sides.select("key", *_columns("y_", names))
+    open_pair = ~(
+        (F.col("x_low") == F.col("x_high"))
+        & (F.col("y_low") == F.col("y_high"))
+        & (F.col("x_low") == F.col("y_low"))
+    )
+    # the bits of a group of one are those of its set
+    alone = (F.col("x_members") == 1) & (F.col("y_members") == 1)
+    return (
+        left.join(right, "key")
+        .where(
+            (F.col("y_inner") | (F.col("x_grp") < F.col("y_grp")))
+            & open_pair
+            & how.sizes_fit(F.col("x_n"), F.col("y_n"))
+            & how.rest_fits(F.col("x_n"), F.col("y_n"), F.col("x_at"), F.col("y_at"))
+            & (~alone | fit("x_", "y_"))
+            & ~F.arrays_overlap("x_before", "y_before")
+        )
+        .select(F.least("x_grp", "y_grp").alias("x_grp"), F.greatest("x_grp", "y_grp").alias("y_grp"))
+    )
 
 
 def _crowds(entries: DataFrame, span: DataFrame) -> DataFrame:
@@ -365,8 +420,9 @@ def join_sets(
     except pairs already connected, which could not change a class: shingles of one class
     are left out, and so are pairs inside a shingle's largest class. So copies that
     are similar to a centre cost about as many comparisons as there are copies. A crowd of
-    sets that are similar to no centre is still compared in pairs, by size and bits, within
-    a shingle. No link between classes is lost.
+    sets that are similar to no centre is still compared in pairs, by size, place and bits,
+    within a shingle, and a pair is made about once, not once a shared shingle. No link
+    between classes is lost.
     """
     carried = ("gid", "n", *BITS)
     grouped = with_prefixes(docs, sets, how, common, own).withColumn(
@@ -377,7 +433,7 @@ def join_sets(
         F.min(F.struct("gid", "n", *BITS, "prefix")).alias("_f"), F.count(F.lit(1)).alias("members")
     )
     groups = own.stored(first.select("grp", "members", "_f.*"), "groups")
-    spread = groups.select("grp", "gid", F.explode("prefix").alias("key"))
+    spread = groups.select("grp", "gid", F.posexplode("prefix").alias("at", "key"))
     shared = (
         spread.groupBy("key")
         .agg(F.min("gid").alias("c_gid"), F.count(F.lit(1)).alias("_many"))
@@ -420,39 +476,7 @@ def join_sets(
 
     facts = groups.select("grp", "n", "members", *BITS).join(span.drop("members"), "grp")
     sides = own.stored(_open_entries(entries, span).join(facts, "grp"), "sides")
-    # a key's largest class is a single class already: its groups need not meet each other
-    closed = F.col("low") == F.col("high")
-    largest = (
-        sides.where(closed)
-        .groupBy("key", "low")
-        .agg(F.count(F.lit(1)).alias("_many"))
-        .groupBy("key")
-        .agg(F.max(F.struct("_many", "low"))["low"].alias("_largest"))
-    )
-    sides = sides.join(largest, "key", "left").withColumn(
-        "inner", closed & F.col("low").eqNullSafe(F.col("_largest"))
-    )
-    names = ("grp", "n", "members", "low", "high", "inner", *BITS)
-    left = sides.where(~F.col("inner")).select("key", *_columns("x_", names))
-    right = sides.select("key", *_columns("y_", names))
-    open_pair = ~(
-        (F.col("x_low") == F.col("x_high"))
-        & (F.col("y_low") == F.col("y_high"))
-        & (F.col("x_low") == F.col("y_low"))
-    )
-    # the bits of a group of one are those of its set
-    alone = (F.col("x_members") == 1) & (F.col("y_members") == 1)
-    group_pairs = (
-        left.join(right, "key")
-        .where(
-            (F.col("y_inner") | (F.col("x_grp") < F.col("y_grp")))
-            & open_pair
-            & how.sizes_fit(F.col("x_n"), F.col("y_n"))
-            & (~alone | fit("x_", "y_"))
-        )
-        .select(F.least("x_grp", "y_grp").alias("x_grp"), F.greatest("x_grp", "y_grp").alias("y_grp"))
-        .distinct()
-    )
+    group_pairs = _rest_pairs(sides, how, fit).distinct()
     itself = span.where("low <> high").select(F.col("grp").alias("x_grp"), F.col("grp").alias("y_grp"))
     members = labelled.select("grp", "comp", *carried)
     x = members.select(*_columns("x_", ("grp", "comp", *carried)))
@@ -476,11 +500,15 @@ def _classed(docs: DataFrame, how: Similarity, common: int) -> DataFrame:
 
     ``first_gid`` is the smallest set among those of the class with its smallest doc_id.
     """
+    facts = ("doc_id", "text_hash", "n", "gid")
     with eager_jobs(docs.sparkSession), Temporary(docs.sparkSession) as own:
-        rows = own.stored(sketches(docs, how), "sketches")
+        with Temporary(docs.sparkSession) as wide:
+            rows = wide.stored(sketches(docs, how), "sketches")
+            one = [F.first(c).alias(c) for c in ("n", "window", "map", *BITS)]
+            sets = rows.where("n > 0").groupBy("gid").agg(F.min("doc_id").alias("doc_id"), *one)
+            sets = own.stored(sets, "sets")
+            rows = own.stored(rows.select(*facts), "rows")
         filled = rows.where("n > 0")
-        one = [F.first(c).alias(c) for c in ("n", "window", "map", *BITS)]
-        sets = own.stored(filled.groupBy("gid").agg(F.min("doc_id").alias("doc_id"), *one), "sets")
         labels = join_sets(docs, sets, how, common, own)
         placed = sets.select("gid", "doc_id").join(labels, "gid", "left").select(
             "gid", F.coalesce("comp", "gid").alias("comp"), "doc_id"
@@ -490,7 +518,6 @@ def _classed(docs: DataFrame, how: Similarity, common: int) -> DataFrame:
         of_set = placed.join(least, "comp").select(
             "gid", F.col("_first.doc_id").alias("component_id"), F.col("_first.gid").alias("first_gid")
         )
-        facts = ("doc_id", "text_hash", "n", "gid")
         linked = filled.select(*facts).join(of_set, "gid")
         alone = rows.where("n = 0").select(
             *facts, F.col("doc_id").alias("component_id"), F.col("gid").alias("first_gid")

@@ -143,6 +143,32 @@ def test_crowds_of_copies_equal_brute_force(spark, common):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == expected
 
 
+def test_pairs_of_long_copies_are_made_about_once(spark, monkeypatch):
+    """Copies too far apart to be similar share many shingles of the prefixes, in one pair."""
+    rng = random.Random(5)
+    rows = []
+    for crowd in range(4):
+        source = [f"c{crowd}x{i}" for i in range(900)]
+        for _ in range(5):
+            own = list(source)
+            for at in rng.sample(range(900), rng.choice([4, 12, 24])):
+                own[at] = f"new{len(rows)}y{at}"
+            rows.append((len(rows), " ".join(own)))
+    made, pairs_of = [], jaccard_join._rest_pairs
+
+    def counted(*given):
+        pairs = pairs_of(*given)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "_rest_pairs", counted)
+    how = jaccard_join.Similarity()
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), how)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows, how)
+    [(with_repetitions, pairs)] = made
+    assert 0 < pairs <= with_repetitions <= 3 * pairs
+
+
 def test_one_of_each_class_stays(spark, odd):
     kept = jaccard_join.keep_first(odd)
     assert kept.columns == odd.columns
