@@ -1,14 +1,16 @@
-"""Token-ID files: ids of whole texts, range-coded in independent checksummed blocks.
-
-Ids are predicted by their last two, by their last one and by how often ids of their range
-occur. How far to trust the predictions is learnt as coding goes on, and the resulting
-probabilities drive an arithmetic coder. Every block of 4,096 ids starts from nothing, so
-a block can be read alone, and all blocks of a chunk are coded in step by array operations.
-
-A file's rows are chunks of whole documents. A chunk's payload is: ``EBT1``, the number of
-blocks (32 bits), then for each block its number of ids, number of code words and the
-crc32 of its ids as 32-bit little-endian numbers, then all blocks' 16-bit code words.
-Numbers of the payload are little-endian.
+"""Token-ID files: ids of whole texts, range-coded in independently checksummed blocks.
+
+Ids are predicted by their last two, by their last one and by how often they occur. What
+follows what, and how far to trust it, is counted over a chunk's ids before they are
+coded and stands at the head of its payload. The resulting probabilities drive a range
+coder with a state per block (asymmetric numeral systems). A block of 4,096 ids needs the
+chunk's head and its own words only, and all blocks of a chunk are coded in step by array
+operations.
+
+A file's rows are chunks of whole documents. A chunk's payload is: ``EBT2``, the number of
+blocks, the length of the head and its crc32 (32 bits each), the head, then for each block
+its number of ids, number of code words and the crc32 of its ids as 32-bit little-endian
+numbers, then all blocks' 16-bit code words. Numbers of the payload are little-endian.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.shared import in_arrow, stored, text_of, vocabulary
+from ebbtide.llm.token_counts import balanced
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -31,212 +35,245 @@ BLOCK_IDS = 4096
 LANES = 2048
 CHUNK_IDS = BLOCK_IDS * LANES
 MEMO_WORDS = 500_000
-MAGIC = b"EBT1"
+MAGIC = b"EBT2"
 
-_WIDTHS = np.repeat(np.array([32, 64, 192, 736]), 64)
-_STARTS = np.concatenate([[0], np.cumsum(_WIDTHS)[:-1]])
-_BUCKET_OF = np.repeat(np.arange(256), _WIDTHS)
-_BUCKETS = 256
-_TOTAL = 1 << 12  # of the order-0 frequencies
-_LOW32 = (1 << 32) - 1
-_TABLE1, _TABLE2 = 1 << 11, 1 << 12
-_REBUILD = 64
+_CONTEXTS = 128
+_IDS_A_SLOT = 64
+_PIECE = 1 << 20
+_WORDS_A_TEXT = 64
+_BETWEEN = " ^ "
+_MARKS = ".,;:!?"
+#: Characters of the texts that are split at once.
+TEXT_CHARACTERS = 1 << 22
 
 
 class _Model:
-    """What the coder has learnt, for ``n`` blocks at once; the reader learns the same."""
-
-    def __init__(self, n: int):
-        self.row = np.arange(n)
-        self.id1, self.conf1 = np.zeros(n * _TABLE1, np.int32), np.zeros(n * _TABLE1, np.int8)
-        self.id2, self.conf2 = np.zeros(n * _TABLE2, np.int32), np.zeros(n * _TABLE2, np.int8)
-        self.hit2 = np.full(n * 8, 512, np.int32)
-        self.both = np.full(n * 128, 512, np.int32)
-        self.hit1 = np.full(n * 16, 512, np.int32)
-        self.seen = np.ones((n, _BUCKETS), np.int32)
-        self.cuts = np.zeros((n, _BUCKETS + 1), np.int64)
-        self.last1, self.last2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.step = 0
-
-    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For the first n blocks: order-2 and order-1 ids and their frequencies of 1,024."""
-        if self.step % _REBUILD == 0:
-            total = self.seen.sum(axis=1, keepdims=True)
-            scaled = 1 + self.seen * (_TOTAL - _BUCKETS) // total
-            self.cuts[:, 1:] = np.cumsum(scaled, axis=1)
-            self.cuts[:, -1] = _TOTAL
-        row, a, b = self.row[:n], self.last1[:n], self.last2[:n]
-        self.at1 = row * _TABLE1 + ((a * 40503) >> 4) % _TABLE1
-        self.at2 = row * _TABLE2 + ((a * 40503 + b * 30011) >> 4) % _TABLE2
-        first, second = self.id2[self.at2], self.id1[self.at1]
-        c2, c1 = self.conf2[self.at2].astype(np.int64), self.conf1[self.at1].astype(np.int64)
-        same = first == second
-        self.in2 = row * 8 + c2
-        self.in_both = row * 128 + c2 * 16 + c1 * 2 + same
-        self.in1 = row * 16 + c1 * 2 + same
-        mean = (self.hit2[self.in2] + self.both[self.in_both]) >> 1
-        f2 = np.clip(mean >> 2, 1, 1022).astype(np.int64)
-        rest = 1024 - f2
-        f1 = np.clip((rest * self.hit1[self.in1]) >> 12, 1, rest - 1)
-        return first, second, f2, f1
-
-    def learn(self, ids: np.ndarray, event: np.ndarray) -> None:
-        n = len(ids)
-        hit = event == 0
-        target = hit.astype(np.int32) << 12
-        p = self.hit2[self.in2]
-        self.hit2[self.in2] = p + ((target - p) >> 5)
-        p = self.both[self.in_both]
-        self.both[self.in_both] = p + ((target - p) >> 4)
-        missed = np.flatnonzero(~hit)
-        at = self.in1[missed]
-        p = self.hit1[at]
-        self.hit1[at] = p + (((event[missed] == 1).astype(np.int32) << 12) - p >> 4)
-        for known, conf, at in ((self.id2, self.conf2, self.at2), (self.id1, self.conf1, self.at1)):
-            old, trust = known[at], conf[at]
-            right = old == ids
-            swap = ~right & (trust <= 1)
-            known[at] = np.where(swap, ids, old)
-            conf[at] = np.where(right, np.minimum(trust + 1, 7), np.where(swap, 1, trust >> 1))
-        literal = np.flatnonzero(event == 2)
-        self.seen[literal, _BUCKET_OF[ids[literal]]] += 24
-        self.last2[:n] = self.last1[:n]
-        self.last1[:n] = ids
-        self.step += 1
-
-
-def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
-    """The 16-bit code words of each block; blocks must not grow in length along the list."""
-    n = len(blocks)
-    lengths = np.array([len(b) for b in blocks])
-    ids = np.zeros((lengths[0], n), np.int64)
-    for k, b in enumerate(blocks):
-        ids[: len(b), k] = b
-    model = _Model(n)
-    low, span = np.zeros(n, np.int64), np.full(n, (1 << 48) - 1, np.int64)
-    words, used = np.zeros((n, 2 * lengths[0] + 8), np.int32), np.zeros(n, np.int64)
-    for t in range(lengths[0]):
-        live = n if lengths[-1] > t else int(np.searchsorted(-lengths, -t, side="left"))
-        x = ids[t, :live]
-        first, second, f2, f1 = model.predict(live)
-        event = np.where(x == first, 0, np.where(x == second, 1, 2))
-        part = span[:live] >> 10
-        start = np.where(event == 0, 0, np.where(event == 1, f2, f2 + f1))
-        size = np.where(event == 0, f2, np.where(event == 1, f1, 1024 - f2 - f1))
-        low[:live] += start * part
-        span[:live] = part * size
-        lit = np.flatnonzero(event == 2)
-        bucket = _BUCKET_OF[x[lit]]
-        cut, part = model.cuts[lit, bucket], span[lit] >> 12
-        inner = part * (model.cuts[lit, bucket + 1] - cut) // _WIDTHS[bucket]
-        low[lit] += cut * part + (x[lit] - _STARTS[bucket]) * inner
-        span[lit] = inner
-        for _ in range(3):
-            small = np.flatnonzero(span[:live] <= _LOW32)
-            if not len(small):
-                break
-            words[small, used[small]] = low[small] >> 32
-            low[small] = (low[small] & _LOW32) << 16
-            span[small] <<= 16
-            used[small] += 1
-        model.learn(x, event)
-    for shift in (32, 16, 0):
-        words[np.arange(n), used] = low >> shift if shift == 32 else (low >> shift) & 0xFFFF
-        used += 1
-    while True:  # a word above 16 bits carries into the word before it
-        where = np.nonzero(words >> 16)
-        if not len(where[0]):
-            break
-        words[where] -= 1 << 16
-        words[where[0], where[1] - 1] += 1
-    return [words[k, : used[k]].astype("<u2") for k in range(n)]
-
-
-def decode_blocks(coded: list[np.ndarray], lengths: np.ndarray) -> list[np.ndarray]:
-    """The ids of each block, from its code words and its number of ids."""
-    n = len(coded)
-    longest = max(len(c) for c in coded)
-    words = np.zeros((n, max(longest, 2 * int(lengths[0])) + 8), np.int64)
-    for k, c in enumerate(coded):
-        words[k, : len(c)] = c
-    ids = np.zeros((lengths[0], n), np.int64)
-    model = _Model(n)
-    code = (words[:, 0] << 32) | (words[:, 1] << 16) | words[:, 2]
-    span, used = np.full(n, (1 << 48) - 1, np.int64), np.full(n, 3)
-    for t in range(lengths[0]):
-        live = n if lengths[-1] > t else int(np.searchsorted(-lengths, -t, side="left"))
-        first, second, f2, f1 = model.predict(live)
-        part = span[:live] >> 10
-        place = code[:live] // part
-        event = (place >= f2).astype(np.int64) + (place >= f2 + f1)
-        start = np.where(event == 0, 0, np.where(event == 1, f2, f2 + f1))
-        size = np.where(event == 0, f2, np.where(event == 1, f1, 1024 - f2 - f1))
-        code[:live] -= start * part
-        span[:live] = part * size
-        x = np.where(event == 0, first, second).astype(np.int64)
-        lit = np.flatnonzero(event == 2)
-        part = span[lit] >> 12
-        place = np.minimum(code[lit] // part, _TOTAL - 1)
-        bucket = np.zeros(len(lit), np.int64)
-        for step in (128, 64, 32, 16, 8, 4, 2, 1):
-            bucket += step * (model.cuts[lit, bucket + step] <= place)
-        cut = model.cuts[lit, bucket]
-        inner = part * (model.cuts[lit, bucket + 1] - cut) // _WIDTHS[bucket]
-        rest = code[lit] - cut * part
-        offset = np.minimum(rest // inner, _WIDTHS[bucket] - 1)
-        code[lit] = rest - offset * inner
-        span[lit] = inner
-        x[lit] = _STARTS[bucket] + offset
-        for _ in range(3):
-            small = np.flatnonzero(span[:live] <= _LOW32)
-            if not len(small):
-                break
-            code[small] = (code[small] << 16) | words[small, used[small]]
-            span[small] <<= 16
-            used[small] += 1
-        ids[t, :live] = x
-        model.learn(x, event)
-    return [ids[: lengths[k], k] for k in range(n)]
+    """How the ids of a chunk follow each other: what the coder and the reader share.
+
+    Ids are numbered by rank among those of the chunk. ``after1`` names for each last id,
+    ``after2`` for each slot of the last two, the id that follows most often (rank times 8)
+    and in how many eighths of the cases it does. These two, and whether both name the same
+    id, are the context of an event: 0, the id after the last two; 1, the one after the
+    last; 2, any other id, which is then coded by how often it was left to that.
+    """
+
+    def __init__(self, known: np.ndarray, after1: np.ndarray, after2: np.ndarray):
+        self.known, self.after1, self.after2 = known, after1, after2
+        self.start = len(known)  # stands for the ids before a block
+        self.shift = np.uint32(32 - max(1, len(after2).bit_length() - 1))
+
+    def slots(self, last1: np.ndarray, last2: np.ndarray) -> np.ndarray:
+        return ((last1 * np.uint32(0x9E3779B1)) ^ (last2 * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35) >> self.shift
+
+    def named(self, last1: np.ndarray, last2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids after the last two and after the last, and the context of the event."""
+        two, one = self.after2.take(self.slots(last1, last2)), self.after1.take(last1)
+        first, second = two >> 3, one >> 3
+        return first, second, ((two & 7) << 4) | ((one & 7) << 1) | (first == second)
+
+    def set_frequencies(self, events: np.ndarray, others: np.ndarray) -> None:
+        """Of 65,536 each: those of the three events in each context and of other ids."""
+        self.events, self.others = events, others
+        self.event_size = events.ravel().astype(np.uint32)
+        self.event_start = (np.cumsum(events, axis=1) - events).ravel().astype(np.uint32)
+        # the last entry takes all of the range, which leaves a coder's state as it is
+        self.size = np.append(others, 1 << 16).astype(np.uint32)
+        self.place = np.append(np.cumsum(others) - others, 0).astype(np.uint32)
+
+    def to_bytes(self) -> bytes:
+        heads = np.array([len(self.known), len(self.after2)], "<u4")
+        parts = (self.known, "<u2"), (self.after1, "<u4"), (self.after2, "<u4"), (self.events, "<u4"), (self.others, "<u4")
+        return zlib.compress(b"".join([heads.tobytes(), *(a.astype(t).tobytes() for a, t in parts)]), 1)
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> _Model:
+        data = zlib.decompress(data)
+        n, slots = np.frombuffer(data, "<u4", 2).tolist()
+        at, parts = 8, []
+        for count, kind in ((n, "<u2"), (n + 1, "<u4"), (slots, "<u4"), (3 * _CONTEXTS, "<u4"), (n, "<u4")):
+            parts.append(np.frombuffer(data, kind, count, at).astype(np.uint32))
+            at += count * int(kind[-1])
+        model = cls(*parts[:3])
+        model.set_frequencies(parts[3].reshape(_CONTEXTS, 3).astype(np.int64), parts[4].astype(np.int64))
+        return model
+
+
+def _scaled(counts: np.ndarray) -> np.ndarray:
+    """Frequencies of 65,536 together, at least 1 for each that occurs."""
+    total = int(counts.sum())
+    if not total:
+        return np.append((1 << 16), np.zeros(len(counts) - 1, np.int64))
+    seen = counts > 0
+    out = seen + counts * ((1 << 16) - int(seen.sum())) // total
+    out[np.argmax(out)] += (1 << 16) - out.sum()
+    return out
+
+
+def _most(context: np.ndarray, follows: np.ndarray, size: int) -> np.ndarray:
+    """For each context the id that follows most often, times 8, plus eighths of the cases."""
+    key = (context.astype(np.int64) << 16) | follows
+    key.sort()
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    count = np.diff(np.append(first, len(key)))
+    key = key[first]
+    here = key >> 16
+    start = np.flatnonzero(np.append(True, here[1:] != here[:-1]))
+    best = np.maximum.reduceat((count << 16) | (0xFFFF - (key & 0xFFFF)), start)
+    top, total = best >> 16, np.add.reduceat(count, start)
+    out = np.zeros(size, np.uint32)
+    # an id that followed once only is no sign
+    out[here[start]] = ((0xFFFF - (best & 0xFFFF)) << 3) | np.where(top > 1, np.minimum(8 * top // total, 7), 0)
+    return out
+
+
+def _by_step(ids: np.ndarray, fill: int) -> np.ndarray:
+    """A row for each step of all blocks; a last block that is shorter is filled up."""
+    steps = min(BLOCK_IDS, len(ids))
+    blocks = -(-len(ids) // steps)
+    out = np.full(blocks * steps, fill, ids.dtype)
+    out[: len(ids)] = ids
+    return np.ascontiguousarray(out.reshape(blocks, steps).T)
+
+
+def _learn(ids: np.ndarray) -> tuple[_Model, np.ndarray, np.ndarray, np.ndarray]:
+    """The model of a chunk; each id's event with its context, and its rank where it is another id."""
+    counts = np.bincount(ids, minlength=1 << 16)
+    known = np.flatnonzero(counts)
+    rank = np.zeros(1 << 16, np.uint16)
+    rank[known] = np.arange(len(known))
+    x = rank[ids]
+    last1, last2 = np.empty(len(x), np.uint32), np.empty(len(x), np.uint32)
+    last1[1:], last2[2:] = x[:-1], x[:-2]
+    last1[::BLOCK_IDS] = last2[::BLOCK_IDS] = last2[1::BLOCK_IDS] = len(known)  # a block's own start
+    slots = 1 << max(1, (len(x) // _IDS_A_SLOT).bit_length() - 1)
+    model = _Model(known, _most(last1, x, len(known) + 1), np.zeros(slots, np.uint32))
+    model.after2 = _most(model.slots(last1, last2), x, slots)
+    none = len(known)
+    entry, other = np.empty(len(x), np.uint16), np.empty(len(x), np.min_scalar_type(none))
+    for low in range(0, len(x), _PIECE):
+        part = slice(low, low + _PIECE)
+        first, second, context = model.named(last1[part], last2[part])
+        event = np.where(x[part] == first, 0, np.where(x[part] == second, 1, 2))
+        entry[part] = 3 * context + event
+        other[part] = np.where(event == 2, x[part], none)
+    events = np.bincount(entry, minlength=3 * _CONTEXTS).reshape(_CONTEXTS, 3)
+    # every event keeps a place, so that each context adds up
+    events = np.stack([_scaled(row + 1) for row in events])
+    others = np.bincount(other, minlength=none + 1)[:none]
+    model.set_frequencies(events, _scaled(others))
+    return model, entry, other
 
 
 def encode(ids: np.ndarray) -> bytes:
     """The payload of a chunk for its ids (each below 65,536)."""
-    blocks = [ids[k : k + BLOCK_IDS] for k in range(0, len(ids), BLOCK_IDS)]
-    coded: list[np.ndarray] = []
-    for k in range(0, len(blocks), LANES):
-        coded += encode_blocks(blocks[k : k + LANES])
-    header = np.zeros((len(blocks), 3), "<u4")
-    for k, (block, words) in enumerate(zip(blocks, coded, strict=True)):
-        header[k] = len(block), len(words), zlib.crc32(block.astype("<u4").tobytes())
-    count = np.array([len(blocks)], "<u4")
-    return b"".join([MAGIC, count.tobytes(), header.tobytes(), *(c.tobytes() for c in coded)])
+    ids = np.asarray(ids)
+    if not len(ids):
+        return MAGIC + bytes(12)
+    model, entry, other = _learn(ids)
+    entry, other = _by_step(entry, 0), _by_step(other, 0)
+    steps, blocks = entry.shape
+    last = len(ids) - (blocks - 1) * steps
+    words = np.zeros((2 * steps, blocks), np.uint16)
+    out = np.zeros((2 * steps, blocks), bool)
+    state = np.full(blocks, 1 << 16, np.uint32)
+    high = np.uint32(16)
+    for t in range(steps - 1, -1, -1):  # a reader meets what was coded last first
+        live = blocks if t < last else blocks - 1
+        at, e = other[t, :live], entry[t, :live]
+        for k, size, start in (
+            (2 * t + 1, model.size.take(at), model.place.take(at)),
+            (2 * t, model.event_size.take(e), model.event_start.take(e)),
+        ):
+            now = state[:live]
+            full = (now >> high) >= size
+            words[k, :live] = now & np.uint32(0xFFFF)
+            out[k, :live] = full
+            now = now >> (full.astype(np.uint32) << np.uint32(4))
+            whole = now // size
+            state[:live] = (whole << high) + (now - whole * size) + start
+    coded = words.T[out.T]
+    lengths = out.sum(axis=0) + 2
+    ends = np.cumsum(lengths)
+    stream = np.empty(ends[-1], "<u2")
+    own = np.ones(len(stream), bool)
+    own[ends - lengths] = own[ends - lengths + 1] = False
+    stream[own] = coded
+    stream[ends - lengths], stream[ends - lengths + 1] = state >> high, state & np.uint32(0xFFFF)
+    plain = ids.astype("<u4")
+    header = np.zeros((blocks, 3), "<u4")
+    header[:, 0], header[:, 1] = steps, lengths
+    header[-1, 0] = last
+    header[:, 2] = [zlib.crc32(plain[k * steps : (k + 1) * steps].tobytes()) for k in range(blocks)]
+    learnt = model.to_bytes()
+    counts = np.array([blocks, len(learnt), zlib.crc32(learnt)], "<u4")
+    return b"".join([MAGIC, counts.tobytes(), learnt, header.tobytes(), stream.tobytes()])
+
+
+def _decoded(model: _Model, words: np.ndarray, starts: np.ndarray, steps: int, last: int) -> np.ndarray:
+    """Ranks by step and block; the last block has ``last`` of the steps.
+
+    A word is looked up for all blocks and taken by those whose state is low.
+    """
+    blocks = len(starts)
+    of_place = np.repeat(np.arange(len(model.others), dtype=np.uint16), model.others)
+    second_from, third_from = model.events[:, 0].astype(np.uint32), model.events[:, :2].sum(axis=1).astype(np.uint32)
+    state = (words[starts].astype(np.uint32) << np.uint32(16)) | words[starts + 1]
+    at = starts + 2
+    low, high, none = np.uint32(0xFFFF), np.uint32(16), np.uint32(model.start)
+    last1, last2 = np.full(blocks, none), np.full(blocks, none)
+    ranks = np.zeros((steps, blocks), np.uint32)
+    for t in range(steps):
+        if t == last:
+            state, at, last1, last2 = state[:-1], at[:-1], last1[:-1], last2[:-1]
+        first, second, context = model.named(last1, last2)
+        place = state & low
+        event = (place >= second_from.take(context)).astype(np.uint32) + (place >= third_from.take(context))
+        e = 3 * context + event
+        state = model.event_size.take(e) * (state >> high) + place - model.event_start.take(e)
+        more = state <= low
+        state = np.where(more, (state << high) | words.take(at, mode="clip"), state)
+        at = at + more
+        other = event == 2
+        place = state & low
+        x = of_place.take(place)
+        entry = np.where(other, x, none)
+        state = model.size.take(entry) * (state >> high) + place - model.place.take(entry)
+        more = state <= low
+        state = np.where(more, (state << high) | words.take(at, mode="clip"), state)
+        at = at + more
+        x = np.where(other, x, np.where(event == 0, first, second))
+        ranks[t, : len(x)] = x
+        last1, last2 = x, last1
+    return ranks
 
 
 def decode(payload: bytes) -> np.ndarray:
     """The ids of a chunk; raises if the payload or one of its blocks is damaged."""
     if payload[:4] != MAGIC:
         raise ValueError("not a token chunk")
-    count = int(np.frombuffer(payload, "<u4", 1, 4)[0])
-    header = np.frombuffer(payload, "<u4", 3 * count, 8).reshape(count, 3).astype(np.int64)
-    words = np.frombuffer(payload, "<u2", -1, 8 + 12 * count)
+    if len(payload) < 16:
+        raise ValueError("token chunk of a wrong length")
+    count, size, crc = np.frombuffer(payload, "<u4", 3, 4).tolist()
+    if not count:
+        return np.zeros(0, np.int64)
+    body = 16 + size + 12 * count
+    learnt = payload[16 : 16 + size]
+    if len(payload) < body or zlib.crc32(learnt) != crc:
+        raise ValueError("the model of a token chunk is damaged")
+    header = np.frombuffer(payload, "<u4", 3 * count, 16 + size).reshape(count, 3).astype(np.int64)
+    steps, last = int(header[0, 0]), int(header[-1, 0])
     ends = np.cumsum(header[:, 1])
-    if count and ends[-1] != len(words):
+    if len(payload) != body + 2 * ends[-1] or (header[:, 1] < 2).any() or (header[:-1, 0] != steps).any() or not 0 < last <= steps <= BLOCK_IDS:
         raise ValueError("token chunk of a wrong length")
-    out: list[np.ndarray] = []
-    for k in range(0, count, LANES):
-        part = range(k, min(k + LANES, count))
-        out += decode_blocks([words[ends[j] - header[j, 1] : ends[j]] for j in part], header[k : k + LANES, 0])
-    for k, block in enumerate(out):
-        if zlib.crc32(block.astype("<u4").tobytes()) != header[k, 2]:
+    model = _Model.from_bytes(learnt)
+    words = np.frombuffer(payload[body:], "<u2")  # a copy, since look-ups in a shifted array are slow
+    ranks = _decoded(model, words, ends - header[:, 1], steps, last)
+    out = model.known.astype(np.uint16)[ranks.T].ravel()[: (count - 1) * steps + last]
+    plain = out.astype("<u4")
+    for k in range(count):
+        if zlib.crc32(plain[k * steps : (k + 1) * steps].tobytes()) != header[k, 2]:
             raise ValueError(f"block {k} of a token chunk is damaged")
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
-
-
-def _spaced(text: str) -> str:
-    """The text with a space for every ASCII white space."""
-    for white in "\t\n\v\f\r":
-        text = text.replace(white, " ")
-    return text
+    return out.astype(np.int64)
 
 
 class Encoder:
@@ -255,22 +292,63 @@ class Encoder:
         self.tokenizer.no_padding()
         self.memo = memo
         self.known: dict[str, bytes] = {"": b""}
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """16-bit ids of each text, the end id last."""
-        words = [_spaced(t).split(" ") if t else [] for t in texts]
-        new = set().union(*words).difference(self.known)
+        between = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+        self.between = between[0] if len(between) == 1 else -1
+
+    def _encoded(self, words: list[str]) -> None:
+        """Many words are one text of the library, which spares an object for each.
+
+        No token reaches over white space, so a word of its own between them parts their
+        ids. Where that word's id is found more often, words are encoded one by one.
+        """
+        groups = [words[k : k + _WORDS_A_TEXT] for k in range(0, len(words), _WORDS_A_TEXT)]
+        texts = [_BETWEEN.join(g) for g in groups]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint16)
+            ends = np.flatnonzero(ids == self.between)
+            if len(ends) != len(group) - 1:
+                for word, one in zip(group, self.tokenizer.encode_batch_fast(group, add_special_tokens=False), strict=True):
+                    self.known[word] = array("H", one.ids).tobytes()
+                continue
+            data, start = ids.tobytes(), 0
+            for word, end in zip(group, [*ends.tolist(), len(ids)], strict=True):
+                self.known[word] = data[2 * start : 2 * end]
+                start = end + 1
+
+    def _learn(self, words: list[str]) -> None:
+        new = set(words).difference(self.known)
         if len(self.known) + len(new) > self.memo:
             self.known = {"": b""}
-            new = set().union(*words).difference(self.known)
-        fresh = list(new)
+            new = set(words).difference(self.known)
+        # a mark after an ASCII letter is a token apart, so the word before it is looked up
+        marked = []
+        for word in new:
+            stem = word.rstrip(_MARKS)
+            if len(stem) < len(word) and stem and stem[-1].isascii() and stem[-1].isalpha():
+                marked.append((word, stem, word[len(stem) :]))
+        fresh = new.difference(w for w, _, _ in marked).union(*(m[1:] for m in marked)).difference(self.known)
+        fresh = list(fresh)
         for low in range(0, len(fresh), 20_000):
-            part = fresh[low : low + 20_000]
-            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for word, e in zip(part, encoded, strict=True):
-                self.known[word] = array("H", e.ids).tobytes()
-        of, end = self.known.__getitem__, array("H", [END_ID]).tobytes()
-        return [np.frombuffer(b"".join(map(of, w)) + end, np.uint16) for w in words]
+            self._encoded(fresh[low : low + 20_000])
+        for word, stem, marks in marked:
+            self.known[word] = self.known[stem] + self.known[marks]
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """16-bit ids of each text, the end id last."""
+        split = pc.ascii_split_whitespace(texts)
+        ends = split.value_lengths().to_numpy().cumsum(dtype=np.int64)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        self._learn(words)
+        own = [*map(self.known.__getitem__, words), array("H", [END_ID]).tobytes()]
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 2
+        starts = np.cumsum(sizes) - sizes
+        pool = np.frombuffer(b"".join(own), np.uint16)
+        of = np.insert(coded.indices.to_numpy(), ends, len(words))  # the end id is a word more
+        n = sizes[of]
+        upto = np.cumsum(n)
+        found = pool[np.repeat(starts[of] - upto + n, n) + np.arange(upto[-1] if len(n) else 0)]
+        return np.split(found, upto[ends + np.arange(len(ends))])[:-1]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -314,11 +392,12 @@ def write_tokens(docs: DataFrame, path: str | None = None, label: str = "token_f
             return pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in CHUNK.split(", ")])
 
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                piece = batch.slice(low, 256)
+            lengths = pc.utf8_length(batch.column(2)).to_pylist()
+            for low, high in balanced(lengths, TEXT_CHARACTERS):
+                piece = batch.slice(low, high - low)
                 part = piece.column(0)[0].as_py()
                 for name, own in zip(
-                    piece.column(1).to_pylist(), _encoders[path].ids(piece.column(2).to_pylist()), strict=True
+                    piece.column(1).to_pylist(), _encoders[path].ids(piece.column(2)), strict=True
                 ):
                     names.append(name)
                     ids.append(own)

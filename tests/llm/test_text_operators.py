@@ -249,6 +249,33 @@ def test_repeated_ids_take_little_room_and_damage_is_found():
         token_files.decode(b"nothing")
 
 
+def test_skewed_ids_take_no_more_room_than_their_frequencies_ask_for():
+    rng = np.random.default_rng(1)
+    ids = rng.permutation(49_000)[np.minimum(rng.zipf(1.3, 300_000), 3_000)]
+    counts = np.bincount(ids)
+    share = counts[counts > 0] / len(ids)
+    head = 4 * len(share)
+    assert len(token_files.encode(ids.astype("<u2"))) < 1.05 * len(ids) * -(share * np.log2(share)).sum() / 8 + head
+    for n in (4095, 4096, 4097, 8191, 12_289):  # the words of some begin at an odd place
+        assert np.array_equal(token_files.decode(token_files.encode(ids[:n])), ids[:n])
+
+
+def test_words_that_share_a_text_of_the_library_keep_their_ids():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    plain = [f"Word{k}, wOrD{k}. x{k}'s?" for k in range(300)]
+    odd = ["a ^ b", "^", "^x^ y^", "it's!", "it's.", "'s.", "x:'s", "...", "a.b.", "7.", "e\u0301.", "\u00e9!", "<|endoftext|>.", "a<|endoftext|>b;", "", " \n", "don't?!", "\u0301. a"]
+    texts = [*plain, *odd, " ".join(plain + odd)]
+    path = vocabulary(token_files.VOCABULARY)
+    tokenizer = Tokenizer.from_file(path)
+    for memo in (token_files.MEMO_WORDS, 50):
+        encoder = token_files.Encoder(path, memo)
+        for group in (texts, texts[::-1]):
+            for text, ids in zip(group, encoder.ids(pa.array(group)), strict=True):
+                assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, token_files.END_ID], text
+
+
 def brute_tokens(texts):
     from tokenizers import Tokenizer
 
