@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,15 +33,14 @@ END_ID = 1
 BLOCK_IDS = 4096
 LANES = 2048
 CHUNK_IDS = BLOCK_IDS * LANES
-MEMO_WORDS = 500_000
+MEMO_WORDS = 1_500_000
 MAGIC = b"EBT2"
 
 _CONTEXTS = 128
 _IDS_A_SLOT = 64
 _PIECE = 1 << 20
-_WORDS_A_TEXT = 64
+_WORDS_A_TEXT = 256
 _BETWEEN = " ^ "
-_MARKS = ".,;:!?"
 #: Characters of the texts that are split at once.
 TEXT_CHARACTERS = 1 << 22
 
@@ -291,63 +289,67 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.memo = memo
-        self.known: dict[str, bytes] = {"": b""}
         between = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
         self.between = between[0] if len(between) == 1 else -1
+        self._forget()
 
-    def _encoded(self, words: list[str]) -> None:
-        """Many words are one text of the library, which spares an object for each.
+    def _forget(self) -> None:
+        """Known are no word, which has no ids, and the end id."""
+        self.known = pa.array([""], pa.string())
+        self.pool = np.array([END_ID], np.uint16)
+        self.starts, self.sizes = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and all ids. Many words are one text of the library.
 
         No token reaches over white space, so a word of its own between them parts their
         ids. Where that word's id is found more often, words are encoded one by one.
         """
+        sizes, parts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)]
         groups = [words[k : k + _WORDS_A_TEXT] for k in range(0, len(words), _WORDS_A_TEXT)]
-        texts = [_BETWEEN.join(g) for g in groups]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, np.uint16)
-            ends = np.flatnonzero(ids == self.between)
-            if len(ends) != len(group) - 1:
-                for word, one in zip(group, self.tokenizer.encode_batch_fast(group, add_special_tokens=False), strict=True):
-                    self.known[word] = array("H", one.ids).tobytes()
-                continue
-            data, start = ids.tobytes(), 0
-            for word, end in zip(group, [*ends.tolist(), len(ids)], strict=True):
-                self.known[word] = data[2 * start : 2 * end]
-                start = end + 1
-
-    def _learn(self, words: list[str]) -> None:
-        new = set(words).difference(self.known)
-        if len(self.known) + len(new) > self.memo:
-            self.known = {"": b""}
-            new = set(words).difference(self.known)
-        # a mark after an ASCII letter is a token apart, so the word before it is looked up
-        marked = []
-        for word in new:
-            stem = word.rstrip(_MARKS)
-            if len(stem) < len(word) and stem and stem[-1].isascii() and stem[-1].isalpha():
-                marked.append((word, stem, word[len(stem) :]))
-        fresh = new.difference(w for w, _, _ in marked).union(*(m[1:] for m in marked)).difference(self.known)
-        fresh = list(fresh)
-        for low in range(0, len(fresh), 20_000):
-            self._encoded(fresh[low : low + 20_000])
-        for word, stem, marks in marked:
-            self.known[word] = self.known[stem] + self.known[marks]
+        for low in range(0, len(groups), 100):
+            texts = [_BETWEEN.join(g) for g in groups[low : low + 100]]
+            encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            for group, e in zip(groups[low : low + 100], encoded, strict=True):
+                ids = np.array(e.ids, np.uint16)
+                own = ids != self.between
+                ends = np.flatnonzero(~own)
+                if len(ends) == len(group) - 1:
+                    sizes.append(np.diff(ends, prepend=-1, append=len(ids)) - 1)
+                    parts.append(ids[own])
+                    continue
+                alone = [one.ids for one in self.tokenizer.encode_batch_fast(group, add_special_tokens=False)]
+                sizes.append(np.array([len(x) for x in alone]))
+                parts += [np.array(x, np.uint16) for x in alone]
+        return np.concatenate(sizes), np.concatenate(parts)
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """The place of each of the different words among the known ones; new ones are learnt."""
+        found = pc.index_in(words, value_set=self.known)
+        if len(self.known) + found.null_count > self.memo:
+            self._forget()
+            found = pc.index_in(words, value_set=self.known)
+        new = words.filter(found.is_null())
+        places = found.fill_null(-1).to_numpy().copy()
+        places[places < 0] = len(self.known) + np.arange(len(new))
+        sizes, ids = self._encoded(new.to_pylist())
+        self.known = pa.concat_arrays([self.known, new])
+        self.starts = np.append(self.starts, len(self.pool) + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.pool = np.append(self.pool, ids)
+        return places
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """16-bit ids of each text, the end id last."""
         split = pc.ascii_split_whitespace(texts)
         ends = split.value_lengths().to_numpy().cumsum(dtype=np.int64)
         coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        self._learn(words)
-        own = [*map(self.known.__getitem__, words), array("H", [END_ID]).tobytes()]
-        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 2
-        starts = np.cumsum(sizes) - sizes
-        pool = np.frombuffer(b"".join(own), np.uint16)
-        of = np.insert(coded.indices.to_numpy(), ends, len(words))  # the end id is a word more
+        places = self._places(coded.dictionary)
+        starts, sizes = np.append(self.starts[places], 0), np.append(self.sizes[places], 1)
+        of = np.insert(coded.indices.to_numpy(), ends, len(places))  # the end id is a word more
         n = sizes[of]
         upto = np.cumsum(n)
-        found = pool[np.repeat(starts[of] - upto + n, n) + np.arange(upto[-1] if len(n) else 0)]
+        found = self.pool[np.repeat(starts[of] - upto + n, n) + np.arange(upto[-1] if len(n) else 0)]
         return np.split(found, upto[ends + np.arange(len(ends))])[:-1]
 
 
