@@ -15,6 +15,7 @@ numbers, then all blocks' 16-bit code words. Numbers of the payload are little-e
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -41,8 +42,14 @@ _IDS_A_SLOT = 64
 _PIECE = 1 << 20
 _WORDS_A_TEXT = 256
 _BETWEEN = " ^ "
-#: Characters of the texts that are split at once.
-TEXT_CHARACTERS = 1 << 22
+#: What the vocabulary parts a text into; its special strings hold one of <, | and >.
+_RULES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTERS = r"^\pL+$"
+#: The last letter is one that no normal form or lower case turns into a letter and a mark.
+_BEFORE_TAIL = r"^\pL*[A-Za-zÀ-ÖØ-öø-įı-ſΑ-ΡΣ-Ωα-ωЀ-џ]$"
+_TAIL = '!"#$%&()*+,-./:;=?@[\\]^_`{}~'
+#: Characters of the texts that are split at once; the known words are hashed anew for each lot.
+TEXT_CHARACTERS = 3 << 23
 
 
 class _Model:
@@ -274,11 +281,26 @@ def decode(payload: bytes) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _gathered(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``pool`` that begin at ``starts``, one after the other."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    out = np.empty(ends[-1] if len(ends) else 0, pool.dtype)
+    for low in range(0, len(ends), _PIECE):  # places take four times the room of ids
+        n, upto = sizes[low : low + _PIECE], ends[low : low + _PIECE]
+        first, last = upto[0] - n[0], upto[-1]
+        places = np.repeat(starts[low : low + _PIECE] - upto + n, n)
+        places += np.arange(first, last)
+        pool.take(places, out=out[first:last], mode="clip")
+    return out
+
+
 class Encoder:
     """Ids of whole texts by the library, which gets each word once while it is remembered.
 
     The vocabulary drops white space, so words at ASCII white space are encoded alone as
-    they are in the text. The memory is emptied when it holds ``memo`` words.
+    they are in the text. Where its rules are those below, a word of letters before a run
+    of punctuation is two, and its A-Z are lower-cased before it is looked up: the library
+    does the same. The memory is emptied when it holds ``memo`` words.
     """
 
     def __init__(self, path: str, memo: int = MEMO_WORDS):
@@ -291,33 +313,63 @@ class Encoder:
         self.memo = memo
         between = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
         self.between = between[0] if len(between) == 1 else -1
+        self.splits = self._has_rules()
+        #: ids that end what the rules part, by their name in the vocabulary
+        self.ends = np.zeros(1 << 16, bool)
+        if self.splits:
+            suffix = self.tokenizer.model.end_of_word_suffix
+            self.ends[[k for name, k in self.tokenizer.get_vocab(False).items() if name.endswith(suffix)]] = True
         self._forget()
 
+    def _has_rules(self) -> bool:
+        """Whether letters and punctuation are parted and A-Z lower-cased, but for special strings that neither can hold."""
+        tokenizer, model = self.tokenizer, self.tokenizer.model
+        if not getattr(model, "end_of_word_suffix", None) or tokenizer.normalizer is None or tokenizer.pre_tokenizer is None:
+            return False
+        normal, parts = (json.loads(x.__getstate__()) for x in (tokenizer.normalizer, tokenizer.pre_tokenizer))
+        kinds = [x.get("type") for x in normal.get("normalizers", [])]
+        rules = [(x.get("type"), x.get("pattern"), x.get("behavior"), x.get("invert"), x.get("use_regex")) for x in parts.get("pretokenizers", [])]
+        return (
+            kinds == ["NFC", "Replace", "Lowercase"]
+            and normal["normalizers"][1].get("pattern") == {"Regex": r"\s+"}
+            and rules == [("Split", {"Regex": _RULES}, "Removed", True, None), ("ByteLevel", None, None, None, False)]
+            and all(set("<|>") & set(x.content) for x in tokenizer.get_added_tokens_decoder().values())
+        )
+
     def _forget(self) -> None:
         """Known are no word, which has no ids, and the end id."""
         self.known = pa.array([""], pa.string())
         self.pool = np.array([END_ID], np.uint16)
         self.starts, self.sizes = np.zeros(1, np.int64), np.zeros(1, np.int64)
 
-    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encoded(self, words: pa.Array, between: str) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each word, and all ids. Many words are one text of the library.
 
         No token reaches over white space, so a word of its own between them parts their
-        ids. Where that word's id is found more often, words are encoded one by one.
+        ids; words of letters have one end each. Where ends are found more often, words are
+        encoded one by one.
         """
         sizes, parts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)]
-        groups = [words[k : k + _WORDS_A_TEXT] for k in range(0, len(words), _WORDS_A_TEXT)]
-        for low in range(0, len(groups), 100):
-            texts = [_BETWEEN.join(g) for g in groups[low : low + 100]]
-            encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            for group, e in zip(groups[low : low + 100], encoded, strict=True):
-                ids = np.array(e.ids, np.uint16)
-                own = ids != self.between
-                ends = np.flatnonzero(~own)
-                if len(ends) == len(group) - 1:
-                    sizes.append(np.diff(ends, prepend=-1, append=len(ids)) - 1)
-                    parts.append(ids[own])
-                    continue
+        bounds = np.append(np.arange(0, len(words), _WORDS_A_TEXT), len(words)).astype(np.int32)
+        texts = pc.binary_join(pa.ListArray.from_arrays(bounds, words), between).to_pylist()
+        for low in range(0, len(texts), 100):
+            encoded = self.tokenizer.encode_batch_fast(texts[low : low + 100], add_special_tokens=False)
+            for k, e in enumerate(encoded, low):
+                ids, count = np.array(e.ids, np.uint16), int(bounds[k + 1] - bounds[k])
+                if between == " ":
+                    ends = np.flatnonzero(self.ends[ids])
+                    if len(ends) == count and ends[-1] == len(ids) - 1:
+                        sizes.append(np.diff(ends, prepend=-1))
+                        parts.append(ids)
+                        continue
+                else:
+                    own = ids != self.between
+                    ends = np.flatnonzero(~own)
+                    if len(ends) == count - 1:
+                        sizes.append(np.diff(ends, prepend=-1, append=len(ids)) - 1)
+                        parts.append(ids[own])
+                        continue
+                group = words.slice(int(bounds[k]), count).to_pylist()
                 alone = [one.ids for one in self.tokenizer.encode_batch_fast(group, add_special_tokens=False)]
                 sizes.append(np.array([len(x) for x in alone]))
                 parts += [np.array(x, np.uint16) for x in alone]
@@ -329,28 +381,49 @@ class Encoder:
         if len(self.known) + found.null_count > self.memo:
             self._forget()
             found = pc.index_in(words, value_set=self.known)
-        new = words.filter(found.is_null())
         places = found.fill_null(-1).to_numpy().copy()
-        places[places < 0] = len(self.known) + np.arange(len(new))
-        sizes, ids = self._encoded(new.to_pylist())
-        self.known = pa.concat_arrays([self.known, new])
-        self.starts = np.append(self.starts, len(self.pool) + np.cumsum(sizes) - sizes)
-        self.sizes = np.append(self.sizes, sizes)
-        self.pool = np.append(self.pool, ids)
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            letters = pc.match_substring_regex(words, _LETTERS).to_numpy(False)[new] & self.splits
+            for own, between in ((new[letters], " "), (new[~letters], _BETWEEN)):
+                some = words.take(pa.array(own))
+                sizes, ids = self._encoded(some, between)
+                places[own] = len(self.known) + np.arange(len(own))
+                self.known = pa.concat_arrays([self.known, some])
+                self.starts = np.append(self.starts, len(self.pool) + np.cumsum(sizes) - sizes)
+                self.sizes = np.append(self.sizes, sizes)
+                self.pool = np.append(self.pool, ids)
         return places
 
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and all ids."""
+        if self.splits:
+            stems = pc.ascii_rtrim(words, _TAIL)
+            plain = pc.match_substring_regex(stems, _BEFORE_TAIL)
+            tailed = pc.and_(plain, pc.not_equal(pc.binary_length(stems), pc.binary_length(words)))
+            stems = pc.if_else(plain, pc.ascii_lower(stems), words).dictionary_encode()
+            tails = pc.replace_substring_regex(words.filter(tailed), r"^\pL+", "").dictionary_encode()
+            different = pa.concat_arrays([stems.dictionary, tails.dictionary]).dictionary_encode()
+            places = self._places(different.dictionary)[different.indices.to_numpy()]
+            both = np.zeros((len(words), 2), np.int64)  # no word stands for no tail
+            both[:, 0] = places[stems.indices.to_numpy()]
+            both[tailed.to_numpy(False), 1] = places[len(stems.dictionary) + tails.indices.to_numpy()]
+        else:
+            both = self._places(words)[:, None]
+        sizes = self.sizes[both]
+        return sizes.sum(axis=1), _gathered(self.pool, self.starts[both].ravel(), sizes.ravel())
+
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """16-bit ids of each text, the end id last."""
         split = pc.ascii_split_whitespace(texts)
         ends = split.value_lengths().to_numpy().cumsum(dtype=np.int64)
         coded = split.flatten().dictionary_encode()
-        places = self._places(coded.dictionary)
-        starts, sizes = np.append(self.starts[places], 0), np.append(self.sizes[places], 1)
-        of = np.insert(coded.indices.to_numpy(), ends, len(places))  # the end id is a word more
+        sizes, pool = self._words(coded.dictionary)
+        starts, sizes = np.append(np.cumsum(sizes) - sizes, len(pool)), np.append(sizes, 1)
+        of = np.insert(coded.indices.to_numpy(), ends, len(coded.dictionary))  # the end id is a word more
         n = sizes[of]
-        upto = np.cumsum(n)
-        found = self.pool[np.repeat(starts[of] - upto + n, n) + np.arange(upto[-1] if len(n) else 0)]
-        return np.split(found, upto[ends + np.arange(len(ends))])[:-1]
+        found = _gathered(np.append(pool, np.uint16(END_ID)), starts[of], n)
+        return np.split(found, np.cumsum(n)[ends + np.arange(len(ends))])[:-1]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -276,6 +276,24 @@ def test_words_that_share_a_text_of_the_library_keep_their_ids():
                 assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, token_files.END_ID], text
 
 
+def test_letters_and_the_punctuation_after_them_are_learnt_once_each_in_any_case():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = vocabulary(token_files.VOCABULARY)
+    tokenizer, encoder = Tokenizer.from_file(path), token_files.Encoder(path)
+    encoder.ids(pa.array(["Same, same. SAME!", "", "same sAme,\nsame."]))
+    assert sorted(encoder.known.to_pylist()) == ["", "!", ",", ".", "same"]
+    marks = ["H\u0331.", "h\u0331.", "H.\u0331", "\u0130.", "a\u0130!", "\u0130stanbul,", "\ufb1d.", "a\ufb1db.", "\u01c4.", "\u1fbc;", "\u03a3\u0391\u03a3.", "\u212b.", "\u1100\u1161.", "\U0001e900?"]
+    odd = ["it's.", "IT'S.", "'S.", "D'", "d.'", "we'll!", "<|ENDOFTEXT|>.", "<|endoftext|>.", "<|endoftext|", "a<|endoftext|>B.", "x|.", "x>.", "x<.", "A1.", "1a.", "a_b_", "a-B-", "...", "a...", "\u00a0a.", "a\u00a0.", "a\u3000", "^", "a^", "a.^ ^", "</w>", "a</w>.", "</W>"]
+    # each code point before a tail, in a tail, after a letter and alone
+    points = [chr(c) for c in [*range(1, 0x3100), *range(0xA640, 0xAC10), *range(0xF900, 0x10000), *range(0x1E000, 0x1F000)]]
+    texts = [*marks, *odd, *("".join((f"A{c}. ", f"{c}; ", f"Ab{c} ", f"{c}B!{c}, ")) for c in points)]
+    plain = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    for text, ids, own in zip(texts, encoder.ids(pa.array(texts)), plain, strict=True):
+        assert ids.tolist() == [*own.ids, token_files.END_ID], ascii(text)
+
+
 def brute_tokens(texts):
     from tokenizers import Tokenizer
 
