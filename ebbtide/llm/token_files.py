@@ -322,13 +322,17 @@ class Encoder:
         self._forget()
 
     def _has_rules(self) -> bool:
-        """Whether letters and punctuation are parted and A-Z lower-cased, but for special strings that neither can hold."""
+        """Whether letters and punctuation are parted and A-Z lower-cased.
+
+        Special strings, which the rules leave alone, must hold what neither part of a word can.
+        """
         tokenizer, model = self.tokenizer, self.tokenizer.model
         if not getattr(model, "end_of_word_suffix", None) or tokenizer.normalizer is None or tokenizer.pre_tokenizer is None:
             return False
         normal, parts = (json.loads(x.__getstate__()) for x in (tokenizer.normalizer, tokenizer.pre_tokenizer))
         kinds = [x.get("type") for x in normal.get("normalizers", [])]
-        rules = [(x.get("type"), x.get("pattern"), x.get("behavior"), x.get("invert"), x.get("use_regex")) for x in parts.get("pretokenizers", [])]
+        named = "type", "pattern", "behavior", "invert", "use_regex"
+        rules = [tuple(x.get(k) for k in named) for x in parts.get("pretokenizers", [])]
         return (
             kinds == ["NFC", "Replace", "Lowercase"]
             and normal["normalizers"][1].get("pattern") == {"Regex": r"\s+"}
