@@ -12,6 +12,7 @@ from ebbtide.plans import features
 from ebbtide.sources.order_views import order_views
 from ebbtide.sources.writers import hashed_joins
 from test_boosting import NAMES, SCHEMA, made_up
+from test_learning import ID, planted
 
 
 def binned_rows(spark, n):
@@ -114,3 +115,32 @@ def test_scoring_features_are_derived_once(spark, sf001):
     assert "Join" not in marked._jdf.queryExecution().executedPlan().toString()
     want = features.inference_features(*order_views(spark, sf001)[1:])
     assert sorted(map(str, marked.collect())) == sorted(map(str, want.collect()))
+
+
+def fitted_by(spark, monkeypatch, name):
+    """What the query hands the learner: rows of the training part, settings; few trees grow here."""
+    rows = planted(spark, 60)
+    marked = rows.withColumn("is_test", F.expr(f"int(substr({ID}, 2)) % 3 = 0")).persist()
+    asked = []
+    train = boosting.train_boosted_trees
+
+    def noted(part, encoders=None, settings=Settings()):
+        asked.append((part.count(), settings))
+        return train(part, encoders, settings._replace(trees=2, depth=1))
+
+    monkeypatch.setattr(catalog, "_split_features", lambda spark, folder: marked)
+    monkeypatch.setattr(catalog, "_kept", lambda spark, key, make: make())
+    monkeypatch.setattr(boosting, "train_boosted_trees", noted)
+    found = catalog.all_queries()[name](spark, "none").collect()
+    return found, asked, marked.where("not is_test").count(), marked.where("is_test").count()
+
+
+PUBLISHED = dict(trees=100, depth=6, rate=0.1, row_fraction=1.0, column_fraction=1.0, min_gain=0.0)
+
+
+def test_second_order_metrics_are_of_the_published_fit(spark, monkeypatch):
+    """Before, ten trees of depth four were fitted."""
+    found, asked, train, _ = fitted_by(spark, monkeypatch, "m05_second_order_metrics")
+    assert len(found) == 1
+    ((rows, settings),) = asked
+    assert rows == train and PUBLISHED.items() <= settings._asdict().items()
