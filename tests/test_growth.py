@@ -1,13 +1,16 @@
 """What a fit reads and sends as its table grows."""
 
+import math
 import os
+import random
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from ebbtide import catalog
 from ebbtide.ml import boosting
-from ebbtide.ml.boosting import ALL_ROWS, Settings
+from ebbtide.ml.boosting import ALL_ROWS, Settings, Split
 from ebbtide.plans import features
 from ebbtide.sources.order_views import order_views
 from ebbtide.sources.writers import hashed_joins
@@ -144,3 +147,49 @@ def test_second_order_metrics_are_of_the_published_fit(spark, monkeypatch):
     assert len(found) == 1
     ((rows, settings),) = asked
     assert rows == train and PUBLISHED.items() <= settings._asdict().items()
+
+
+def test_second_order_scores_are_of_the_published_fit(spark, monkeypatch):
+    """Before, ten trees of depth four scored the test part."""
+    found, asked, train, test = fitted_by(spark, monkeypatch, "m05_second_order_scores_checked")
+    assert len(found) == test and all(r.valid and r.consistent for r in found)
+    ((rows, settings),) = asked
+    assert rows == train and PUBLISHED.items() <= settings._asdict().items()
+
+
+def test_a_level_has_one_shuffle(spark):
+    rows = spark.createDataFrame([(None, 1, 1.0, 0, b"", b"")], f"{ID} string, is_churned int, weight double, fold int, bins binary, margins binary")
+    growing = {0: (Settings(), ALL_ROWS, {}, {1}, [0])}
+    plan = boosting._level(rows, [[]], growing, 0, [2])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Sort" not in plan
+
+
+def test_many_deep_trees_score_as_walked(spark):
+    """As nested conditions, a hundred deep trees were a plan of some 20 s and too long to compile."""
+    draw = random.Random(4)
+
+    def grown(tree, node, depth):
+        if depth == 6 or (depth and draw.random() < 0.2):
+            tree[node] = draw.uniform(-0.3, 0.3)
+            return tree
+        tree[node] = Split(draw.randrange(5), draw.randint(1, 9), draw.random() < 0.5, 1.0)
+        return grown(grown(tree, 2 * node, depth + 1), 2 * node + 1, depth + 1)
+
+    trees = [grown({}, 1, 0) for _ in range(100)] + [{1: 0.125}]
+    rows = [(i, [draw.randint(0, 9) for _ in range(5)]) for i in range(50)]
+    expected = {}
+    for i, bins in rows:
+        margin = 0.0
+        for tree in trees:
+            node = 1
+            while isinstance(split := tree[node], Split):
+                place = bins[split.feature]
+                left = place < split.bin and (place > 0 or split.missing_left)
+                node = 2 * node + (not left)
+            margin += tree[node]
+        expected[i] = 1 / (1 + math.exp(-margin))
+    scored = spark.createDataFrame(rows, "id int, bins array<int>").select("id", boosting.probability(trees).alias("p"))
+    assert {r[0]: r[1] for r in scored.collect()} == pytest.approx(expected, abs=1e-15)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan  # the trees are a constant, not read anew for each row
+    assert spark.createDataFrame(rows, "id int, bins array<int>").select(boosting.probability([])).first()[0] == 0.5
